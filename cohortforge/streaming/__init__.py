@@ -1,0 +1 @@
+"""No streaming operator exists: every input of this engine is a static table (see README)."""
