@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def student_tail(t: float, df: int) -> float:
@@ -79,22 +80,22 @@ def _each(fn, *cols: pd.Series) -> pd.Series:
     return pd.Series([fn(*v) if g else None for g, *v in zip(ok, *cols)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     return _each(lambda a, b: 2 * student_tail(abs(a), int(b)), t, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
     return _each(lambda a, b: student_quantile(a, int(b)), p, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2_tail(x: pd.Series, df: pd.Series) -> pd.Series:
     return _each(lambda a, b: chi2_tail(a, int(b)), x, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _signed_rank(w: pd.Series, n: pd.Series, ties: pd.Series, exact: pd.Series) -> pd.Series:
     return _each(lambda a, b, c, d: signed_rank_p(a, int(b), c, bool(d)), w, n, ties, exact)
 

@@ -204,7 +204,7 @@ def tree_paths(debug: str, names: Sequence[str], max_depth: int | None = None) -
                 indents.pop()
                 path.pop()
             indents.append(pad)
-            value = hit[5] if "in" in hit[4] else float(hit[5])
+            value = [float(x) for x in hit[5].strip("{}").split(",")] if "in" in hit[4] else float(hit[5])
             path.append((int(hit[3]), hit[4], value))
             continue
         leaf = _LEAF.match(line)
@@ -214,7 +214,7 @@ def tree_paths(debug: str, names: Sequence[str], max_depth: int | None = None) -
                 indents.pop()
                 path.pop()
             kept = list(path[:max_depth] if max_depth else path)
-            text = " AND ".join(f"{names[f]} {op} {v:.6g}" for f, op, v in kept) or "TRUE"
+            text = " AND ".join(f"{names[f]} {op} {v:.6g}" if isinstance(v, float) else f"{names[f]} {op} {v}" for f, op, v in kept) or "TRUE"
             if text not in seen:
                 seen.add(text)
                 out.append((len(out), text, float(leaf[2]), kept))
@@ -235,7 +235,7 @@ def tree_rules(model, df: DataFrame, names: Sequence[str], label: str = "label",
             cond = F.lit(True)
             for f, op, v in conds:
                 x = as_col(names[f])
-                cond &= (x <= v) if op == "<=" else (x > v)
+                cond &= {"<=": lambda: x <= v, ">": lambda: x > v, "in": lambda: x.isin(v), "not in": lambda: ~x.isin(v)}[op]()
             tag = F.when(cond, F.lit(leaf)).otherwise(tag)
             table.append((t, leaf, text, pred))
         tags.append(F.struct(F.lit(t).alias("tree"), tag.alias("leaf")))
