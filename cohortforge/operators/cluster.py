@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,5 +107,12 @@ def gmm_bic_aic(df: DataFrame, ks: Sequence[int] = K_RANGE, features: str = "fea
 
 
 def hierarchical_labels(df: DataFrame, k: int = 3, features: str = "features", seed: int = 42) -> DataFrame:
-    """Divisive hierarchy over all rows."""
-    return BisectingKMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df).transform(df)
+    """Divisive hierarchy over all rows.
+
+    Spark starts a split by noise in proportion to the centre's length, which is nothing for centred
+    data; one constant coordinate keeps that length positive and changes no distance.
+    """
+    asm = VectorAssembler(inputCols=[features, "__one"], outputCol="__shifted")
+    rows = asm.transform(df.withColumn("__one", F.lit(1.0)))
+    model = BisectingKMeans(k=k, seed=seed, featuresCol="__shifted", predictionCol="cluster").fit(rows)
+    return model.transform(rows).drop("__one", "__shifted")

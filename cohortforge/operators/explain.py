@@ -39,9 +39,7 @@ def permutation_importance(df: DataFrame, score: Scorer, columns: Sequence[str],
     orders (one join), and each feature's copy swaps in the partner's value.
     """
     base = score(df).agg(F.avg((F.col("y_pred") == as_col(label)).cast("double"))).first()[0]
-    rows = df.select(row_id, label, *[as_col(c) for c in columns]).withColumn(
-        "__rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-    )
+    rows = df.withColumn("__rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     left = hash_rank(rows, ["__rep"], [row_id], seed, "__place")
     right = hash_rank(rows, ["__rep"], [row_id, "__rep"], seed + 1, "__place").select(
         "__rep", "__place", *[as_col(c).alias(f"__other_{c}") for c in columns]
@@ -101,7 +99,7 @@ def shapley_sampling(df: DataFrame, score: Scorer, columns: Sequence[str], backg
         )
     )
     rows = (
-        df.select(row_id, *[as_col(c).cast("double").alias(c) for c in columns])
+        df.withColumns({c: as_col(c).cast("double") for c in columns})
         .withColumn("__perm", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
         .withColumn("__order", F.transform(order, lambda s: s["j"]))
         .withColumn("__bg", F.element_at(bg, F.pmod(F.col("__perm"), F.lit(len(background))) + 1))
@@ -145,7 +143,7 @@ def local_surrogate(df: DataFrame, score: Scorer, columns: Sequence[str], row_id
     stat = df.agg(*[F.stddev_pop(as_col(c)).alias(c) for c in columns]).first()
     scale = {c: float(stat[c] or 1.0) for c in columns}
     width = 0.75 * float(np.sqrt(d))
-    rows = df.select(row_id, *[as_col(c).cast("double").alias(c) for c in columns]).withColumn(
+    rows = df.withColumns({c: as_col(c).cast("double") for c in columns}).withColumn(
         "__s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))
     )
     noise = {}

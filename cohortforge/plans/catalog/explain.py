@@ -1 +1,153 @@
+"""Explanation queries, with closed-form scorers where an oracle is wanted."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ...functions.exprs import round_all
+from ...operators import cluster, explain, learners
+from ...session import cut_lineage
+from ..registry import query
+from .learn import LN, PART_COLS, PT, lines, parts
+
+
+def fitted_tree(spark, d, name="decision_tree", **params):
+    rows = cut_lineage(parts(spark, d))
+    return learners.fit_scorer(name, rows, **params), rows
+
+
+def on_columns(score) -> learners.Scorer:
+    """Scorer over plain columns: assembles the vector, then applies the model."""
+    asm = VectorAssembler(inputCols=list(PART_COLS), outputCol="features")
+    return lambda df: score(asm.transform(df.drop("features")))
+
+
+@query("feature_importance")
+def q_importance(spark, d):
+    score, _ = fitted_tree(spark, d, "random_forest", numTrees=20, maxDepth=5)
+    return round_all(explain.feature_importance(score.model, PART_COLS, spark), 5)
+
+
+@query("top_importances")
+def q_top(spark, d):
+    score, _ = fitted_tree(spark, d, "random_forest", numTrees=20, maxDepth=5)
+    return round_all(explain.feature_importance(score.model, PART_COLS, spark, 2), 5)
+
+
+def rule_scorer(df: DataFrame) -> DataFrame:
+    """A fixed scorer over order lines."""
+    return df.withColumns(
+        {"y_pred": F.when((F.col("price") > 35000) & (F.col("qty") > 15), 1).otherwise(0), "y_prob": F.col("qty") / 100 + F.col("disc") * F.col("tax")}
+    )
+
+
+_PLACE = "row_number() OVER (PARTITION BY rep ORDER BY md5('{s}|' || {k}))"
+_RULE = "CASE WHEN {p} > 35000 AND {q} > 15 THEN 1 ELSE 0 END"
+
+
+@query(
+    "permutation_importance",
+    LN + f""", r AS (SELECT *, unnest(range(3)) AS rep FROM li),
+    a AS (SELECT *, {_PLACE.format(s=42, k='id')} AS pl FROM r), b AS (SELECT rep, qty AS oq, price AS op, {_PLACE.format(s=43, k="id || '|' || CAST(rep AS VARCHAR)")} AS pl FROM r),
+    j AS (SELECT a.rep, label, {_RULE.format(p='price', q='oq')} AS pq, {_RULE.format(p='op', q='qty')} AS pp FROM a JOIN b ON a.rep = b.rep AND a.pl = b.pl),
+    base AS (SELECT AVG(CASE WHEN {_RULE.format(p='price', q='qty')} = label THEN 1 ELSE 0 END) AS x FROM li),
+    s AS (SELECT 'qty' AS feature, rep, AVG(CASE WHEN pq = label THEN 1 ELSE 0 END) AS acc FROM j GROUP BY rep UNION ALL SELECT 'price', rep, AVG(CASE WHEN pp = label THEN 1 ELSE 0 END) FROM j GROUP BY rep)
+    SELECT feature, ROUND(AVG(x - acc), 6) AS importance_mean, ROUND(stddev_pop(x - acc), 6) AS importance_std FROM s, base GROUP BY feature""",
+)
+def q_permutation(spark, d):
+    return round_all(explain.permutation_importance(lines(spark, d), rule_scorer, ["qty", "price"], repeats=3))
+
+
+@query("permutation_importance_model")
+def q_permutation_model(spark, d):
+    score, rows = fitted_tree(spark, d, maxDepth=5)
+    return round_all(explain.permutation_importance(rows, on_columns(score), PART_COLS, repeats=5), 5)
+
+
+@query(
+    "partial_dependence",
+    LN + """, g AS (SELECT DISTINCT qty AS v FROM li), m AS (SELECT AVG(disc * tax) AS c, AVG(qty) / 100 AS q, AVG(tax) AS t FROM li), dg AS (SELECT DISTINCT disc AS v FROM li)
+    SELECT 'qty' AS feature, v AS value, ROUND(v / 100 + c, 9) AS mean_prediction FROM g, m UNION ALL SELECT 'disc', v, ROUND(q + v * t, 9) FROM dg, m""",
+)
+def q_pdp(spark, d):
+    return round_all(explain.partial_dependence(lines(spark, d), rule_scorer, ["qty", "disc"]), 9, keep=["value"])
+
+
+@query(
+    "pdp_grid",
+    """WITH q AS (SELECT quantile_cont(l_extendedprice, .05) a, quantile_cont(l_extendedprice, .95) b FROM lineitem)
+    SELECT CAST(i AS INT) AS point, ROUND(a + (b - a) * i / 99, 4) AS value FROM q, (SELECT unnest(range(100)) AS i)""",
+)
+def q_grid(spark, d):
+    grid = explain.pdp_grid(lines(spark, d), ["price"])["price"]
+    return round_all(spark.createDataFrame(list(enumerate(grid)), "point int, value double"), 4)
+
+
+@query("partial_dependence_model")
+def q_pdp_model(spark, d):
+    score, rows = fitted_tree(spark, d, maxDepth=5)
+    return round_all(explain.partial_dependence(rows, on_columns(score), ["size", "cheap_type"]), 5)
+
+
+BACKGROUND = [[10.0, 0.02, 0.01], [40.0, 0.08, 0.06]]
+
+
+@query(
+    "shapley_sampling",
+    LN + """, b AS (SELECT * FROM (VALUES (10e0, 0.02e0, 0.01e0), (40e0, 0.08e0, 0.06e0)) t(bq, bd, bt))
+    SELECT id, ROUND(qty / 100 + disc * tax - AVG(bq / 100 + bd * bt), 6) AS total, ROUND(AVG((qty - bq) / 100), 6) AS qty_part FROM li, b GROUP BY id, qty, disc, tax""",
+)
+def q_shapley(spark, d):
+    """Additivity: attributions of a row sum to its score minus the mean background score."""
+    out = explain.shapley_sampling(lines(spark, d), rule_scorer, ["qty", "disc", "tax"], BACKGROUND, permutations=4)
+    return out.groupBy("id").agg(
+        F.round(F.sum("attribution"), 6).alias("total"), F.round(F.sum(F.when(F.col("feature") == "qty", F.col("attribution"))), 6).alias("qty_part")
+    )
+
+
+@query("shapley_summary_model")
+def q_shapley_model(spark, d):
+    score, rows = fitted_tree(spark, d, maxDepth=5)
+    centers = cluster.fit_kmeans(rows, 5).clusterCenters()  # the background: five numbers per feature
+    values = explain.shapley_sampling(rows, on_columns(score), PART_COLS, [list(c) for c in centers], permutations=4)
+    return round_all(explain.shapley_summary(values), 5)
+
+
+@query("local_surrogate")
+def q_surrogate(spark, d):
+    score, rows = fitted_tree(spark, d, "logistic_regression")
+    return round_all(explain.local_surrogate(rows, on_columns(score), PART_COLS, samples=40), 4)
+
+
+@query(
+    "local_surrogate_linear",
+    LN + "SELECT COUNT(*) AS n_rows, 1 AS rank_of_qty FROM li",
+)
+def q_surrogate_linear(spark, d):
+    """On a linear scorer the dominant feature must come out first for every row."""
+    linear = lambda df: df.withColumn("y_prob", 3 * F.col("qty") / 15 + F.col("tax"))
+    out = explain.local_surrogate(lines(spark, d), linear, ["qty", "tax"], samples=20)
+    return out.where("feature = 'qty'").agg(F.count(F.lit(1)).alias("n_rows"), F.max("rank").alias("rank_of_qty"))
+
+
+@query("tree_rules")
+def q_tree(spark, d):
+    score, rows = fitted_tree(spark, d, maxDepth=3)
+    return explain.tree_rules(score.model, rows, PART_COLS)
+
+
+@query("forest_top_rules")
+def q_forest(spark, d):
+    score, rows = fitted_tree(spark, d, "random_forest", numTrees=5, maxDepth=4)
+    return explain.tree_rules(score.model, rows, PART_COLS, max_depth=3, n_trees=3)
+
+
+@query("tree_rules_cover", f"{PT}SELECT COUNT(*) AS n, CAST(SUM(label) AS BIGINT) AS n_positive FROM pa")
+def q_cover(spark, d):
+    """The leaves of a tree partition the rows."""
+    score, rows = fitted_tree(spark, d, maxDepth=4)
+    return explain.tree_rules(score.model, rows, PART_COLS).agg(F.sum("n").alias("n"), F.sum("n_positive").alias("n_positive"))
+
 
