@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -44,30 +44,39 @@ SOURCE_GROUPS = {
 }
 
 
+_NUMERIC = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def _number(text: Column) -> Column:
-    """Finite double of a text, else null."""
-    x = text.try_cast("double")
-    return F.when(~F.isnan(x) & (F.abs(x) < 1e18), x)
+    """Double of a plain decimal text, else null. The pattern keeps failing casts (slow) off the hot path."""
+    return F.when(text.rlike(_NUMERIC), text.try_cast("double"))
+
+
+def _bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` computed once per row, however often ``fn`` mentions it."""
+    return F.transform(F.array(value), fn)[0]
 
 
 def normalise_code(code: Column) -> Column:
     """``' 7.0 '`` -> ``'7'``; text that is no number is only trimmed."""
     text = F.trim(code.cast("string"))
-    return F.coalesce(_number(text).cast("bigint").cast("string"), text)
+    return F.coalesce(_number(text).try_cast("bigint").cast("string"), text)
 
 
 def icd9_group(code: Column) -> Column:
     """One of nine diagnosis groups; anything not numeric or in no chapter is Other."""
     text = F.trim(code.cast("string"))
-    x = F.when(~F.upper(text).rlike("^[VE]"), _number(text))
-    whole = F.when(x < 0, F.ceil(x)).otherwise(F.floor(x))
+    return F.coalesce(_bind(_number(text), _chapter), F.lit("Other"))
+
+
+def _chapter(x: Column) -> Column:
     out = F.lit("Other")
     for label, low, high, extra in reversed(ICD9_CHAPTERS):
         hit = F.lit(False)
         if low is not None:
-            hit |= x.between(low, high)
+            hit |= (x >= low) & (x <= high)
         if extra is not None:
-            hit |= whole == extra
+            hit |= (x >= extra) & (x < extra + 1)  # any decimals of that whole code
         out = F.when(hit, label).otherwise(out)
     return out
 

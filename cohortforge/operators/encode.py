@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col, other_cols
+from ..session import cut_lineage, shuffle_width
+
+SMALL_MAP = 100_000
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
@@ -66,10 +69,28 @@ def one_hot_items(df: DataFrame, columns: Sequence[str], drop: Sequence[str] = (
 
 
 def fit_label_map(df: DataFrame, column: str) -> DataFrame:
-    """(value, code) with codes 0..k-1 in text order. The distinct list is what a label map is."""
+    """(value, code) with codes 0..k-1 in text order.
+
+    Up to SMALL_MAP levels are numbered in one window. Above, they are range-partitioned, written
+    down (so that the ranges are fixed) and numbered inside each range after the ranges before it.
+    """
     distinct = df.select(F.coalesce(as_col(column).cast("string"), F.lit("nan")).alias("value")).distinct()
-    order = Window.partitionBy(F.lit(0)).orderBy("value")  # one row per level
-    return distinct.withColumn("code", F.row_number().over(order) - 1)
+    levels = df.agg(F.approx_count_distinct(as_col(column))).first()[0]
+    if levels <= SMALL_MAP:
+        return distinct.withColumn("code", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("value")) - 1)
+    return _number_ranges(distinct)
+
+
+def _number_ranges(distinct: DataFrame) -> DataFrame:
+    width = shuffle_width(distinct.sparkSession)
+    ranged = cut_lineage(distinct.repartitionByRange(width, "value").withColumn("__part", F.spark_partition_id()))
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # one row per range
+    before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    inside = Window.partitionBy("__part").orderBy("value")
+    return ranged.join(offsets, "__part").select(
+        "value", (F.col("__o") + F.row_number().over(inside) - 1).cast("int").alias("code")
+    )
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:

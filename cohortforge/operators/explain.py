@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterator, Sequence
 
@@ -11,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
-from .ordered import exact_quantiles, hash_order, hash_rank
-from .resample import hash_unit
+from .ordered import exact_quantiles, hash_rank
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -80,6 +80,21 @@ def partial_dependence(df: DataFrame, score: Scorer, columns: Sequence[str], gri
     return score(rows).groupBy("feature", "value").agg(F.avg(output).alias("mean_prediction"))
 
 
+def _orders(d: int, seed: int, size: int = 128) -> np.ndarray:
+    """The feature orders to draw from: all of them if there are few, else a fixed random set with its reverses."""
+    if d <= 5:
+        return np.array(list(itertools.permutations(range(d))))
+    rng = np.random.default_rng(seed)
+    half = np.array([rng.permutation(d) for _ in range(size // 2)])
+    return np.vstack([half, half[:, ::-1]])
+
+
+def _noise(seed: int, *ids: str) -> Column:
+    """A reproducible number in [0, 1) from a fast hash."""
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[as_col(c) for c in ids]), 11)
+    return bits.cast("double") / F.lit(9007199254740992.0)
+
+
 def shapley_sampling(df: DataFrame, score: Scorer, columns: Sequence[str], background: Sequence[Sequence[float]], row_id: str = "id",
                      permutations: int = 8, output: str = "y_prob", seed: int = 42) -> DataFrame:
     """(id, feature, attribution) by sampled feature orders against a fixed background set.
@@ -90,24 +105,21 @@ def shapley_sampling(df: DataFrame, score: Scorer, columns: Sequence[str], backg
     """
     d = len(columns)
     bg = F.array(*[F.array(*[F.lit(float(x)) for x in b]) for b in background])
-    order = F.array_sort(
-        F.array(
-            *[
-                F.struct(hash_order(seed + 1 + j, row_id, "__perm").alias("h"), F.lit(j).alias("j"))
-                for j in range(d)
-            ]
-        )
-    )
+    bank = _orders(d, seed)
+    table = lambda rows: F.array(*[F.array(*[F.lit(int(x)) for x in r]) for r in rows])
+    drawn = F.pmod(F.xxhash64(F.lit(seed), as_col(row_id), "__perm"), F.lit(len(bank))).cast("int")
     rows = (
         df.withColumns({c: as_col(c).cast("double") for c in columns})
         .withColumn("__perm", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-        .withColumn("__order", F.transform(order, lambda s: s["j"]))
+        .withColumn("__drawn", drawn)
+        .withColumn("__order", table(bank)[F.col("__drawn")])
+        .withColumn("__place", table(np.argsort(bank, axis=1))[F.col("__drawn")])
         .withColumn("__bg", F.element_at(bg, F.pmod(F.col("__perm"), F.lit(len(background))) + 1))
         .withColumn("__step", F.explode(F.sequence(F.lit(0), F.lit(d))))
     )
     swapped = rows.withColumns(
         {
-            c: F.when(F.array_position("__order", j) <= F.col("__step"), as_col(c)).otherwise(F.col("__bg")[j])
+            c: F.when(F.col("__place")[j] < F.col("__step"), as_col(c)).otherwise(F.col("__bg")[j])
             for j, c in enumerate(columns)
         }
     )
@@ -148,7 +160,7 @@ def local_surrogate(df: DataFrame, score: Scorer, columns: Sequence[str], row_id
     )
     noise = {}
     for j, c in enumerate(columns):
-        a, b = hash_unit(seed + 2 * j, row_id, "__s"), hash_unit(seed + 2 * j + 1, row_id, "__s")
+        a, b = _noise(seed + 2 * j, row_id, "__s"), _noise(seed + 2 * j + 1, row_id, "__s")
         normal = F.sqrt(-2 * F.ln(F.greatest(a, F.lit(1e-12)))) * F.cos(F.lit(2 * np.pi) * b)
         noise[f"__g{j}"] = F.when(F.col("__s") == 0, F.lit(0.0)).otherwise(normal)  # sample 0 is the row itself
     rows = rows.withColumns(noise)

@@ -43,7 +43,8 @@ def group_folds(df: DataFrame, label: str, group: str, k: int = 10, seed: int =
     """(group, positives, size, fold): groups dealt in snake order from most to fewest positives.
 
     Groups of one positive count form a class; a class is ranked by hash in even buckets, and the
-    classes (few: one per distinct count) only pass on how many groups came before them.
+    classes only pass on how many groups came before them. Distinct counts that sum to at most N
+    rows are at most sqrt(2N), so the class table is small at any scale.
     """
     sizes = df.groupBy(as_col(group).alias("group")).agg(
         F.sum((as_col(label) == 1).cast("long")).alias("positives"), F.count(F.lit(1)).alias("size")

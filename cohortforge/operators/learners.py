@@ -34,7 +34,6 @@ from ..functions.exprs import as_col
 from ..session import cut_lineage
 from .metrics import classification_metrics, metrics_long
 from .neighbors import knn_classify, knn_join
-from .profile import class_weights
 from .reduce import fit_reduction, fit_standardizer
 from .resample import oversample
 
@@ -86,11 +85,16 @@ def make_classifier(name: str, n_rows: int, features: str = "features", label: s
     return make[name]()
 
 
-def weight_column(df: DataFrame, label: str) -> Column:
-    """Balanced class weight as an expression (one branch per class)."""
-    out = F.lit(1.0)
-    for r in class_weights(df, label).collect():
-        out = F.when(as_col(label) == r[label], F.lit(r["weight"])).otherwise(out)
+def label_counts(df: DataFrame, label: str) -> dict:
+    """Rows per class; everything else a fit needs to know about its training set follows from these."""
+    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def weight_column(counts: Mapping, label: str) -> Column:
+    """Balanced class weight n / (k * n_c) as an expression (one branch per class)."""
+    out, n = F.lit(1.0), sum(counts.values())
+    for cls, size in counts.items():
+        out = F.when(as_col(label) == cls, F.lit(n / (len(counts) * size))).otherwise(out)
     return out
 
 
@@ -150,7 +154,7 @@ def gaussian_nb_scorer(df: DataFrame, columns: Sequence[str], label: str = "labe
 
 
 def fit_scorer(name: str, train: DataFrame, features: str = "features", label: str = "label", row_id: str = "id",
-               weight: str | None = None, seed: int = 42, **params) -> Scorer:
+               weight: str | None = None, seed: int = 42, counts: Mapping | None = None, **params) -> Scorer:
     """Fit a registered classifier and return its scorer."""
     if name not in CLASSIFIERS:
         raise ValueError(f"unknown classifier {name!r}; use one of {', '.join(CLASSIFIERS)}")
@@ -167,7 +171,8 @@ def fit_scorer(name: str, train: DataFrame, features: str = "features", label: s
             return df.join(voted.withColumn("y_pred", F.col("y_pred").cast("int")), row_id)
 
         return score
-    est = make_classifier(name, train.count(), features, label, weight, seed, **params)
+    n = sum(counts.values()) if counts else train.count()
+    est = make_classifier(name, n, features, label, weight, seed, **params)
     model = est.fit(train)
 
     def score_ml(df: DataFrame) -> DataFrame:
@@ -182,13 +187,14 @@ def fit_scorer(name: str, train: DataFrame, features: str = "features", label: s
 
 def fit_fold_steps(name: str, train: DataFrame, features: str = "features", label: str = "label", row_id: str = "id",
                    scale: bool | None = None, imbalance: str = "none", reduction: tuple[str, dict] | None = None,
-                   seed: int = 42, **params) -> Scorer:
+                   seed: int = 42, counts: Mapping | None = None, **params) -> Scorer:
     """scaler -> reducer -> oversampling -> classifier, every step fitted on ``train`` only."""
     if imbalance not in STRATEGIES:
         raise ValueError(f"unknown strategy {imbalance!r}; use one of {', '.join(STRATEGIES)}")
+    counts = dict(counts or label_counts(train, label))
     steps, rows, vec = [], train, features
     if name in SCALE_SENSITIVE if scale is None else scale:
-        step = fit_standardizer(rows, vec, "__scaled")
+        step = fit_standardizer(rows, vec, "__scaled", n=sum(counts.values()))
         steps.append(step)
         rows, vec = step.transform(rows), "__scaled"
     if reduction is not None:
@@ -197,13 +203,14 @@ def fit_fold_steps(name: str, train: DataFrame, features: str = "features", labe
         rows, vec = step.transform(rows), "__reduced"
     rows = rows.select(as_col(row_id), as_col(label), as_col(vec).alias("__x"))
     if "smote" in imbalance:
-        both = oversample(rows.withColumn("__v", vector_to_array("__x")), label, row_id, "__v", seed=seed)
+        both = oversample(rows.withColumn("__v", vector_to_array("__x")), label, row_id, "__v", seed=seed, counts=counts)
+        counts = {c: max(counts.values()) for c in counts}
         # Iterative fits read these rows many times.
         rows = cut_lineage(both.select(row_id, label, array_to_vector("__v").alias("__x")))
     weight = None
     if "class_weight" in imbalance or name == "sgd_classifier":
-        rows, weight = rows.withColumn("__w", weight_column(rows, label)), "__w"
-    fitted = fit_scorer(name, rows, "__x", label, row_id, weight, seed, **params)
+        rows, weight = rows.withColumn("__w", weight_column(counts, label)), "__w"
+    fitted = fit_scorer(name, rows, "__x", label, row_id, weight, seed, counts, **params)
 
     def score(df: DataFrame) -> DataFrame:
         out = df
@@ -223,15 +230,21 @@ def run_cv(df: DataFrame, models: Sequence[str], fold: str = "fold", features: s
     ``df`` carries its fold as a column; training is ``fold != i``. A model that fails on a fold gives
     no rows there, so its metrics for that fold are missing.
     """
-    folds = [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
+    # One pass gives the class counts of every training side (folds x classes numbers).
+    cells = {(r[0], r[1]): r["n"] for r in df.groupBy(fold, label).agg(F.count(F.lit(1)).alias("n")).collect()}
     out = None
-    for name, i in itertools.product(models, folds):
+    for name, i in itertools.product(models, sorted({f for f, _ in cells})):
         train, held = df.where(as_col(fold) != i), df.where(as_col(fold) == i)
-        if train.select(label).distinct().count() < 2 and name != "zero_r":
+        counts: dict = {}
+        for (f, cls), n in cells.items():
+            if f != i:
+                counts[cls] = counts.get(cls, 0) + n
+        if len(counts) < 2 and name != "zero_r":
             continue
         score = fit_fold_steps(
-            name, train, features, label, row_id, imbalance=imbalance, reduction=reduction, seed=seed, **(params or {}).get(name, {})
-        )
+            name, train, features, label, row_id, imbalance=imbalance, reduction=reduction, seed=seed, counts=counts,
+            **(params or {}).get(name, {}),
+        )
         part = score(held).select(
             as_col(row_id),
             F.lit(name).alias("model"),
@@ -400,7 +413,7 @@ def train_classifier(df: DataFrame, columns: Sequence[str], name: str = "random_
     """A persistable fitted Pipeline (assemble, optional scaling, classifier) of a registered Spark ML name."""
     rows, weight = df, None
     if class_weight == "balanced":
-        rows, weight = df.withColumn("__w", weight_column(df, label)), "__w"
+        rows, weight = df.withColumn("__w", weight_column(label_counts(df, label), label)), "__w"
     stages = [VectorAssembler(inputCols=list(columns), outputCol="features")]
     vec = "features"
     if scale:

@@ -69,12 +69,12 @@ def brier(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def score_curve(df: DataFrame, keys: Sequence[str] = KEYS, following: bool = False) -> DataFrame:
     """One row per distinct score, descending: own and cumulative positives and negatives, and the totals."""
+    rows = df.where(F.col("y_prob").isNotNull() & ~F.isnan("y_prob")).withColumnRenamed("y_prob", "score")
     per_score = (
-        df.where(F.col("y_prob").isNotNull() & ~F.isnan("y_prob"))
-        .groupBy(*keys, F.col("y_prob").alias("score"))
+        rows.groupBy(*keys, "score")
         .agg(F.sum((F.col("y_true") == 1).cast("long")).alias("pos"), F.sum((F.col("y_true") != 1).cast("long")).alias("neg"))
     )
-    return running_totals(per_score, keys, "score", ["pos", "neg"], descending=True, following=following)
+    return running_totals(per_score, keys, "score", ["pos", "neg"], descending=True, following=following, raw=rows)
 
 
 def curve_metrics(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

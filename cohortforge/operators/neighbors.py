@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
-from ..session import shuffle_width
+from ..session import cut_lineage, shuffle_width
 from .clean import row_sample
 
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 
 
 def _matrix(col: pd.Series) -> np.ndarray:
@@ -55,13 +55,12 @@ def knn_join(
     spark = rows.sparkSession
     q = queries.select(as_col(query_id).alias("qid"), as_col(vector).cast("array<double>").alias("vec"))
     r = rows.select(as_col(row_id).alias("rid"), as_col(vector).cast("array<double>").alias("vec"))
-    n_rows, n_queries = r.count(), q.count()
+    n_rows = r.count()
     id_type, row_type = dict(q.dtypes)["qid"], dict(r.dtypes)["rid"]
-    if n_rows == 0 or n_queries == 0:
+    if n_rows == 0:
         return spark.createDataFrame([], f"query_id {id_type}, neighbor_id {row_type}, distance double, rank int")
     width = shuffle_width(spark)
     block = int(min(block_rows, max(256, -(-n_rows // width))))
-    chunks = -(-n_queries // block_rows)
     n_pivots = int(min(MAX_PIVOTS, max(1, -(-n_rows // block))))
     # Bounded: at most MAX_PIVOTS rows.
     pivots = _matrix(pd.Series([x["vec"] for x in row_sample(r, ["rid"], n_pivots, seed).collect()]))
@@ -73,7 +72,8 @@ def knn_join(
                 cell = d.argmin(axis=1)
                 yield b.assign(cell=cell.astype("int32"), gap=d[np.arange(len(b)), cell])
 
-    placed = r.mapInPandas(to_cell, f"rid {row_type}, vec array<double>, cell int, gap double")
+    # Read three times (sizes, closest rows, comparison), so the pivot distances are computed once.
+    placed = cut_lineage(r.mapInPandas(to_cell, f"rid {row_type}, vec array<double>, cell int, gap double"))
     need = k + (1 if exclude_self else 0)
     near = Window.partitionBy("cell").orderBy("gap")
     closest = (
@@ -93,44 +93,49 @@ def knn_join(
         gaps[c["cell"], : len(c["gaps"])] = c["gaps"]
         blocks[c["cell"]] = -(-c["n"] // block)
     between = _distances(pivots, pivots)
-    spread = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
+    def reached(vec: pd.Series) -> np.ndarray:
+        """Queries x cells: true where a cell can hold one of the query's k nearest rows."""
+        d = _distances(_matrix(vec), pivots)
+        reach = (d[:, :, None] + gaps[None, :, :]).reshape(len(d), -1)
+        nth = min(need, reach.shape[1]) - 1
+        limit = np.partition(reach, nth, axis=1)[:, nth] * (1 + 1e-9) + 1e-12
+        keep = (radius[None, :] >= 0) & (d - radius[None, :] <= limit[:, None])
+        apart = between[d.argmin(axis=1)]
+        plane = np.where(apart > 0, (d**2 - (d.min(axis=1) ** 2)[:, None]) / np.where(apart > 0, 2 * apart, 1), 0.0)
+        return keep & (plane <= limit[:, None] + 1e-9)
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                hits = reached(b["vec"]).sum(axis=0)
+                yield pd.DataFrame({"cell": np.arange(n_pivots, dtype="int32"), "n": hits.astype("int64")})
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Each query goes to the blocks of every cell that can hold one of its k nearest rows."""
         for b in batches:
-            if not len(b):
-                continue
-            d = _distances(_matrix(b["vec"]), pivots)
-            reach = (d[:, :, None] + gaps[None, :, :]).reshape(len(b), -1)
-            bound = np.partition(reach, min(need, reach.shape[1]) - 1, axis=1)[:, min(need, reach.shape[1]) - 1]
-            own = d.argmin(axis=1)
-            limit = bound * (1 + 1e-9) + 1e-12
-            keep = (radius[None, :] >= 0) & (d - radius[None, :] <= limit[:, None])
-            apart = between[own]
-            plane = np.where(apart > 0, (d**2 - (d.min(axis=1) ** 2)[:, None]) / np.where(apart > 0, 2 * apart, 1), 0.0)
-            keep &= plane <= limit[:, None] + 1e-9
-            qi, cell = np.nonzero(keep)
-            times = blocks[cell]
-            qi, cell = np.repeat(qi, times), np.repeat(cell, times)
-            first = np.repeat(np.cumsum(times) - times, times)
-            yield pd.DataFrame(
-                {
-                    "qid": b["qid"].to_numpy()[qi],
-                    "vec": b["vec"].to_numpy()[qi],
-                    "cell": cell.astype("int32"),
-                    "block": (np.arange(len(qi)) - first).astype("int32"),
-                }
-            )
-
-    asked = q.mapInPandas(route, f"qid {id_type}, vec array<double>, cell int, block int").withColumn(
-        "chunk", F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int")
+            if len(b):
+                qi, cell = np.nonzero(reached(b["vec"]))
+                yield pd.DataFrame({"qid": b["qid"].to_numpy()[qi], "vec": b["vec"].to_numpy()[qi], "cell": cell.astype("int32")})
+
+    # Queries per cell, one number per pivot: a cell asked by many is compared in several chunks.
+    chunks = np.ones(n_pivots, dtype="int64")
+    for c in q.mapInPandas(tally, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        chunks[c["cell"]] = max(1, -(-c["n"] // block_rows))
+
+    def per_cell(counts: np.ndarray):
+        return F.element_at(F.array(*[F.lit(int(x)) for x in counts]), F.col("cell") + 1)
+
+    # Rows of a cell meet every chunk of its queries, queries of a cell every block of its rows.
+    asked = (
+        q.mapInPandas(route, f"qid {id_type}, vec array<double>, cell int")
+        .withColumn("chunk", F.pmod(F.xxhash64("qid"), per_cell(chunks)).cast("int"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), per_cell(blocks) - 1)))
     )
     held = placed.select(
         "rid",
         "vec",
         "cell",
-        F.pmod(F.xxhash64("rid"), spread).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
+        F.pmod(F.xxhash64("rid"), per_cell(blocks)).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), per_cell(chunks) - 1)).alias("chunk"),
     )
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:

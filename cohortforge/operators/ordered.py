@@ -20,7 +20,11 @@ BUCKET = "__bucket"
 
 
 def _cut_points(df: DataFrame, order: str, parts: int) -> list[float]:
-    """At most ``parts - 1`` cut points that balance the buckets; they never change a result."""
+    """At most ``parts - 1`` cut points that balance the buckets; they never change a result.
+
+    They come from a mergeable sketch of the raw rows (no shuffle): between two cuts lie at most
+    1/parts of the rows, so at most that many distinct values, however often one value repeats.
+    """
     if parts < 2:
         return []
     probs = [i / parts for i in range(1, parts)]
@@ -28,9 +32,9 @@ def _cut_points(df: DataFrame, order: str, parts: int) -> list[float]:
     return sorted({float(x) for x in got}) if got else []
 
 
-def _with_buckets(df: DataFrame, order: str, parts: int | None) -> DataFrame:
+def _with_buckets(df: DataFrame, order: str, parts: int | None, raw: DataFrame | None) -> DataFrame:
     parts = min(parts or shuffle_width(df.sparkSession), 4096)
-    cuts = _cut_points(df, order, parts)
+    cuts = _cut_points(df if raw is None else raw, order, parts)
     if not cuts:
         return df.withColumn(BUCKET, F.lit(0))
     lookup = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__order", outputCol=BUCKET)
@@ -49,14 +53,16 @@ def running_totals(
     descending: bool = False,
     following: bool = False,
     parts: int | None = None,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``cum_<c>`` (inclusive) and ``total_<c>`` for every column in ``sums``.
 
     ``df`` holds one row per (keys, order): aggregate first, so that tied values are one row
     and a hot value is combined before the shuffle. With ``following`` the next row's values
-    are added as ``next_<c>`` (null on the last row). Keys and order must not be null.
+    are added as ``next_<c>`` (null on the last row). Keys and order must not be null. ``raw`` is
+    the table ``df`` was counted from, if it still has the ``order`` column.
     """
-    rows = _with_buckets(df, order, parts)
+    rows = _with_buckets(df, order, parts, raw)
     turn = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     edge = F.max_by if descending else F.min_by
     head = F.struct(*[as_col(c) for c in sums])
@@ -160,13 +166,13 @@ def exact_quantiles(
     keys = [*by, "column"]
     if parts > 1:
         cut = [i / parts for i in range(1, parts)]
-        # Bounded: one short array per profiled column.
-        got = counts.groupBy("column").agg(F.percentile_approx("value", cut, 100 * parts).alias("cuts")).collect()
+        # Bounded: one short array per profiled column, from one pass of sketches.
+        got = df.agg(*[F.percentile_approx(as_col(c).cast("double"), cut, 100 * parts).alias(c) for c in cols]).first()
         bucket = F.lit(0)
-        for row in got:
-            edges = F.array(*[F.lit(x) for x in sorted(set(row["cuts"]))])
+        for c in cols:
+            edges = F.array(*[F.lit(float(x)) for x in sorted(set(got[c] or []))]).cast("array<double>")
             below = F.size(F.filter(edges, lambda e: e <= F.col("value")))
-            bucket = F.when(F.col("column") == row["column"], below).otherwise(bucket)
+            bucket = F.when(F.col("column") == c, below).otherwise(bucket)
         rows = counts.withColumn(BUCKET, bucket)
     else:
         rows = counts.withColumn(BUCKET, F.lit(0))

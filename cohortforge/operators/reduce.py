@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from .profile import class_weights
 
 
-def fit_standardizer(df: DataFrame, features: str, output: str, center: bool = False) -> PipelineModel:
+def fit_standardizer(df: DataFrame, features: str, output: str, center: bool = False, n: int | None = None) -> PipelineModel:
     """Scale by the population deviation; not centred by default, which keeps sparse vectors sparse.
 
     Centring changes nothing for distances, trees or linear models with a free intercept.
     """
-    n = df.count()
+    n = df.count() if n is None else n
     scaler = StandardScaler(inputCol=features, outputCol=f"{output}__s", withMean=center, withStd=True)
     size = len(df.select(features).first()[0])
     up = float(np.sqrt(n / (n - 1))) if n > 1 else 1.0

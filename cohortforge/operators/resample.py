@@ -15,14 +15,15 @@ def hash_unit(seed: int, *cols: str) -> Column:
     return F.conv(F.substring(hash_order(seed, *cols), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def smote_plan(df: DataFrame, label: str) -> dict:
+def smote_plan(df: DataFrame, label: str, counts: dict | None = None) -> dict:
     """How many synthetic rows each smaller class needs to reach the largest one (one entry per class)."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = counts or {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     top = max(counts.values())
     return {c: (n, top - n) for c, n in sorted(counts.items()) if n < top}
 
 
-def smote(df: DataFrame, label: str, row_id: str = "id", vector: str = "vector", k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, label: str, row_id: str = "id", vector: str = "vector", k: int = 5, seed: int = 42,
+          counts: dict | None = None) -> DataFrame:
     """Synthetic rows only: (base_id, neighbor_id, copy, u, label, vector).
 
     Each row of a smaller class is the base of an equal number of points (the remainder goes to the
@@ -30,7 +31,7 @@ def smote(df: DataFrame, label: str, row_id: str = "id", vector: str = "vector",
     the same class.
     """
     out = None
-    for cls, (size, need) in smote_plan(df, label).items():
+    for cls, (size, need) in smote_plan(df, label, counts).items():
         if size < 2:
             raise ValueError(f"class {cls!r} has {size} row(s); neighbours need at least 2")
         small = df.where(as_col(label) == cls).select(
@@ -67,9 +68,10 @@ def smote(df: DataFrame, label: str, row_id: str = "id", vector: str = "vector",
     return out
 
 
-def oversample(df: DataFrame, label: str, row_id: str = "id", vector: str = "vector", k: int = 5, seed: int = 42) -> DataFrame:
+def oversample(df: DataFrame, label: str, row_id: str = "id", vector: str = "vector", k: int = 5, seed: int = 42,
+               counts: dict | None = None) -> DataFrame:
     """Original rows plus synthetic ones, as (row_id text, label, vector)."""
     real = df.select(as_col(row_id).cast("string").alias(row_id), as_col(label), as_col(vector).cast("array<double>").alias(vector))
-    made = smote(df, label, row_id, vector, k, seed)
+    made = smote(df, label, row_id, vector, k, seed, counts)
     key = F.concat_ws("#", F.col("base_id").cast("string"), F.col("copy").cast("string"))
     return real.unionByName(made.select(key.alias(row_id), label, vector))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
+from ..session import shuffle_width
 
 _LOW_BITS = 12
 
@@ -23,7 +24,8 @@ def drop_noise_items(df: DataFrame, prefixes: Sequence[str], keep: Sequence[str]
 def frequent_itemsets(df: DataFrame, items: str = "items", min_support: float = 0.05) -> DataFrame:
     """(items sorted, freq, support): FP-growth with its conditional trees spread over the executors."""
     n = df.count()
-    model = FPGrowth(itemsCol=items, minSupport=min_support).fit(df.select(items))
+    parts = shuffle_width(df.sparkSession)  # conditional trees are spread over this many tasks
+    model = FPGrowth(itemsCol=items, minSupport=min_support, numPartitions=parts).fit(df.select(items))
     return model.freqItemsets.select(
         F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.lit(float(max(n, 1)))).alias("support")
     )
