@@ -12,10 +12,15 @@ from ..functions.exprs import as_col, other_cols
 from ..session import cut_lineage, shuffle_width
 
 SMALL_MAP = 100_000
+MAX_DUMMIES = 5_000  # columns; beyond that the sparse form is the right one
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels per column (the fitted vocabulary of a narrow one-hot)."""
+    """Sorted levels per column (the fitted vocabulary of a narrow one-hot), after a check of their number."""
+    sizes = df.agg(*[F.approx_count_distinct(as_col(c)).alias(c) for c in columns]).first().asDict()
+    wide = [c for c, n in sizes.items() if n > MAX_DUMMIES]
+    if wide:
+        raise ValueError(f"{', '.join(wide)}: more than {MAX_DUMMIES} levels; use one_hot_stages for sparse vectors")
     row = df.agg(*[F.array_sort(F.collect_set(as_col(c).cast("string"))).alias(c) for c in columns]).first()
     return {c: list(row[c]) for c in columns}
 

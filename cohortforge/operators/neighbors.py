@@ -51,14 +51,36 @@ def knn_join(
     """(query_id, neighbor_id, distance, rank): the ``k`` nearest rows of every query, ties by row id.
 
     ``vector`` is an array of doubles on both sides; with ``exclude_self`` a row is not its own neighbour.
+
+    Copies are compared once: among equal rows only the first few ids can be among the nearest, and
+    equal queries share one search. So a group of copies of any size adds no quadratic work.
     """
-    spark = rows.sparkSession
-    q = queries.select(as_col(query_id).alias("qid"), as_col(vector).cast("array<double>").alias("vec"))
-    r = rows.select(as_col(row_id).alias("rid"), as_col(vector).cast("array<double>").alias("vec"))
+    need = k + (1 if exclude_self else 0)
+    asked = queries.select(as_col(query_id).alias("qid"), as_col(vector).cast("array<double>").alias("vec"))
+    held = rows.select(as_col(row_id).alias("rid"), as_col(vector).cast("array<double>").alias("vec"))
+    copies = Window.partitionBy("vec").orderBy("rid")
+    held = held.withColumn("__c", F.row_number().over(copies)).where(F.col("__c") <= need).drop("__c")
+    heads = cut_lineage(asked.groupBy("vec").agg(F.min("qid").alias("head")))
+    found = _search(heads, cut_lineage(held), need, block_rows, seed)
+    served = asked.join(heads, "vec").select("qid", "head").join(found, "head")
+    if exclude_self:
+        served = served.where(F.col("qid") != F.col("rid"))
+    order = Window.partitionBy("qid").orderBy("distance", "rid")
+    return (
+        served.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= k)
+        .select(F.col("qid").alias("query_id"), F.col("rid").alias("neighbor_id"), "distance", "rank")
+    )
+
+
+def _search(q: DataFrame, r: DataFrame, k: int, block_rows: int, seed: int) -> DataFrame:
+    """(head, rid, distance): at least the ``k`` nearest rows of every query vector."""
+    spark = r.sparkSession
+    q = q.select(F.col("head").alias("qid"), "vec")
     n_rows = r.count()
     id_type, row_type = dict(q.dtypes)["qid"], dict(r.dtypes)["rid"]
     if n_rows == 0:
-        return spark.createDataFrame([], f"query_id {id_type}, neighbor_id {row_type}, distance double, rank int")
+        return spark.createDataFrame([], f"head {id_type}, rid {row_type}, distance double")
     width = shuffle_width(spark)
     block = int(min(block_rows, max(256, -(-n_rows // width))))
     n_pivots = int(min(MAX_PIVOTS, max(1, -(-n_rows // block))))
@@ -74,19 +96,18 @@ def knn_join(
 
     # Read three times (sizes, closest rows, comparison), so the pivot distances are computed once.
     placed = cut_lineage(r.mapInPandas(to_cell, f"rid {row_type}, vec array<double>, cell int, gap double"))
-    need = k + (1 if exclude_self else 0)
     near = Window.partitionBy("cell").orderBy("gap")
     closest = (
         placed.select("cell", "gap")
         .withColumn("i", F.row_number().over(near))
-        .where(F.col("i") <= need)
+        .where(F.col("i") <= k)
         .groupBy("cell")
         .agg(F.sort_array(F.collect_list("gap")).alias("gaps"))
     )
-    # Bounded: one line per pivot with `need` numbers.
+    # Bounded: one line per pivot with `k` numbers.
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).join(closest, "cell").collect()
     radius = np.full(n_pivots, -1.0)
-    gaps = np.full((n_pivots, need), np.inf)
+    gaps = np.full((n_pivots, k), np.inf)
     blocks = np.ones(n_pivots, dtype="int64")
     for c in cells:
         radius[c["cell"]] = c["radius"]
@@ -97,7 +118,7 @@ def knn_join(
         """Queries x cells: true where a cell can hold one of the query's k nearest rows."""
         d = _distances(_matrix(vec), pivots)
         reach = (d[:, :, None] + gaps[None, :, :]).reshape(len(d), -1)
-        nth = min(need, reach.shape[1]) - 1
+        nth = min(k, reach.shape[1]) - 1
         limit = np.partition(reach, nth, axis=1)[:, nth] * (1 + 1e-9) + 1e-12
         keep = (radius[None, :] >= 0) & (d - radius[None, :] <= limit[:, None])
         apart = between[d.argmin(axis=1)]
@@ -140,7 +161,7 @@ def knn_join(
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []})
+            return pd.DataFrame({"head": [], "rid": [], "distance": []})
         b = b.sort_values("rid", kind="stable")
         right, rid = _matrix(b["vec"]), b["rid"].to_numpy()
         found: list[pd.DataFrame] = []
@@ -149,27 +170,26 @@ def knn_join(
             part = a.iloc[i : i + step]
             qid = part["qid"].to_numpy()
             d = _distances(_matrix(part["vec"]), right)
-            if exclude_self:
-                d[qid[:, None] == rid[None, :]] = np.inf
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
             flat = pd.DataFrame(
                 {
-                    "query_id": np.repeat(qid, best.shape[1]),
-                    "neighbor_id": rid[best.ravel()],
+                    "head": np.repeat(qid, best.shape[1]),
+                    "rid": rid[best.ravel()],
                     "distance": np.take_along_axis(d, best, axis=1).ravel(),
                 }
             )
-            found.append(flat[np.isfinite(flat["distance"])])
+            found.append(flat)
         return pd.concat(found)
 
     keys = ["cell", "block", "chunk"]
     partial = (
         asked.groupBy(*keys)
         .cogroup(held.groupBy(*keys))
-        .applyInPandas(compare, f"query_id {id_type}, neighbor_id {row_type}, distance double")
+        .applyInPandas(compare, f"head {id_type}, rid {row_type}, distance double")
     )
-    order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # The k best of each block, merged per query before they are handed to its copies.
+    order = Window.partitionBy("head").orderBy("distance", "rid")
+    return partial.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= k).drop("__r")
 
 
 def knn_classify(neighbors: DataFrame, labels: DataFrame, row_id: str = "id", label: str = "label",

@@ -41,7 +41,8 @@ def _with_buckets(df: DataFrame, order: str, parts: int | None, raw: DataFrame |
     return (
         lookup.transform(df.withColumn("__order", F.col(order).cast("double")))
         .drop("__order")
-        .withColumn(BUCKET, F.col(BUCKET).cast("int"))
+        # Never null, so no null filter is pushed into one use only and the counted rows are shared.
+        .withColumn(BUCKET, F.coalesce(F.col(BUCKET).cast("int"), F.lit(0)))
     )
 
 
@@ -161,6 +162,8 @@ def exact_quantiles(
             *[F.percentile_approx("value", p, 10000).alias(f"q{i}") for i, p in enumerate(probs)],
             F.count(F.lit(1)).alias("n"),
         )
+    for c in by:
+        df = df.where(as_col(c).isNotNull())  # a null group has no quantile row
     counts = value_counts_long(df, cols, "double", by)
     parts = min(shuffle_width(df.sparkSession), 256)
     keys = [*by, "column"]
@@ -173,7 +176,7 @@ def exact_quantiles(
             edges = F.array(*[F.lit(float(x)) for x in sorted(set(got[c] or []))]).cast("array<double>")
             below = F.size(F.filter(edges, lambda e: e <= F.col("value")))
             bucket = F.when(F.col("column") == c, below).otherwise(bucket)
-        rows = counts.withColumn(BUCKET, bucket)
+        rows = counts.withColumn(BUCKET, F.coalesce(bucket, F.lit(0)))
     else:
         rows = counts.withColumn(BUCKET, F.lit(0))
     totals = rows.groupBy(*keys, BUCKET).agg(F.sum("n").alias("__s"))

@@ -79,8 +79,13 @@ def paired_tests(long: DataFrame, metric: str = "f1", baseline: str | None = Non
     if baseline is None:
         names = rows.agg(F.max((F.col("model") == "zero_r").cast("int")), F.min("model")).first()
         baseline = "zero_r" if names[0] else names[1]
-    base = rows.where(F.col("model") == baseline).select("fold", F.col("value").alias("b"))
-    diffs = rows.where(F.col("model") != baseline).join(base, "fold").select("model", "fold", (F.col("value") - F.col("b")).alias("d"))
+    # The baseline's value is looked up inside the fold (one row per model there), not by a self-join.
+    base = F.max(F.when(F.col("model") == baseline, F.struct("value"))).over(Window.partitionBy("fold"))
+    diffs = (
+        rows.withColumn("b", base)
+        .where((F.col("model") != baseline) & F.col("b").isNotNull())
+        .select("model", "fold", (F.col("value") - F.col("b.value")).alias("d"))
+    )
     size = F.round(F.abs("d"), 12)  # equal gaps tie despite float noise
     ranked = (
         diffs.where(size > 0)

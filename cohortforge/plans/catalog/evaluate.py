@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ...functions.exprs import round_all
 from ...operators import metrics, ordered, reduce, significance
+from ...session import cut_lineage
 from ..bindings import SCORED, plain, view
 from ..registry import query
 
@@ -271,7 +272,7 @@ FOLD_METRICS = (
 
 def fold_metrics(spark, d):
     wide = metrics.classification_metrics(scored(spark, d)).select("model", "fold", "f1", "auc_roc", "recall")
-    return metrics.metrics_long(wide)
+    return cut_lineage(metrics.metrics_long(wide))  # a few numbers per model and fold, read several times
 
 
 # Two-sided 95 % quantile of Student's t at 9 degrees of freedom, from the printed table.

@@ -144,7 +144,7 @@ def q_l1(spark, d):
 
 def holdout(scorer, rows: DataFrame) -> DataFrame:
     """Confusion counts and AUC of a scorer on a table."""
-    out = scorer(rows).select("id", F.lit("m").alias("model"), F.lit(0).alias("fold"), F.col("label").cast("int").alias("y_true"), "y_pred", "y_prob")
+    out = scorer(rows).select("id", F.lit("m").alias("model"), F.col("is_test").alias("fold"), F.col("label").cast("int").alias("y_true"), "y_pred", "y_prob")
     return round_all(metrics.classification_metrics(out), 4)
 
 
@@ -175,6 +175,42 @@ def q_nb(spark, d):
     return round_all(learners.gaussian_nb_scorer(rows, _NB_COLS)(rows).select("id", "y_pred", "y_prob"))
 
 
+@query(
+    "naive_bayes_ml",
+    LN + f""", g AS (SELECT label AS l, COUNT(*) / (SELECT COUNT(*) FROM li) AS prior, {_NB} FROM li GROUP BY 1),
+    s AS (SELECT id, l, ln(prior) {_LL} AS ll FROM li, g)
+    SELECT a.id, CASE WHEN b.ll > a.ll THEN 1 ELSE 0 END AS y_pred, ROUND(1 / (1 + exp(a.ll - b.ll)), 5) AS y_prob FROM s a JOIN s b ON a.id = b.id AND a.l = 0 AND b.l = 1""",
+)
+def q_nb_ml(spark, d):
+    rows = encode.assemble_vector(lines(spark, d), _NB_COLS)
+    return round_all(learners.fit_scorer("naive_bayes", rows)(rows).select("id", "y_pred", "y_prob"), 5)
+
+
+@query(
+    "one_r",
+    PT + """, v AS (SELECT DISTINCT size FROM pa), t AS (SELECT (size + lead(size) OVER (ORDER BY size)) / 2 AS cut FROM v),
+    c AS (SELECT cut, CASE WHEN size <= cut THEN 0 ELSE 1 END AS side, COUNT(*) * 1e0 AS n, AVG(label) AS p FROM pa, t WHERE cut IS NOT NULL GROUP BY 1, 2),
+    b AS (SELECT cut FROM c GROUP BY cut ORDER BY SUM(n * 2 * p * (1 - p)), cut LIMIT 1),
+    f AS (SELECT side, p FROM c JOIN b ON b.cut = c.cut)
+    SELECT id, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS y_pred, ROUND(p, 6) AS y_prob FROM pa, b JOIN f ON f.side = CASE WHEN size <= b.cut THEN 0 ELSE 1 END""",
+)
+def q_one_r(spark, d):
+    """With as many bins as values the one-split tree is the best Gini cut, found here by hand."""
+    rows = encode.assemble_vector(view(spark, d, PARTS), ["size"])
+    return round_all(learners.fit_scorer("one_r", rows, maxBins=64)(rows).select("id", "y_pred", "y_prob"))
+
+
+@query(
+    "logistic_saturated",
+    PT + "SELECT cheap_type, ROUND(AVG(label), 3) AS y_prob, COUNT(*) AS n FROM pa GROUP BY 1",
+)
+def q_saturated(spark, d):
+    """Without a penalty and with one 0/1 feature the fit must give the two group rates."""
+    rows = encode.assemble_vector(view(spark, d, PARTS), ["cheap_type"])
+    out = learners.fit_scorer("logistic_regression", rows, regParam=0.0, tol=1e-9)(rows)
+    return out.groupBy("cheap_type").agg(F.round(F.avg("y_prob"), 3).alias("y_prob"), F.count(F.lit(1)).alias("n"))
+
+
 def _model_query(name, **params):
     def run(spark, d):
         train, test = split_parts(spark, d)
@@ -184,8 +220,8 @@ def _model_query(name, **params):
 
 
 for _name, _key, _params in (
-    ("one_r", "one_r", {}),
-    ("naive_bayes_ml", "naive_bayes", {}),
+    ("one_r_holdout", "one_r", {}),
+    ("naive_bayes_holdout", "naive_bayes", {}),
     ("logistic", "logistic_regression", {}),
     ("decision_tree", "decision_tree", {}),
     ("sgd_logloss", "sgd_classifier", {}),
@@ -302,6 +338,17 @@ def q_cross(spark, d):
     return round_all(learners.cross_validate(oof), 4)
 
 
+@query(
+    "cross_validate_baseline",
+    f"""{PT}, f AS (SELECT label, CAST((row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(id AS VARCHAR))) - 1) % 3 AS INT) AS fold FROM pa),
+    a AS (SELECT fold, AVG(1 - label) AS accuracy FROM f GROUP BY 1)
+    SELECT 'zero_r' AS model, 'accuracy' AS metric, ROUND(AVG(accuracy), 6) AS mean, ROUND(stddev_pop(accuracy), 6) AS std FROM a""",
+)
+def q_cross_zero(spark, d):
+    oof = learners.run_cv(cut_lineage(parts(spark, d, 3)), ["zero_r"])
+    return round_all(learners.cross_validate(oof, "accuracy"))
+
+
 @query(
     "knn_out_of_fold",
     VEC_SQL + """, f AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(id AS VARCHAR))) - 1) % 2 AS fold FROM v),
