@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
@@ -34,7 +34,7 @@ from ..functions.exprs import as_col
 from ..session import cut_lineage
 from .metrics import classification_metrics, metrics_long
 from .neighbors import knn_classify, knn_join
-from .reduce import fit_reduction, fit_standardizer
+from .reduce import fit_reduction, fit_standardizer, reduction_stages
 from .resample import oversample
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -297,12 +297,23 @@ def _evaluator(scoring: str, label: str):
 
 
 def grid_search(df: DataFrame, model: str, grid: Mapping[str, Sequence] | None = None, fold: str = "fold", features: str = "features",
-                label: str = "label", scoring: str = "f1", parallelism: int = 2, seed: int = 42):
-    """Exhaustive search scored over an existing fold column; returns (fitted CrossValidatorModel, result table)."""
-    if model not in GRIDS:
+                label: str = "label", scoring: str = "f1", parallelism: int = 2, seed: int = 42, scale: bool | None = None,
+                reduction: tuple[str, dict] | None = None):
+    """Exhaustive search scored over an existing fold column; returns (fitted CrossValidatorModel, result table).
+
+    Scaler, reduction and classifier form one Pipeline, so each is fitted on the training folds only.
+    """
+    if model not in GRIDS or model == "knn":
         raise ValueError(f"no grid for {model!r}")
     n = df.count()
-    est = make_classifier(model, n, features, label, None, seed)
+    stages, vec = [], features
+    if model in SCALE_SENSITIVE if scale is None else scale:
+        stages.append(StandardScaler(inputCol=vec, outputCol="__scaled", withMean=False, withStd=True))
+        vec = "__scaled"
+    if reduction is not None:
+        stages += reduction_stages(reduction, vec, label, "__reduced")
+        vec = "__reduced"
+    est = make_classifier(model, n, vec, label, None, seed)
     builder = ParamGridBuilder()
     for key, values in (grid or GRIDS[model]).items():
         if key == "C":
@@ -312,7 +323,7 @@ def grid_search(df: DataFrame, model: str, grid: Mapping[str, Sequence] | None =
     maps = builder.build()
     k = df.select(F.max(fold)).first()[0] + 1
     cv = CrossValidator(
-        estimator=est, estimatorParamMaps=maps, evaluator=_evaluator(scoring, label), numFolds=k, foldCol=fold, parallelism=parallelism
+        estimator=Pipeline(stages=[*stages, est]), estimatorParamMaps=maps, evaluator=_evaluator(scoring, label), numFolds=k, foldCol=fold, parallelism=parallelism
     )
     fitted = cv.fit(df)
     rows = [
@@ -322,8 +333,45 @@ def grid_search(df: DataFrame, model: str, grid: Mapping[str, Sequence] | None =
     return fitted, df.sparkSession.createDataFrame(rows, "params string, mean double, std double")
 
 
+def knn_search(df: DataFrame, grid: Mapping[str, Sequence] | None = None, fold: str = "fold", features: str = "features",
+               label: str = "label", row_id: str = "id", scoring: str = "f1", scale: bool = True) -> tuple[dict, DataFrame]:
+    """Best (k, weights) over an existing fold column, and the result table.
+
+    Each fold is searched once for the largest k; every smaller k and both votes reuse those neighbours.
+    """
+    grid = grid or GRIDS["knn"]
+    ks, votes = list(grid.get("k", [5])), list(grid.get("weights", ["uniform"]))
+    metric = {"roc_auc": "auc_roc"}.get(scoring, scoring)
+    near = None
+    for i in [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]:
+        train, held = df.where(as_col(fold) != i), df.where(as_col(fold) == i)
+        vec = features
+        if scale:
+            step, vec = fit_standardizer(train, features, "__scaled"), "__scaled"
+            train, held = step.transform(train), step.transform(held)
+        arr = vector_to_array(vec).alias("__vec")
+        part = knn_join(held.select(row_id, arr), train.select(row_id, arr), max(ks), row_id, row_id, "__vec")
+        part = part.withColumn("__fold", F.lit(i))
+        near = part if near is None else near.unionByName(part)
+    near = cut_lineage(near)
+    truth = df.select(as_col(row_id).alias("query_id"), as_col(label).cast("int").alias("y_true"), as_col(fold).alias("fold"))
+    plans = {f"k={k}, weights={vote}": {"k": k, "weights": vote} for k, vote in itertools.product(ks, votes)}
+    voted = None
+    for name, p in plans.items():
+        part = knn_classify(near.where(F.col("rank") <= p["k"]), df, row_id, label, p["weights"]).withColumn("model", F.lit(name))
+        voted = part if voted is None else voted.unionByName(part)
+    # All settings are scored as models of one table, in one pass.
+    table = cv_metrics(cut_lineage(voted.join(truth, "query_id"))).where(F.col("metric") == metric).groupBy("model")
+    rows = table.agg(F.avg("value"), F.stddev_pop("value")).collect()
+    scores = {r[0]: (r[1], r[2]) for r in rows}
+    top = max(plans, key=lambda n: scores[n][0])
+    out = df.sparkSession.createDataFrame([(n, *scores[n]) for n in plans], "params string, mean double, std double")
+    return plans[top] | {"score": scores[top][0]}, out
+
+
 def nested_cv(df: DataFrame, models: Sequence[str], grids: Mapping[str, Mapping[str, Sequence]] | None = None, features: str = "features",
-              label: str = "label", row_id: str = "id", scoring: str = "f1", seed: int = 42) -> tuple[DataFrame, DataFrame]:
+              label: str = "label", row_id: str = "id", scoring: str = "f1", seed: int = 42, scale: bool | None = None,
+              reduction: tuple[str, dict] | None = None) -> tuple[DataFrame, DataFrame]:
     """Outer estimate of tuned models over ``outer_fold`` / ``inner_fold`` columns (see ``nested_folds``).
 
     Returns the out-of-fold table and the chosen parameters per (model, fold); models without a grid are skipped.
@@ -331,19 +379,28 @@ def nested_cv(df: DataFrame, models: Sequence[str], grids: Mapping[str, Mapping[
     grids = grids or GRIDS
     outer = [r[0] for r in df.select("outer_fold").distinct().orderBy("outer_fold").collect()]
     out, chosen = None, []
-    for name, o in itertools.product([m for m in models if m in grids and m != "knn"], outer):
+    for name, o in itertools.product([m for m in models if m in grids], outer):
         train = df.where(F.col("outer_fold") != o).withColumn("__inner", F.col("inner_fold")[o])
-        fitted, _ = grid_search(train, name, grids[name], "__inner", features, label, scoring, seed=seed)
-        best = max(range(len(fitted.avgMetrics)), key=lambda i: fitted.avgMetrics[i])
-        chosen.append((name, o, ", ".join(f"{p.name}={v}" for p, v in fitted.getEstimatorParamMaps()[best].items()), float(fitted.avgMetrics[best])))
-        scored = fitted.bestModel.transform(df.where(F.col("outer_fold") == o))
+        held = df.where(F.col("outer_fold") == o)
+        if name == "knn":
+            best, _ = knn_search(train, grids[name], "__inner", features, label, row_id, scoring, scale is not False)
+            score = best.pop("score")
+            chosen.append((name, o, ", ".join(f"{k}={v}" for k, v in best.items()), score))
+            scored = fit_fold_steps(name, train, features, label, row_id, scale, reduction=reduction, seed=seed, **best)(held)
+        else:
+            fitted, _ = grid_search(train, name, grids[name], "__inner", features, label, scoring, 2, seed, scale, reduction)
+            top = max(range(len(fitted.avgMetrics)), key=lambda i: fitted.avgMetrics[i])
+            picked = fitted.getEstimatorParamMaps()[top].items()
+            chosen.append((name, o, ", ".join(f"{p.name}={v}" for p, v in picked), float(fitted.avgMetrics[top])))
+            scored = fitted.bestModel.transform(held)
+            scored = scored.withColumns({"y_pred": F.col("prediction").cast("int"), "y_prob": positive_probability(scored)})
         part = scored.select(
             as_col(row_id),
             F.lit(name).alias("model"),
             F.col("outer_fold").alias("fold"),
             as_col(label).cast("int").alias("y_true"),
-            F.col("prediction").cast("int").alias("y_pred"),
-            positive_probability(scored).alias("y_prob"),
+            F.col("y_pred").cast("int").alias("y_pred"),
+            "y_prob",
         )
         out = part if out is None else out.unionByName(part)
     if out is None:
@@ -417,8 +474,6 @@ def train_classifier(df: DataFrame, columns: Sequence[str], name: str = "random_
     stages = [VectorAssembler(inputCols=list(columns), outputCol="features")]
     vec = "features"
     if scale:
-        from pyspark.ml.feature import StandardScaler
-
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=False, withStd=True))
         vec = "scaled"
     stages.append(make_classifier(name, rows.count(), vec, label, weight, seed, **params))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, UnivariateFeatureSelector, VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -31,8 +31,12 @@ def fit_standardizer(df: DataFrame, features: str, output: str, center: bool = F
 
 def fit_pca(df: DataFrame, features: str, output: str, k: int) -> PipelineModel:
     """Centre, then project. The covariance (columns squared, not rows) is the only thing on the driver."""
+    return Pipeline(stages=pca_stages(features, output, k)).fit(df)
+
+
+def pca_stages(features: str, output: str, k: int) -> list:
     center = StandardScaler(inputCol=features, outputCol=f"{output}__c", withMean=True, withStd=False)
-    return Pipeline(stages=[center, PCA(k=k, inputCol=f"{output}__c", outputCol=output)]).fit(df)
+    return [center, PCA(k=k, inputCol=f"{output}__c", outputCol=output)]
 
 
 def explained_variance(model: PipelineModel, spark) -> DataFrame:
@@ -65,8 +69,25 @@ def pca_loadings(model: PipelineModel, names: Sequence[str], spark, components:
 
 def fit_kbest(df: DataFrame, features: str, label: str, output: str, k: int = 20):
     """The k features with the highest one-way F against the label."""
+    return kbest_stage(features, label, output, k).fit(df)
+
+
+def kbest_stage(features: str, label: str, output: str, k: int = 20) -> UnivariateFeatureSelector:
     sel = UnivariateFeatureSelector(featuresCol=features, labelCol=label, outputCol=output, selectionMode="numTopFeatures")
-    return sel.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k).fit(df)
+    return sel.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k)
+
+
+class ImportanceSelector(Estimator):
+    """Pipeline stage that picks features by a fitted model's importances (see ``fit_from_importances``)."""
+
+    def __init__(self, features: str, label: str, output: str, estimator=None, max_features: int = 20):
+        super().__init__()
+        if estimator is None:
+            raise ValueError("select_from_model needs an estimator")
+        self._args = (features, label, output, estimator, max_features)
+
+    def _fit(self, dataset: DataFrame) -> VectorSlicer:
+        return fit_from_importances(dataset, *self._args)
 
 
 def fit_from_importances(df: DataFrame, features: str, label: str, output: str, estimator=None, max_features: int = 20):
@@ -87,13 +108,18 @@ def default_importance_estimator(seed: int = 42) -> RandomForestClassifier:
 
 def fit_reduction(df: DataFrame, spec: tuple[str, dict], features: str, label: str, output: str):
     """A transformer for ``('pca' | 'select_kbest' | 'select_from_model', parameters)``."""
+    return Pipeline(stages=reduction_stages(spec, features, label, output)).fit(df)
+
+
+def reduction_stages(spec: tuple[str, dict], features: str, label: str, output: str) -> list:
+    """Unfitted stages of a reduction, to be fitted on whatever rows the surrounding fold trains on."""
     kind, params = spec
     if kind == "pca":
-        return fit_pca(df, features, output, **params)
+        return pca_stages(features, output, **params)
     if kind == "select_kbest":
-        return fit_kbest(df, features, label, output, **params)
+        return [kbest_stage(features, label, output, **params)]
     if kind == "select_from_model":
-        return fit_from_importances(df, features, label, output, **params)
+        return [ImportanceSelector(features, label, output, **params)]
     raise ValueError(f"unknown reduction {kind!r}; use 'pca', 'select_kbest' or 'select_from_model'")
 
 

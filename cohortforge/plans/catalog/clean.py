@@ -8,7 +8,7 @@ from ...operators import clean, joins, learners, ordered, profile
 from ...session import scratch_path
 from ...sources import tables as src
 from ..bindings import ENCOUNTERS, PARTS, plain, table, view
-from ..cohort import preprocess, readmission_profile
+from ..cohort import preprocess, readmission_profile, run_preprocess
 from ..registry import query
 
 ENC = f"WITH enc AS ({plain(ENCOUNTERS)}) "
@@ -336,6 +336,12 @@ def q_before_after(spark, d):
     return out.select("column", "transform", *[F.round(c, 6).alias(c) for c in out.columns if c not in ("column", "transform")])
 
 
+@query("run_preprocess", "SELECT DISTINCT o_orderstatus, o_orderpriority, o_totalprice FROM orders")
+def q_run_preprocess(spark, d):
+    out = run_preprocess(spark, "orders.parquet", scratch_path(spark, "processed"), [d], drop_ids=True, ids=["o_orderkey", "o_custkey"])
+    return out.select("o_orderstatus", "o_orderpriority", "o_totalprice").distinct()
+
+
 @query(
     "preprocess_chain",
     f"""WITH g AS (SELECT DISTINCT * FROM ({plain(GAPS)}) x),

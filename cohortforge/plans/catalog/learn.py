@@ -319,10 +319,26 @@ def q_grid(spark, d):
     return round_all(out, 4)
 
 
+@query(
+    "knn_search",
+    VEC_SQL + """, f AS (SELECT id, CASE WHEN label < 2 THEN 1 ELSE 0 END AS label, vector FROM v),
+    g AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(id AS VARCHAR))) - 1) % 2 AS fold FROM f),
+    p AS (SELECT a.id AS q, a.fold AS fold, a.label AS y, b.label AS l, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vector, b.vector), b.id) AS r
+      FROM g a JOIN g b ON a.fold <> b.fold),
+    k AS (SELECT unnest([3, 5]) AS k), c AS (SELECT k, q, fold, y, CASE WHEN SUM(l) > k / 2 THEN 1 ELSE 0 END AS z FROM p, k WHERE r <= k GROUP BY k, q, fold, y),
+    a AS (SELECT k, fold, AVG(CASE WHEN y = z THEN 1 ELSE 0 END) AS acc FROM c GROUP BY 1, 2)
+    SELECT 'k=' || CAST(k AS VARCHAR) || ', weights=uniform' AS params, ROUND(AVG(acc), 6) AS mean, ROUND(stddev_pop(acc), 6) AS std FROM a GROUP BY k""",
+)
+def q_knn_search(spark, d):
+    _, out = learners.knn_search(cut_lineage(embedded(spark, d, 2)), {"k": [3, 5]}, scoring="accuracy", scale=False)
+    return round_all(out)
+
+
 @query("nested_cv")
 def q_nested(spark, d):
     rows = cut_lineage(folds.nested_folds(parts(spark, d), "label", ["id"], 3, 2))
-    oof, chosen = learners.nested_cv(rows, ["logistic_regression", "zero_r"], {"logistic_regression": {"C": [0.1, 1.0]}})
+    grids = {"logistic_regression": {"C": [0.1, 1.0]}, "knn": {"k": [3, 7], "weights": ["uniform", "distance"]}}
+    oof, chosen = learners.nested_cv(rows, ["logistic_regression", "knn", "zero_r"], grids)
     return round_all(metrics.classification_metrics(oof).join(chosen, ["model", "fold"]), 4)
 
 

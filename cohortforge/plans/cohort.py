@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, encode, features, joins, profile
-from ..sources.tables import sentinel_to_null
+from ..sources.tables import load_table, sentinel_to_null, write_table
 
 
 def preprocess(df: DataFrame, outlier_columns: Sequence[str] | None = None, categorical_columns: Sequence[str] | None = None,
@@ -25,6 +25,12 @@ def preprocess(df: DataFrame, outlier_columns: Sequence[str] | None = None, cate
     return clean.drop_columns(out, ids) if drop_ids else out
 
 
+def run_preprocess(spark: SparkSession, raw: str, processed: str, roots: Sequence[str] = ("data/raw",), **options) -> DataFrame:
+    """Read a raw table, run ``preprocess`` with ``options`` and write the result; returns the written table."""
+    write_table(preprocess(load_table(spark, raw, roots), **options), processed)
+    return load_table(spark, processed, fmt="parquet")
+
+
 def prepare_encounters(raw: DataFrame) -> DataFrame:
     """Sentinel and constant fills, terminal filter, first event per patient, target, engineered columns.
 
