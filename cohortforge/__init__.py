@@ -1,3 +1,10 @@
 """cohortforge: cohort and risk analytics as Spark DataFrame jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few functions that run in Python workers travel with the task, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
