@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
+from ..session import shuffle_width
 from .ordered import exact_quantiles, hash_rank
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -80,6 +81,11 @@ def partial_dependence(df: DataFrame, score: Scorer, columns: Sequence[str], gri
     return score(rows).groupBy("feature", "value").agg(F.avg(output).alias("mean_prediction"))
 
 
+def _by_row(df: DataFrame, row_id: str) -> DataFrame:
+    """Shuffle the rows once by id before they are multiplied, so that the sums per row need no shuffle after it."""
+    return df.repartition(shuffle_width(df.sparkSession), as_col(row_id))
+
+
 def _orders(d: int, seed: int, size: int = 128) -> np.ndarray:
     """The feature orders to draw from: all of them if there are few, else a fixed random set with its reverses."""
     if d <= 5:
@@ -109,7 +115,8 @@ def shapley_sampling(df: DataFrame, score: Scorer, columns: Sequence[str], backg
     table = lambda rows: F.array(*[F.array(*[F.lit(int(x)) for x in r]) for r in rows])
     drawn = F.pmod(F.xxhash64(F.lit(seed), as_col(row_id), "__perm"), F.lit(len(bank))).cast("int")
     rows = (
-        df.withColumns({c: as_col(c).cast("double") for c in columns})
+        _by_row(df, row_id)
+        .withColumns({c: as_col(c).cast("double") for c in columns})
         .withColumn("__perm", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
         .withColumn("__drawn", drawn)
         .withColumn("__order", table(bank)[F.col("__drawn")])
@@ -155,7 +162,7 @@ def local_surrogate(df: DataFrame, score: Scorer, columns: Sequence[str], row_id
     stat = df.agg(*[F.stddev_pop(as_col(c)).alias(c) for c in columns]).first()
     scale = {c: float(stat[c] or 1.0) for c in columns}
     width = 0.75 * float(np.sqrt(d))
-    rows = df.withColumns({c: as_col(c).cast("double") for c in columns}).withColumn(
+    rows = _by_row(df, row_id).withColumns({c: as_col(c).cast("double") for c in columns}).withColumn(
         "__s", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))
     )
     noise = {}
