@@ -76,9 +76,11 @@ SELECT o_orderkey AS encounter_id, o_custkey AS patient_nbr,
 FROM {{orders}}"""
 
 _SCORE = "(CAST(ROUND(l_discount * 100) AS INT) * 5 + CAST(l_quantity AS INT))"
+# (order, line number) is not unique in the tables; with part, supplier and price it is.
+_LINE_ID = """CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING)
+    || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS STRING)"""
 SCORED = f"""
-SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING)
-    || '-' || CAST(l_suppkey AS STRING) AS id,
+SELECT {_LINE_ID} AS id,
   'm' || CAST(l_linenumber % 3 AS STRING) AS model,
   CAST(l_suppkey % 10 AS INT) AS fold,
   CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y_true,
@@ -98,12 +100,11 @@ FROM {{lineitem}}"""
 VECTORS = "SELECT vec_id AS id, label, CAST(embedding AS {array}) AS vector FROM {embeddings}"
 
 # Numeric risk table: one row per order line, used by the closed-form learners and scorers.
-LINES = """
-SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING)
-    || '-' || CAST(l_suppkey AS STRING) AS id,
+LINES = f"""
+SELECT {_LINE_ID} AS id,
   l_quantity AS qty, l_discount AS disc, l_tax AS tax, l_extendedprice AS price,
   CASE WHEN l_extendedprice > 40000 AND l_quantity > 20 THEN 1 ELSE 0 END AS label
-FROM {lineitem}"""
+FROM {{lineitem}}"""
 
 PARTS = """
 SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price,
