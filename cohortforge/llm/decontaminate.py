@@ -40,8 +40,8 @@ from .tables import bounded_batches, materialize, slices
 K1, B = 1.2, 0.75
 BLOCK, SHARD, GROUPS = 16, 1_000_000, 128
 RUN = 3
-#: Words searched at once in a task (a longer text goes whole).
-CHUNK = 50_000
+#: Characters searched at once in a task (a longer text goes whole).
+CHUNK = 300_000
 words_of = re.compile(r"[^\W_]+").findall
 _last_stop = re.compile(r"[.!?\n]\s*(?=[^\W_])")
 
@@ -186,13 +186,10 @@ def overlap(part: list[str], passage: list[str]) -> float:
 def search_texts(texts: list[str | None], part: Part, share: float, question: float, answer: float) -> list[dict[int, tuple[float, float, float]]]:
     """Per whole text: item -> (largest score, question and answer overlap) of every confirmed item."""
     out: list[dict] = [{} for _ in texts]
-    split = [words_of(t.casefold()) if t else [] for t in texts]
-    for i, j in slices([len(w) for w in split], CHUNK):
-        if j - i == 1:
-            _search(split[i], np.zeros(1, np.int64), [out[i]], part, share, question, answer)
-        else:
-            starts = np.cumsum([0] + [len(w) for w in split[i : j - 1]])
-            _search([w for words in split[i:j] for w in words], starts, out[i:j], part, share, question, answer)
+    for i, j in slices([len(t or "") for t in texts], CHUNK):
+        split = [words_of(t.casefold()) if t else [] for t in texts[i:j]]
+        starts = np.cumsum([0] + [len(w) for w in split[:-1]])
+        _search([w for words in split for w in words], starts, out[i:j], part, share, question, answer)
     return out
 
 

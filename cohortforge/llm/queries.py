@@ -85,8 +85,7 @@ def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
-    path = tokenizer_path()
-    rows = sentencepiece_bpe.decode(sentencepiece_bpe.encode(table(spark, d, "documents").select("doc_id", "text"), path), path)
+    rows = sentencepiece_bpe.round_trip(table(spark, d, "documents").select("doc_id", "text"), tokenizer_path())
     return rows.select(
         "row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import bounded_batches, packed
+from .tables import bounded_batches, packed, slices
 
 MARK = "▁"
 NEVER = np.iinfo(np.int32).max
 #: Words that a task remembers; beyond that it starts afresh.
-MEMORY = 400_000
+MEMORY = 250_000
+#: Characters cut into words at once (a longer text goes whole).
+CHUNK = 1_000_000
 
 
 @dataclass
@@ -164,6 +166,9 @@ class Encoder:
         self.raw = [byte.get(i, t.replace(MARK, " ").encode()) for i, t in enumerate(pieces.text)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [ids for i, j in slices([len(t) for t in texts], CHUNK) for ids in self._encode(texts[i:j])]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         if len(self.memory) > MEMORY:
             self.memory.clear()
@@ -190,11 +195,6 @@ class Encoder:
         return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
-def _by_batch(series: Iterator[pd.Series], work) -> Iterator[pd.Series]:
-    for s in series:
-        yield pd.Series(work(list(s)), dtype=object)
-
-
 def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """(row, ids array<int>): every row packed, with the ids of its whole text."""
     spark = docs.sparkSession
@@ -203,7 +203,9 @@ def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from _by_batch(texts, Encoder(shared.value).encode)
+        coder = Encoder(shared.value)
+        for batch in texts:
+            yield pd.Series(coder.encode(list(batch)), dtype=object)
 
     return packed(docs).withColumn("ids", ids_of(F.coalesce(F.col(f"row.`{text}`"), F.lit(""))))
 
@@ -216,6 +218,25 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
 
     @F.pandas_udf(T.StringType())
     def text_of(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        yield from _by_batch(values, Encoder(shared.value).decode)
+        coder = Encoder(shared.value)
+        for batch in values:
+            yield pd.Series(coder.decode(list(batch)), dtype=object)
 
     return rows.withColumn("decoded", text_of(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
+
+
+def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """(row, ids, decoded): ``encode`` and ``decode`` in one pass over the texts."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    shared = spark.sparkContext.broadcast(load_pieces(model_path))
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        coder = Encoder(shared.value)
+        for batch in texts:
+            ids = coder.encode(list(batch))
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(coder.decode(ids), dtype=object)})
+
+    rows = packed(docs).withColumn("both", both(F.coalesce(F.col(f"row.`{text}`"), F.lit(""))))
+    return rows.select("row", "both.ids", "both.decoded")

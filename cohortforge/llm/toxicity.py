@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import bounded_batches
+from .tables import bounded_batches, slices
 
 P, SPAN, DECAY, LONGEST = 4, 6, 0.6, 30
 #: Offsets of the other characters from the first, and what they weigh.
@@ -43,7 +43,9 @@ COMBOS = [(0, *c) for c in combinations(range(1, SPAN), P - 1)]
 WEIGHTS = np.array([DECAY ** (c[-1] - P + 1) for c in COMBOS], dtype=np.float32)
 #: Characters fall into 64 classes: end marks, digits, letters; rare letters share classes by code.
 END, CLASSES = 1, 64
-MEMORY = 300_000
+MEMORY = 250_000
+#: Characters cut into words at once (a longer text goes whole).
+CHUNK = 1_000_000
 SINGLES = 4
 
 
@@ -186,6 +188,9 @@ class Scorer:
 
     def sentences(self, texts: list[str]) -> list[np.ndarray]:
         """Per text the value of each sentence: that of its most toxic word."""
+        return [v for i, j in slices([len(t) for t in texts], CHUNK) for v in self._sentences(texts[i:j])]
+
+    def _sentences(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.lower().split() for t in texts]
         if len(self.memory) > MEMORY:
             self.memory.clear()
