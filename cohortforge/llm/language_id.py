@@ -21,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches, slices
+from .tables import bounded_batches, slices, smallest_hashes
 
 ORDER = 3
 #: Bytes scored at once in a task.
@@ -71,9 +71,10 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
 
 def sample_rows(docs: DataFrame, rows_per_language: int) -> DataFrame:
-    """The rows of each language with the smallest hashes, at most so many."""
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    return docs.where("text is not null and lang is not null").withColumn("__place", F.row_number().over(w)).where(F.col("__place") <= rows_per_language).select("lang", "text")
+    """Whole texts of the rows of each language with the smallest hashes of their ids, at most so many ids."""
+    usable = docs.where("text is not null and lang is not null and doc_id is not null")
+    some = smallest_hashes(usable.select("doc_id", "lang"), "lang", ["doc_id"], rows_per_language)
+    return usable.join(F.broadcast(some.distinct()), ["doc_id", "lang"]).select("lang", "text")  # so many ids of each language
 
 
 def fit(rows: DataFrame) -> Trees:

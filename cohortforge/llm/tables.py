@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -38,6 +38,19 @@ def fold_of(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4, F.lit(0))
 
 
+def smallest_hashes(df: DataFrame, key: str, ids: list[str], most: int) -> DataFrame:
+    """The rows of each key with the smallest hashes of ``ids``, at most ``most`` of them.
+
+    Counts come first; then only rows whose hash is below twice the share that is wanted go into the ranking, so what a
+    task ranks is about as small as the result however many rows a key has.
+    """
+    hashed = df.withColumn("__hash", F.xxhash64(*ids))
+    sizes = hashed.groupBy(F.col(key).alias("__key")).agg((F.lit(2.0 * most) / F.count("*")).alias("__share"))
+    low = hashed.join(sizes, F.col(key) == F.col("__key")).where(F.col("__hash") / 2.0**64 + 0.5 < F.col("__share"))
+    place = F.row_number().over(Window.partitionBy(key).orderBy("__hash", *ids))
+    return low.withColumn("__place", place).where(F.col("__place") <= most).drop("__hash", "__key", "__share", "__place")
+
+
 def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Runs [i, j) of neighbouring items of at most ``limit`` in all (one item at least)."""
     start, total = 0, 0

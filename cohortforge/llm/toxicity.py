@@ -31,11 +31,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import bounded_batches, slices
+from .tables import bounded_batches, slices, smallest_hashes
 
 P, SPAN, DECAY, LONGEST = 4, 6, 0.6, 30
 #: Offsets of the other characters from the first, and what they weigh.
@@ -260,12 +260,19 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
+class _Known(dict):
+    def __missing__(self, word: str) -> list[str]:
+        self[word] = cut = pieces(word)
+        return cut
+
+
 def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int = 3, ridge: float = 1.0) -> Model:
     """Texts of the bounded sample with labels 0/1."""
     y = np.array(toxic)
     if len(set(toxic)) < 2:
         return Model()
-    split = [[[x for w in s.split() for x in pieces(w)] for s in re.split(r"(?<=[.!?])\s+", t.lower())] for t in texts]
+    known = _Known()  # every word is kept once
+    split = [[[x for w in s.split() for x in known[w]] for s in re.split(r"(?<=[.!?])\s+", t.lower())] for t in texts]
     docs = [set(w for s in d for w in s) for d in split]
     inside, outside = Counter(), Counter()
     for d, label in zip(docs, toxic):
@@ -327,8 +334,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int =
 def sample_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
     """(text, toxic) of the labelled documents with the smallest hashes: at most so many labels of each class."""
     marks = labels.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    w = Window.partitionBy("toxic").orderBy(F.xxhash64("__id"), "__id")
-    some = marks.withColumn("__place", F.row_number().over(w)).where(F.col("__place") <= rows_per_class).select("__id", "toxic")
+    some = smallest_hashes(marks, "toxic", ["__id"], rows_per_class)
     return docs.join(F.broadcast(some), F.col("doc_id") == F.col("__id")).where("text is not null").select("text", "toxic")  # 2 * rows_per_class rows
 
 
