@@ -28,6 +28,11 @@ def count_where(cond: Column) -> Column:
     return F.coalesce(F.sum(flag(cond).cast("long")), F.lit(0).cast("long"))
 
 
+def present(df: DataFrame, c: str) -> Column:
+    """The column with NaN as null: both count as missing."""
+    return F.when(~F.isnan(as_col(c)), as_col(c)) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else as_col(c)
+
+
 def numeric_cols(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     skip = set(exclude)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]

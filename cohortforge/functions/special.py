@@ -47,14 +47,10 @@ def chi2_tail(x: float, df: int) -> float:
     if x <= 0:
         return 1.0
     half = x / 2
-    if df % 2:
-        total, term, start = math.erfc(math.sqrt(half)), math.exp(-half) * math.sqrt(half) / math.gamma(1.5), 1.5
-    else:
-        total, term, start = 0.0, math.exp(-half), 1.0
-    for i in range(df // 2):
-        total += term
-        term *= half / (start + i)
-    return min(1.0, total)
+    first = 0.5 if df % 2 else 0.0
+    # terms half^k e^-half / gamma(k + 1) by their logarithms: far from the ends each alone may underflow
+    total = math.fsum(math.exp(k * math.log(half) - half - math.lgamma(k + 1)) for k in (first + i for i in range(df // 2)))
+    return min(1.0, total + (math.erfc(math.sqrt(half)) if df % 2 else 0.0))
 
 
 def signed_rank_p(w: float, n: int, ties: float, exact: bool) -> float:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_col, count_where, flag, melt, numeric_cols, other_cols, ratio
+from ..functions.exprs import as_col, count_where, flag, melt, numeric_cols, other_cols, present, ratio
 from .ordered import exact_quantiles, modes
 
 # Discharge codes after which no return is possible.
@@ -78,7 +78,7 @@ def fit_impute(df: DataFrame, strategy: str = "median", categorical_fill: str =
     if strategy == "median":
         got = {r["column"]: r["q0"] for r in exact_quantiles(df, nums, [0.5], approx=approx).collect()} if nums else {}
     elif strategy == "mean":
-        row = df.agg(*[F.avg(as_col(c)).alias(c) for c in nums]).first().asDict() if nums else {}
+        row = df.agg(*[F.avg(present(df, c)).alias(c) for c in nums]).first().asDict() if nums else {}
         got = {c: v for c, v in row.items() if v is not None}
     else:
         raise ValueError(f"unknown strategy {strategy!r}; use 'median' or 'mean'")
@@ -86,21 +86,21 @@ def fit_impute(df: DataFrame, strategy: str = "median", categorical_fill: str =
 
 
 def apply_fill(df: DataFrame, fills: dict[str, float | str]) -> DataFrame:
-    """Fill nulls; numeric columns become double so that a fractional median is not cut."""
+    """Fill nulls and NaN; numeric columns become double so that a fractional median is not cut."""
     out = {}
     for c, v in fills.items():
         if c in df.columns:
-            col = as_col(c) if isinstance(v, str) else as_col(c).cast("double")
+            col = present(df, c) if isinstance(v, str) else present(df, c).cast("double")
             out[c] = F.coalesce(col, F.lit(v))
     return df.withColumns(out) if out else df
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls with the most frequent value (smallest on ties)."""
-    best = {r["column"]: r["top"] for r in modes(df, columns).collect()}
+    """Fill nulls and NaN with the most frequent value (smallest on ties)."""
+    best = {r["column"]: r["top"] for r in modes(df.withColumns({c: present(df, c) for c in columns}), columns).collect()}
     types = dict(df.dtypes)
     return df.withColumns(
-        {c: F.coalesce(as_col(c), F.lit(best[c]).cast(types[c])) for c in columns if c in best}
+        {c: F.coalesce(present(df, c), F.lit(best[c]).cast(types[c])) for c in columns if c in best}
     )
 
 
@@ -162,7 +162,7 @@ def leakage_check(df: DataFrame, forbidden: Sequence[str], required: Sequence[st
     gone = ", ".join(c for c in required if c not in df.columns)
     missing: Column = F.lit(0).cast("long")
     for c in df.columns:
-        missing = missing + count_where(as_col(c).isNull())
+        missing = missing + count_where(present(df, c).isNull())
     return df.agg(
         F.lit(bad).alias("forbidden_present"),
         F.lit(gone).alias("required_absent"),

@@ -11,16 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.exprs import as_col, other_cols
 from ..session import cut_lineage, shuffle_width
 
-SMALL_MAP = 100_000
-MAX_DUMMIES = 5_000  # columns; beyond that the sparse form is the right one
-
 
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels per column (the fitted vocabulary of a narrow one-hot), after a check of their number."""
-    sizes = df.agg(*[F.approx_count_distinct(as_col(c)).alias(c) for c in columns]).first().asDict()
-    wide = [c for c, n in sizes.items() if n > MAX_DUMMIES]
-    if wide:
-        raise ValueError(f"{', '.join(wide)}: more than {MAX_DUMMIES} levels; use one_hot_stages for sparse vectors")
+    """Sorted levels per column: the fitted vocabulary, one output column each (``one_hot_stages`` is the sparse form)."""
     row = df.agg(*[F.array_sort(F.collect_set(as_col(c).cast("string"))).alias(c) for c in columns]).first()
     return {c: list(row[c]) for c in columns}
 
@@ -76,13 +69,10 @@ def one_hot_items(df: DataFrame, columns: Sequence[str], drop: Sequence[str] = (
 def fit_label_map(df: DataFrame, column: str) -> DataFrame:
     """(value, code) with codes 0..k-1 in text order.
 
-    Up to SMALL_MAP levels are numbered in one window. Above, they are range-partitioned, written
-    down (so that the ranges are fixed) and numbered inside each range after the ranges before it.
+    Levels are range-partitioned, written down (so that the ranges are fixed) and numbered inside each
+    range after the ranges before it.
     """
     distinct = df.select(F.coalesce(as_col(column).cast("string"), F.lit("nan")).alias("value")).distinct()
-    levels = df.agg(F.approx_count_distinct(as_col(column))).first()[0]
-    if levels <= SMALL_MAP:
-        return distinct.withColumn("code", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("value")) - 1)
     return _number_ranges(distinct)
 
 

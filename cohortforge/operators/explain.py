@@ -208,8 +208,11 @@ _SPLIT = re.compile(r"^( *)(If|Else) \(feature (\d+) (<=|>|in|not in) (.+)\)$")
 _LEAF = re.compile(r"^( *)Predict: (.+)$")
 
 
-def tree_paths(debug: str, names: Sequence[str], max_depth: int | None = None) -> list[tuple[int, str, float, list]]:
-    """(leaf, rule text, prediction, conditions) from a fitted tree's printed form; paths are cut at ``max_depth``."""
+def tree_paths(debug: str, names: Sequence[str], max_depth: int | None = None) -> list[tuple[int, str, float | None, list]]:
+    """(leaf, rule text, prediction, conditions) from a fitted tree's printed form.
+
+    Paths are cut at ``max_depth``; a cut one stands for its whole subtree, its text ends in ``...`` and it has no prediction.
+    """
     path: list[tuple[int, str, float]] = []
     indents: list[int] = []
     out, seen = [], set()
@@ -231,10 +234,11 @@ def tree_paths(debug: str, names: Sequence[str], max_depth: int | None = None) -
                 indents.pop()
                 path.pop()
             kept = list(path[:max_depth] if max_depth else path)
-            text = " AND ".join(f"{names[f]} {op} {v:.6g}" if isinstance(v, float) else f"{names[f]} {op} {v}" for f, op, v in kept) or "TRUE"
+            cut = len(kept) < len(path)
+            text = (" AND ".join(f"{names[f]} {op} {v!r}" for f, op, v in kept) or "TRUE") + " AND ..." * cut
             if text not in seen:
                 seen.add(text)
-                out.append((len(out), text, float(leaf[2]), kept))
+                out.append((len(out), text, None if cut else float(leaf[2]), kept))
     return out
 
 
@@ -242,7 +246,7 @@ def tree_rules(model, df: DataFrame, names: Sequence[str], label: str = "label",
     """(tree, leaf, rule, prediction, n, n_positive): readable rules with their coverage counted on ``df``.
 
     Works for a tree or the first ``n_trees`` of a forest; ``names`` are columns of ``df``. A rule cut
-    by ``max_depth`` covers its whole subtree and carries the prediction of the subtree's first leaf.
+    by ``max_depth`` covers its whole subtree, is marked by ``...`` and predicts the majority of the rows it covers (0 on ties).
     """
     trees = list(model.trees)[:n_trees] if hasattr(model, "trees") else [model]
     table, tags = [], []
@@ -262,6 +266,7 @@ def tree_rules(model, df: DataFrame, names: Sequence[str], label: str = "label",
         .groupBy("t.tree", "t.leaf")
         .agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("__y") == 1).cast("long")).alias("n_positive"))
     )
-    return rules.join(cover, ["tree", "leaf"], "left").fillna(0, ["n", "n_positive"])
+    out = rules.join(cover, ["tree", "leaf"], "left").fillna(0, ["n", "n_positive"])
+    return out.withColumn("prediction", F.coalesce("prediction", (F.col("n_positive") * 2 > F.col("n")).cast("double")))
 
 

@@ -6,8 +6,11 @@ The driver only submits fits; rows never leave the executors.
 
 from __future__ import annotations
 
+import functools
 import itertools
+import warnings
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
@@ -224,49 +227,57 @@ def fit_fold_steps(name: str, train: DataFrame, features: str = "features", labe
 
 def run_cv(df: DataFrame, models: Sequence[str], fold: str = "fold", features: str = "features", label: str = "label",
            row_id: str = "id", threshold: float = 0.5, imbalance: str = "none", reduction: tuple[str, dict] | None = None,
-           params: Mapping[str, dict] | None = None, seed: int = 42) -> DataFrame:
+           params: Mapping[str, dict] | None = None, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """Out-of-fold table (id, model, fold, y_true, y_pred, y_prob) of every model over every fold.
 
-    ``df`` carries its fold as a column; training is ``fold != i``. A model that fails on a fold gives
-    no rows there, so its metrics for that fold are missing.
+    ``df`` carries its fold as a column; training is ``fold != i``. A model that fails on a fold, or finds one
+    class only, has null predictions there, so its metrics for that fold are NaN and all others stay.
+    ``parallelism`` fits run at a time; the threads only submit Spark jobs.
     """
     # One pass gives the class counts of every training side (folds x classes numbers).
     cells = {(r[0], r[1]): r["n"] for r in df.groupBy(fold, label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = None
-    for name, i in itertools.product(models, sorted({f for f, _ in cells})):
+
+    def one(job: tuple) -> DataFrame:
+        name, i = job
         train, held = df.where(as_col(fold) != i), df.where(as_col(fold) == i)
         counts: dict = {}
         for (f, cls), n in cells.items():
             if f != i:
                 counts[cls] = counts.get(cls, 0) + n
-        if len(counts) < 2 and name != "zero_r":
-            continue
-        score = fit_fold_steps(
-            name, train, features, label, row_id, imbalance=imbalance, reduction=reduction, seed=seed, counts=counts,
-            **(params or {}).get(name, {}),
+        said = {"y_pred": F.lit(None).cast("int"), "y_prob": F.lit(None).cast("double")}
+        scored = held
+        if len(counts) > 1 or name == "zero_r":
+            try:
+                score = fit_fold_steps(
+                    name, train, features, label, row_id, imbalance=imbalance, reduction=reduction, seed=seed, counts=counts,
+                    **(params or {}).get(name, {}),
+                )
+                scored = score(held)
+                said = {"y_pred": F.col("y_pred") if threshold == 0.5 else (F.col("y_prob") >= threshold).cast("int"), "y_prob": F.col("y_prob")}
+            except Exception as err:  # one fit must not end the run
+                warnings.warn(f"{name} failed on fold {i}: {err}", RuntimeWarning, stacklevel=2)
+        return scored.select(
+            as_col(row_id), F.lit(name).alias("model"), as_col(fold).alias("fold"), as_col(label).cast("int").alias("y_true"), *[v.alias(k) for k, v in said.items()]
         )
-        part = score(held).select(
-            as_col(row_id),
-            F.lit(name).alias("model"),
-            as_col(fold).alias("fold"),
-            as_col(label).cast("int").alias("y_true"),
-            (F.col("y_pred") if threshold == 0.5 else (F.col("y_prob") >= threshold).cast("int")).alias("y_pred"),
-            "y_prob",
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+
+    jobs = list(itertools.product(models, sorted({f for f, _ in cells})))
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        parts = list(pool.map(one, jobs))
+    if not parts:
         raise ValueError("no model could be fitted")
-    return out
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def cv_metrics(oof: DataFrame) -> DataFrame:
-    """(model, fold, metric, value) of an out-of-fold table."""
-    return metrics_long(classification_metrics(oof))
+    """(model, fold, metric, value) of an out-of-fold table; NaN where no row of a fold has a prediction."""
+    failed = oof.groupBy(F.col("model").alias("__m"), F.col("fold").alias("__f")).agg((F.count("y_pred") == 0).alias("__failed"))
+    long = metrics_long(classification_metrics(oof)).join(failed, (F.col("model") == F.col("__m")) & (F.col("fold") == F.col("__f")))
+    return long.withColumn("value", F.when(F.col("__failed"), F.lit(float("nan"))).otherwise(F.col("value"))).drop("__m", "__f", "__failed")
 
 
 def cross_validate(oof: DataFrame, metric: str | None = None) -> DataFrame:
-    """Mean and population deviation over folds per (model, metric)."""
-    long = cv_metrics(oof)
+    """Mean and population deviation over the folds that were fitted per (model, metric)."""
+    long = cv_metrics(oof).where(~F.isnan("value"))
     rows = long.where(F.col("metric") == metric) if metric else long
     return rows.groupBy("model", "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 

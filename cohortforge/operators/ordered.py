@@ -7,13 +7,14 @@ and the rows are only sorted inside their bucket, so no task ever holds a whole
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_col, melt
+from ..functions.exprs import as_col, melt, numeric_cols
 from ..session import shuffle_width
 
 BUCKET = "__bucket"
@@ -33,7 +34,7 @@ def _cut_points(df: DataFrame, order: str, parts: int) -> list[float]:
 
 
 def _with_buckets(df: DataFrame, order: str, parts: int | None, raw: DataFrame | None) -> DataFrame:
-    parts = min(parts or shuffle_width(df.sparkSession), 4096)
+    parts = parts or shuffle_width(df.sparkSession)
     cuts = _cut_points(df if raw is None else raw, order, parts)
     if not cuts:
         return df.withColumn(BUCKET, F.lit(0))
@@ -153,9 +154,13 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles, one row per (by, column): columns ``q0``, ``q1``, ... and ``n``.
 
-    Exact and distributed: distinct values are counted first, then located by running counts.
+    Exact and distributed. Over a whole table a sketch brackets every quantile, a second pass counts the rows
+    below and inside each bracket, and only the rows inside (a few in ten thousand, equal ones combined) are moved
+    and ordered. Per group, distinct values are counted first, then located by running counts.
     ``approx=True`` is one pass with a sketch, for columns where exactness is not needed.
     """
+    if not by and not approx:
+        return _bracketed_quantiles(df, cols, probs)
     if approx:
         long = melt(df, by, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
         return long.groupBy(*by, "column").agg(
@@ -165,7 +170,7 @@ def exact_quantiles(
     for c in by:
         df = df.where(as_col(c).isNotNull())  # a null group has no quantile row
     counts = value_counts_long(df, cols, "double", by)
-    parts = min(shuffle_width(df.sparkSession), 256)
+    parts = shuffle_width(df.sparkSession)
     keys = [*by, "column"]
     if parts > 1:
         cut = [i / parts for i in range(1, parts)]
@@ -220,10 +225,60 @@ def exact_quantiles(
     )
 
 
+SKETCH = 10_000  # rank error of the sketch: one in so many rows
+
+
+def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    rows = df.select(*[F.nanvl(as_col(c).cast("double"), F.lit(None)).alias(f"x{j}") for j, c in enumerate(cols)])
+    xs, inf = [F.col(f"x{j}") for j in range(len(cols))], float("inf")
+    slots = [(j, i) for j in range(len(cols)) for i in range(len(probs))]
+    ends: dict[tuple[int, int], tuple[float, float]] = {}
+    below: dict[tuple[int, int], int] = {}
+    todo, reach, sizes = slots, 2 / SKETCH, []
+    while todo:
+        # One short row per column and round: the brackets, then how many rows lie below and inside.
+        want = sorted({min(max(p + s * reach, 0.0), 1.0) for p in probs for s in (-1, 1)})
+        got = rows.agg(*[F.percentile_approx(x, want, SKETCH) for x in xs], *[F.count(x) for x in xs]).first()
+        sizes = [int(n) for n in got[len(xs) :]]
+        todo = [(j, i) for j, i in todo if sizes[j]]
+        for j, i in todo:
+            at = dict(zip(want, got[j]))
+            low, high = probs[i] - reach, probs[i] + reach
+            ends[j, i] = (at[low] if low > 0 else -inf, at[high] if high < 1 else inf)
+        if not todo:
+            break
+        seen = rows.agg(*[f for j, i in todo for f in (F.count(F.when(xs[j] < ends[j, i][0], 1)), F.count(F.when(xs[j] <= ends[j, i][1], 1)))]).first()
+        missed = []
+        for k, (j, i) in enumerate(todo):
+            place = probs[i] * (sizes[j] - 1)
+            below[j, i] = seen[2 * k]
+            if not (seen[2 * k] <= math.floor(place) and math.ceil(place) < seen[2 * k + 1]):
+                missed.append((j, i))
+        todo, reach = missed, reach * 8
+    none = ", ".join(f"q{i} double" for i in range(len(probs)))
+    if not ends:
+        return df.sparkSession.createDataFrame([], f"column string, {none}, n long")
+    places = {(j, i): probs[i] * (sizes[j] - 1) for j, i in ends}
+    of = list(ends)
+    lookup = lambda kind, values: F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col("slot"))
+    cells = [F.when(xs[j].between(F.lit(ends[j, i][0]), F.lit(ends[j, i][1])), F.struct(F.lit(k).alias("slot"), xs[j].alias("value"))) for k, (j, i) in enumerate(of)]
+    inside = rows.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.slot", "c.value").agg(F.count(F.lit(1)).alias("n"))
+    upto = inside.withColumn("upto", F.sum("n").over(Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
+    at = lambda r: F.max(F.when((F.col("upto") - F.col("n") <= r) & (r < F.col("upto")), F.col("value")))
+    low = lookup("long", [math.floor(places[o]) - below[o] for o in of])
+    high = lookup("long", [math.ceil(places[o]) - below[o] for o in of])
+    part = lookup("double", [places[o] - math.floor(places[o]) for o in of])
+    found = upto.groupBy("slot").agg(at(low).alias("a"), at(high).alias("b")).withColumn("q", F.col("a") + part * (F.col("b") - F.col("a")))
+    found = found.withColumns({"column": lookup("string", [cols[j] for j, _ in of]), "i": lookup("int", [i for _, i in of]), "n": lookup("long", [sizes[j] for j, _ in of])})
+    return found.groupBy("column", "n").agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))]).select("column", *[f"q{i}" for i in range(len(probs))], "n")
+
+
 def modes(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), cast: str = "string") -> DataFrame:
-    """Most frequent value per (by, column), smallest value on ties: (by, column, top, freq, unique)."""
+    """Most frequent value per (by, column): (by, column, top, freq, unique). Ties go to the smallest value, numbers by size."""
     counts = value_counts_long(df, cols, cast, by)
-    best = F.min_by(F.struct("value", "n"), F.struct((-F.col("n")).alias("k"), F.col("value")))
+    numbers = [c for c in numeric_cols(df) if c in cols]
+    size = F.when(F.col("column").isin(numbers), F.col("value").try_cast("double")) if numbers else F.lit(None).cast("double")
+    best = F.min_by(F.struct("value", "n"), F.struct((-F.col("n")).alias("k"), size.alias("s"), F.col("value")))
     return (
         counts.groupBy(*by, "column")
         .agg(best.alias("b"), F.count(F.lit(1)).alias("unique"))

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_col, count_where, melt, numeric_cols, other_cols, ratio
+from ..functions.exprs import as_col, count_where, melt, numeric_cols, other_cols, present, ratio
 from ..functions.special import chi2_p
 from .ordered import exact_quantiles, modes, value_counts_long
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
-    """Null count and percent per column, columns without nulls left out."""
-    one = df.agg(F.count(F.lit(1)).alias("__n"), *[count_where(as_col(c).isNull()).alias(c) for c in df.columns])
+    """Count and percent of missing cells (null or NaN) per column, columns without any left out."""
+    one = df.agg(F.count(F.lit(1)).alias("__n"), *[count_where(present(df, c).isNull()).alias(c) for c in df.columns])
     return (
         melt(one, ["__n"], df.columns, "bigint", "column", "n_missing")
         .where("n_missing > 0")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -110,15 +112,18 @@ def top_rules(rules: DataFrame, by: Sequence[str] = ("lift",), n: int = 20) -> D
 
 
 def rules_per_segment(df: DataFrame, segment: str, items: str = "items", min_support: float = 0.05,
-                      min_threshold: float = 1.2, consequent_has: str | None = None) -> DataFrame:
-    """Mine each segment on its own; a segment without itemsets adds nothing. Segments are few (clusters)."""
-    out = None
-    for row in df.select(segment).where(as_col(segment).isNotNull()).distinct().orderBy(segment).collect():
-        part = df.where(as_col(segment) == row[0])
-        rules = association_rules(
-            frequent_itemsets(part, items, min_support), "lift", min_threshold, consequent_has
-        ).select(F.lit(row[0]).alias(segment), "*")
-        out = rules if out is None else out.unionByName(rules)
-    if out is None:
+                      min_threshold: float = 1.2, consequent_has: str | None = None, parallelism: int = 4) -> DataFrame:
+    """Mine each segment on its own; a segment without itemsets adds nothing. Segments are few (clusters).
+
+    ``parallelism`` segments are mined at a time; the threads only submit Spark jobs.
+    """
+
+    def one(value) -> DataFrame:
+        sets = frequent_itemsets(df.where(as_col(segment) == value), items, min_support)
+        return association_rules(sets, "lift", min_threshold, consequent_has).select(F.lit(value).alias(segment), "*")
+
+    values = [r[0] for r in df.select(segment).where(as_col(segment).isNotNull()).distinct().orderBy(segment).collect()]
+    if not values:
         raise ValueError("no segment found")
-    return out
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        return functools.reduce(DataFrame.unionByName, pool.map(one, values))

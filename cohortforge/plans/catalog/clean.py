@@ -25,7 +25,7 @@ def enc(spark, d):
     j AS (SELECT n_name || ' / ' || c_mktsegment AS g, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END urgent, o_totalprice
           FROM f JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE rn = 1)
     SELECT g AS "group", COUNT(*) AS n, ROUND(AVG(urgent), 6) AS target_rate, ROUND(AVG(o_totalprice), 6) AS o_totalprice_mean
-    FROM j GROUP BY g ORDER BY target_rate DESC, n DESC, g LIMIT 20""",
+    FROM j GROUP BY g ORDER BY target_rate DESC, n DESC, g""",
 )
 def q_readmission(spark, d):
     return readmission_profile(table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation"))
@@ -188,7 +188,7 @@ def q_impute_mean(spark, d):
 @query(
     "impute_mode",
     f"""WITH g AS ({plain(GAPS)}), t AS (SELECT p_type FROM g WHERE p_type IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1),
-    s AS (SELECT p_size FROM g WHERE p_size IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, CAST(p_size AS VARCHAR) LIMIT 1)
+    s AS (SELECT p_size FROM g WHERE p_size IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, p_size LIMIT 1)
     SELECT p_partkey, coalesce(p_size, (SELECT p_size FROM s)) AS p_size, coalesce(p_type, (SELECT p_type FROM t)) AS p_type FROM g""",
 )
 def q_impute_mode(spark, d):

@@ -25,17 +25,18 @@ def itemset_sql(group="", min_support=0.05):
     size = f"(SELECT {g}COUNT(*) AS n FROM trx {'GROUP BY ' + group if group else ''})"
     key = f"c.{group}, " if group else ""
     grouping = f"GROUP BY {group}, CUBE({', '.join(_COLS)})" if group else f"GROUP BY CUBE({', '.join(_COLS)})"
-    return f""", c AS (SELECT {g}{', '.join(_COLS)}, COUNT(*) AS freq FROM trx {grouping}),
+    return f""", c AS MATERIALIZED (SELECT {g}{', '.join(_COLS)}, COUNT(*) AS freq FROM trx {grouping}),
     fi AS (SELECT {key}list_filter([{_TAGS}], lambda x: x IS NOT NULL) AS items, freq, freq / n AS support FROM c, {size} n {on}),
-    f AS (SELECT * FROM fi WHERE len(items) > 0 AND support >= {min_support})"""
+    f AS MATERIALIZED (SELECT *, array_to_string(items, ', ') AS k FROM fi WHERE len(items) > 0 AND support >= {min_support})"""
 
 
-_SPLIT = """, sp AS (SELECT *, unnest(range(1, CAST(2 ** len(items) AS BIGINT) - 1)) AS m FROM f WHERE len(items) > 1),
-    ab AS (SELECT {g}list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) AS a, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 0) AS b, support AS s FROM sp),
+_SPLIT = """, sp AS MATERIALIZED (SELECT *, unnest(range(1, CAST(2 ** len(items) AS BIGINT) - 1)) AS m FROM f WHERE len(items) > 1),
+    halves AS (SELECT {g}list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) AS a, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 0) AS b, support AS s FROM sp),
+    ab AS MATERIALIZED (SELECT *, array_to_string(a, ', ') AS ka, array_to_string(b, ', ') AS kb FROM halves),
     ru AS (SELECT {g2}ab.a AS a, ab.b AS b, x.support AS sa, y.support AS sc, s, s / x.support AS conf, s / x.support / y.support AS lift, s - x.support * y.support AS leverage,
       CASE WHEN s / x.support >= 1 THEN CAST('inf' AS DOUBLE) ELSE (1 - y.support) / (1 - s / x.support) END AS conviction
-      FROM ab JOIN f x ON {x} AND x.items = ab.a JOIN f y ON {y} AND y.items = ab.b)"""
-_RULES = itemset_sql() + _SPLIT.format(g="", g2="", x="TRUE", y="TRUE")
+      FROM ab JOIN f x ON x.k = ab.ka{x} JOIN f y ON y.k = ab.kb{y})"""
+_RULES = itemset_sql() + _SPLIT.format(g="", g2="", x="", y="")
 _OUT = """array_to_string(a, ', ') AS antecedents, array_to_string(b, ', ') AS consequents, ROUND(s, 6) AS support, ROUND(conf, 6) AS confidence, ROUND(lift, 6) AS lift,
     ROUND(leverage, 6) AS leverage, ROUND(conviction, 4) AS conviction"""
 
@@ -106,7 +107,7 @@ def q_membership(spark, d):
 
 @query(
     "rules_per_segment",
-    TRX + itemset_sql("segment") + _SPLIT.format(g="segment, ", g2="ab.segment, ", x="x.segment = ab.segment", y="y.segment = ab.segment")
+    TRX + itemset_sql("segment") + _SPLIT.format(g="segment, ", g2="ab.segment, ", x=" AND x.segment = ab.segment", y=" AND y.segment = ab.segment")
     + f"SELECT segment, {_OUT} FROM ru WHERE lift >= 1.2 AND list_contains(b, 'target=yes')",
 )
 def q_segment(spark, d):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import clean, encode, features, joins, profile
 from ..sources.tables import load_table, sentinel_to_null, write_table
@@ -25,9 +26,14 @@ def preprocess(df: DataFrame, outlier_columns: Sequence[str] | None = None, cate
     return clean.drop_columns(out, ids) if drop_ids else out
 
 
-def run_preprocess(spark: SparkSession, raw: str, processed: str, roots: Sequence[str] = ("data/raw",), **options) -> DataFrame:
-    """Read a raw table, run ``preprocess`` with ``options`` and write the result; returns the written table."""
-    write_table(preprocess(load_table(spark, raw, roots), **options), processed)
+def run_preprocess(spark: SparkSession, raw: str, processed: str, roots: Sequence[str] = ("data/raw",),
+                   schema: T.StructType | str | None = None, reader: dict[str, str] | None = None, **options) -> DataFrame:
+    """Read a raw table, run ``preprocess`` with ``options`` and write the result; returns the written table.
+
+    A CSV has no types of its own: give its ``schema``, or ask for a pass that finds them with ``reader={"inferSchema": "true"}``.
+    Without either all its columns are text and are filled as such.
+    """
+    write_table(preprocess(load_table(spark, raw, roots, schema, **(reader or {})), **options), processed)
     return load_table(spark, processed, fmt="parquet")
 
 
@@ -58,4 +64,4 @@ def readmission_profile(orders: DataFrame, customer: DataFrame, nation: DataFram
     rates = profile.named_group_agg(
         rows.withColumn("group", F.concat_ws(" / ", "nation", "c_mktsegment")), "group", "urgent", ["o_totalprice"], 6
     )
-    return rates.orderBy(F.desc("target_rate"), F.desc("n"), "group").limit(20)
+    return rates.orderBy(F.desc("target_rate"), F.desc("n"), "group")

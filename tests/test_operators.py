@@ -385,3 +385,70 @@ def test_vector_columns(spark):
     out = reduce.fit_standardizer(df, "f", "o").transform(df).select("o").collect()
     assert abs(out[1]["o"][0] - out[0]["o"][0]) == pytest.approx(2.0)  # population deviation 1
     assert as_col("id") is not None
+
+
+def test_chi2_tail_far_from_zero():
+    from cohortforge.functions.special import chi2_tail
+
+    for x, df, p in ((2000, 2000, 0.4957948), (2001, 2001, 0.4957958), (3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (1e6, 10, 0.0), (0.0, 5, 1.0)):
+        assert chi2_tail(x, df) == pytest.approx(p, abs=1e-6)
+
+
+def test_mode_ties_of_numbers_go_by_size(spark):
+    df = spark.createDataFrame([(9, 1.5), (10, 1.5), (None, float("nan")), (9, None), (10, -2.0), (None, -2.0)], "a long, b double")
+    out = clean.impute_mode(df, ["a", "b"]).collect()
+    assert [r["a"] for r in out] == [9, 10, 9, 9, 10, 9] and [r["b"] for r in out] == [1.5, 1.5, -2.0, -2.0, -2.0, -2.0]
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double")
+    assert profile.missing_profile(df).collect()[0]["n_missing"] == 2
+    for strategy in ("median", "mean"):
+        fills = clean.fit_impute(df, strategy)
+        assert fills == {"x": 2.0} and [r["x"] for r in clean.apply_fill(df, fills).collect()] == [1.0, 3.0, 2.0, 2.0]
+    assert clean.leakage_check(df, [], []).first()["total_missing"] == 2
+
+
+def test_typed_csv_keeps_numbers(spark, tmp_path):
+    from cohortforge.plans.cohort import run_preprocess
+
+    (tmp_path / "raw.csv").write_text("k,x,name\n" + "".join(f"{i},{i % 7},n{i}\n" for i in range(20)) + "20,,\n21,900,far\n")
+    for how in ({"schema": "k long, x double, name string"}, {"reader": {"inferSchema": "true"}}):
+        out = run_preprocess(spark, str(tmp_path / "raw.csv"), str(tmp_path / f"out{len(how)}{list(how)[0]}"), outlier_columns=["x"], ids=(), **how)
+        rows = {int(r["k"]): r for r in out.collect()}
+        assert 21 not in rows and rows[20]["x"] == 3.0 and rows[20]["name"] == "Unknown"
+
+
+def test_failed_fold_leaves_the_rest(spark, monkeypatch):
+    rows = learners_table(spark)
+    real = learners.fit_fold_steps
+
+    def breaks(name, train, *args, **kw):
+        if name == "one_r" and train.where("fold = 0").isEmpty():
+            raise RuntimeError("broken")
+        return real(name, train, *args, **kw)
+
+    monkeypatch.setattr(learners, "fit_fold_steps", breaks)
+    with pytest.warns(RuntimeWarning):
+        oof = learners.run_cv(rows, ["one_r", "zero_r"])
+    assert oof.count() == 2 * rows.count()
+    metrics = {(r["model"], r["fold"], r["metric"]): r["value"] for r in learners.cv_metrics(oof).collect()}
+    assert metrics["one_r", 0, "accuracy"] != metrics["one_r", 0, "accuracy"]
+    assert metrics["one_r", 1, "accuracy"] > 0 and metrics["zero_r", 0, "accuracy"] > 0
+
+
+def learners_table(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.createDataFrame([(i, float(i % 4), float(i % 3), int(i % 4 > 1), i % 3) for i in range(60)], "id long, a double, b double, label int, fold int")
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+
+
+def test_cut_rules_predict_their_majority(spark):
+    debug = "\n".join(["Tree", "  If (feature 0 <= 1234567.25)", "   If (feature 1 <= 0.5)", "    Predict: 1.0", "   Else (feature 1 > 0.5)", "    Predict: 0.0", "  Else (feature 0 > 1234567.25)", "   Predict: 1.0"])
+    paths = explain.tree_paths(debug, ["a", "b"], 1)
+    assert [(p[1], p[2]) for p in paths] == [("a <= 1234567.25 AND ...", None), ("a > 1234567.25", 1.0)]
+    tree = type("Tree", (), {"toDebugString": debug})()
+    df = spark.createDataFrame([(1.0, 0.0, 1), (1.0, 1.0, 0), (1.0, 1.0, 0), (2e6, 0.0, 1)], "a double, b double, label int")
+    got = {r["rule"]: (r["prediction"], r["n"]) for r in explain.tree_rules(tree, df, ["a", "b"], max_depth=1).collect()}
+    assert got == {"a <= 1234567.25 AND ...": (0.0, 3), "a > 1234567.25": (1.0, 1)}
