@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Callable, Iterator, Sequence
 
@@ -36,16 +35,15 @@ def permutation_importance(df: DataFrame, score: Scorer, columns: Sequence[str],
                            repeats: int = 10, seed: int = 42) -> DataFrame:
     """(feature, importance_mean, importance_std): accuracy lost when a column is shuffled.
 
-    All repeats and features form one job: a row meets its shuffle partner through two hash
-    orders (one join), and each feature's copy swaps in the partner's value.
+    All repeats and features form one job: rows are ranked once in hash order, each repeat takes its partners
+    an own stretch further round that order (one join), and each feature's copy swaps in the partner's value.
     """
     base = score(df).agg(F.avg((F.col("y_pred") == as_col(label)).cast("double"))).first()[0]
-    rows = df.withColumn("__rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    left = hash_rank(rows, ["__rep"], [row_id], seed, "__place")
-    right = hash_rank(rows, ["__rep"], [row_id, "__rep"], seed + 1, "__place").select(
-        "__rep", "__place", *[as_col(c).alias(f"__other_{c}") for c in columns]
-    )
-    paired = left.join(right, ["__rep", "__place"])
+    ranked = hash_rank(df, [], [row_id], seed, "__place", total="__n")
+    far = F.floor(F.col("__n") * (F.col("__rep") + 1) / F.lit(repeats + 1))
+    left = ranked.withColumn("__rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("__at", 1 + (F.col("__place") - 1 + far) % F.col("__n"))
+    right = ranked.select(F.col("__place").alias("__at"), *[as_col(c).alias(f"__other_{c}") for c in columns])
+    paired = left.join(right, "__at").drop("__at", "__n")
     shuffled = _swap(paired, columns, "feature", lambda c: F.col(f"__other_{c}"))
     acc = score(shuffled).groupBy("feature", "__rep").agg(F.avg((F.col("y_pred") == as_col(label)).cast("double")).alias("acc"))
     return acc.groupBy("feature").agg(
@@ -86,15 +84,6 @@ def _by_row(df: DataFrame, row_id: str) -> DataFrame:
     return df.repartition(shuffle_width(df.sparkSession), as_col(row_id))
 
 
-def _orders(d: int, seed: int, size: int = 128) -> np.ndarray:
-    """The feature orders to draw from: all of them if there are few, else a fixed random set with its reverses."""
-    if d <= 5:
-        return np.array(list(itertools.permutations(range(d))))
-    rng = np.random.default_rng(seed)
-    half = np.array([rng.permutation(d) for _ in range(size // 2)])
-    return np.vstack([half, half[:, ::-1]])
-
-
 def _noise(seed: int, *ids: str) -> Column:
     """A reproducible number in [0, 1) from a fast hash."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *[as_col(c) for c in ids]), 11)
@@ -111,16 +100,15 @@ def shapley_sampling(df: DataFrame, score: Scorer, columns: Sequence[str], backg
     """
     d = len(columns)
     bg = F.array(*[F.array(*[F.lit(float(x)) for x in b]) for b in background])
-    bank = _orders(d, seed)
-    table = lambda rows: F.array(*[F.array(*[F.lit(int(x)) for x in r]) for r in rows])
-    drawn = F.pmod(F.xxhash64(F.lit(seed), as_col(row_id), "__perm"), F.lit(len(bank))).cast("int")
+    # each row and draw has an order of its own: the features by their hashes
+    turn = F.array(*[F.struct(F.xxhash64(F.lit(seed + j), as_col(row_id), "__perm").alias("h"), F.lit(j).alias("j")) for j in range(d)])
+    places = F.array(*[F.array_position("__order", F.lit(j)).cast("int") - 1 for j in range(d)])
     rows = (
         _by_row(df, row_id)
         .withColumns({c: as_col(c).cast("double") for c in columns})
         .withColumn("__perm", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-        .withColumn("__drawn", drawn)
-        .withColumn("__order", table(bank)[F.col("__drawn")])
-        .withColumn("__place", table(np.argsort(bank, axis=1))[F.col("__drawn")])
+        .withColumn("__order", F.transform(F.array_sort(turn), lambda x: x["j"]))
+        .withColumn("__place", places)
         .withColumn("__bg", F.element_at(bg, F.pmod(F.col("__perm"), F.lit(len(background))) + 1))
         .withColumn("__step", F.explode(F.sequence(F.lit(0), F.lit(d))))
     )

@@ -74,11 +74,11 @@ def make_classifier(name: str, n_rows: int, features: str = "features", label: s
         "logistic_regression": lambda: LogisticRegression(
             **common, **({"regParam": 1.0 / (c * max(n_rows, 1)), "elasticNetParam": 0.0, "maxIter": 1000, "standardization": False} | params)
         ),
-        "decision_tree": lambda: DecisionTreeClassifier(**common, **({"maxDepth": 20, "seed": seed} | params)),
+        "decision_tree": lambda: DecisionTreeClassifier(**common, **({"maxDepth": 30, "seed": seed} | params)),
         "sgd_classifier": lambda: LogisticRegression(
             **common, **({"regParam": 1e-4, "elasticNetParam": 0.0, "maxIter": 1000, "standardization": False} | params)
         ),
-        "random_forest": lambda: RandomForestClassifier(**common, **({"numTrees": 100, "maxDepth": 10, "seed": seed} | params)),
+        "random_forest": lambda: RandomForestClassifier(**common, **({"numTrees": 100, "maxDepth": 30, "seed": seed} | params)),
         "gradient_boosting": lambda: GBTClassifier(
             **common, **({"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": seed} | params)
         ),
@@ -468,7 +468,7 @@ def train_regressor(df: DataFrame, name: str = "random_forest", features: str =
         "linear": lambda: LinearRegression(**common, **({"regParam": 0.0, "solver": "normal"} | params)),
         "ridge": lambda: LinearRegression(**common, **({"regParam": 1.0 / max(n, 1), "elasticNetParam": 0.0, "standardization": False} | params)),
         "lasso": lambda: LinearRegression(**common, **({"regParam": 0.1, "elasticNetParam": 1.0, "standardization": False} | params)),
-        "random_forest": lambda: RandomForestRegressor(**common, **({"numTrees": 100, "maxDepth": 10, "seed": seed} | params)),
+        "random_forest": lambda: RandomForestRegressor(**common, **({"numTrees": 100, "maxDepth": 30, "seed": seed} | params)),
         "gradient_boosting": lambda: GBTRegressor(**common, **({"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": seed} | params)),
     }
     if name not in make:

@@ -28,12 +28,12 @@ def q_kmeans(spark, d):
 
 @query("elbow")
 def q_elbow(spark, d):
-    return round_all(cluster.elbow(points(spark, d), range(2, 7)), 4)
+    return round_all(cluster.elbow(points(spark, d)), 4)
 
 
 @query("silhouette_by_k")
 def q_silhouette(spark, d):
-    return round_all(cluster.silhouette_by_k(points(spark, d), range(2, 5)), 4)
+    return round_all(cluster.silhouette_by_k(points(spark, d)), 4)
 
 
 @query(

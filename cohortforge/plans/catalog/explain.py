@@ -26,13 +26,13 @@ def on_columns(score) -> learners.Scorer:
 
 @query("feature_importance")
 def q_importance(spark, d):
-    score, _ = fitted_tree(spark, d, "random_forest", numTrees=20, maxDepth=5)
+    score, _ = fitted_tree(spark, d, "random_forest")
     return round_all(explain.feature_importance(score.model, PART_COLS, spark), 5)
 
 
 @query("top_importances")
 def q_top(spark, d):
-    score, _ = fitted_tree(spark, d, "random_forest", numTrees=20, maxDepth=5)
+    score, _ = fitted_tree(spark, d, "random_forest")
     return round_all(explain.feature_importance(score.model, PART_COLS, spark, 2), 5)
 
 
@@ -43,27 +43,26 @@ def rule_scorer(df: DataFrame) -> DataFrame:
     )
 
 
-_PLACE = "row_number() OVER (PARTITION BY rep ORDER BY md5('{s}|' || {k}))"
 _RULE = "CASE WHEN {p} > 35000 AND {q} > 15 THEN 1 ELSE 0 END"
 
 
 @query(
     "permutation_importance",
-    LN + f""", r AS (SELECT *, unnest(range(3)) AS rep FROM li),
-    a AS (SELECT *, {_PLACE.format(s=42, k='id')} AS pl FROM r), b AS (SELECT rep, qty AS oq, price AS op, {_PLACE.format(s=43, k="id || '|' || CAST(rep AS VARCHAR)")} AS pl FROM r),
-    j AS (SELECT a.rep, label, {_RULE.format(p='price', q='oq')} AS pq, {_RULE.format(p='op', q='qty')} AS pp FROM a JOIN b ON a.rep = b.rep AND a.pl = b.pl),
+    LN + f""", o AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || id)) AS pl, COUNT(*) OVER () AS n FROM li),
+    a AS (SELECT *, 1 + (pl - 1 + (n * (rep + 1)) // 11) % n AS at FROM o, range(10) AS r(rep)), b AS (SELECT qty AS oq, price AS op, pl FROM o),
+    j AS (SELECT a.rep, label, {_RULE.format(p='price', q='oq')} AS pq, {_RULE.format(p='op', q='qty')} AS pp FROM a JOIN b ON a.at = b.pl),
     base AS (SELECT AVG(CASE WHEN {_RULE.format(p='price', q='qty')} = label THEN 1 ELSE 0 END) AS x FROM li),
     s AS (SELECT 'qty' AS feature, rep, AVG(CASE WHEN pq = label THEN 1 ELSE 0 END) AS acc FROM j GROUP BY rep UNION ALL SELECT 'price', rep, AVG(CASE WHEN pp = label THEN 1 ELSE 0 END) FROM j GROUP BY rep)
     SELECT feature, ROUND(AVG(x - acc), 6) AS importance_mean, ROUND(stddev_pop(x - acc), 6) AS importance_std FROM s, base GROUP BY feature""",
 )
 def q_permutation(spark, d):
-    return round_all(explain.permutation_importance(lines(spark, d), rule_scorer, ["qty", "price"], repeats=3))
+    return round_all(explain.permutation_importance(lines(spark, d), rule_scorer, ["qty", "price"]))
 
 
 @query("permutation_importance_model")
 def q_permutation_model(spark, d):
     score, rows = fitted_tree(spark, d, maxDepth=5)
-    return round_all(explain.permutation_importance(rows, on_columns(score), PART_COLS, repeats=5), 5)
+    return round_all(explain.permutation_importance(rows, on_columns(score), PART_COLS), 5)
 
 
 @query(
@@ -101,7 +100,7 @@ BACKGROUND = [[10.0, 0.02, 0.01], [40.0, 0.08, 0.06]]
 )
 def q_shapley(spark, d):
     """Additivity: attributions of a row sum to its score minus the mean background score."""
-    out = explain.shapley_sampling(lines(spark, d), rule_scorer, ["qty", "disc", "tax"], BACKGROUND, permutations=4)
+    out = explain.shapley_sampling(lines(spark, d), rule_scorer, ["qty", "disc", "tax"], BACKGROUND)
     return out.groupBy("id").agg(
         F.round(F.sum("attribution"), 6).alias("total"), F.round(F.sum(F.when(F.col("feature") == "qty", F.col("attribution"))), 6).alias("qty_part")
     )
@@ -111,14 +110,14 @@ def q_shapley(spark, d):
 def q_shapley_model(spark, d):
     score, rows = fitted_tree(spark, d, maxDepth=5)
     centers = cluster.fit_kmeans(rows, 5).clusterCenters()  # the background: five numbers per feature
-    values = explain.shapley_sampling(rows, on_columns(score), PART_COLS, [list(c) for c in centers], permutations=4)
+    values = explain.shapley_sampling(rows, on_columns(score), PART_COLS, [list(c) for c in centers])
     return round_all(explain.shapley_summary(values), 5)
 
 
 @query("local_surrogate")
 def q_surrogate(spark, d):
     score, rows = fitted_tree(spark, d, "logistic_regression")
-    return round_all(explain.local_surrogate(rows, on_columns(score), PART_COLS, samples=40), 4)
+    return round_all(explain.local_surrogate(rows, on_columns(score), PART_COLS), 4)
 
 
 @query(

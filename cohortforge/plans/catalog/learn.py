@@ -226,7 +226,7 @@ for _name, _key, _params in (
     ("decision_tree", "decision_tree", {}),
     ("sgd_logloss", "sgd_classifier", {}),
     ("random_forest", "random_forest", {}),
-    ("gradient_boosting", "gradient_boosting", {"maxIter": 20}),
+    ("gradient_boosting", "gradient_boosting", {}),
 ):
     query(_name)(_model_query(_key, **_params))
 
@@ -242,7 +242,7 @@ def q_steps(spark, d):
 @query("train_classifier")
 def q_train(spark, d):
     train, test = split_parts(spark, d)
-    model = learners.train_classifier(train.drop("features"), PART_COLS, "random_forest", class_weight="balanced", numTrees=20)
+    model = learners.train_classifier(train.drop("features"), PART_COLS, "random_forest", class_weight="balanced")
 
     def score(df):
         out = model.transform(df.drop("features"))
@@ -255,8 +255,8 @@ def q_train(spark, d):
 def q_regressor(spark, d):
     rows = encode.assemble_vector(view(spark, d, PARTS).drop("label"), ["size", "cheap_type", "name_length"]).withColumn("label", F.col("price"))
     out = None
-    for name, kw in (("linear", {}), ("ridge", {}), ("lasso", {}), ("random_forest", {"numTrees": 20}), ("gradient_boosting", {"maxIter": 10})):
-        pred = learners.train_regressor(rows, name, **kw).transform(rows)
+    for name in ("linear", "ridge", "lasso", "random_forest", "gradient_boosting"):
+        pred = learners.train_regressor(rows, name).transform(rows)
         part = metrics.regression_metrics(pred.select(F.lit(name).alias("model"), F.col("label").alias("y_true"), F.col("prediction").alias("y_pred")), ["model"])
         out = part if out is None else out.unionByName(part)
     return round_all(out, 4)
@@ -286,10 +286,10 @@ def q_proba(spark, d):
 
 @query("calibrate")
 def q_calibrate(spark, d):
-    rows = cut_lineage(parts(spark, d, 3))
+    rows = cut_lineage(parts(spark, d, 5))
     out = None
     for method in ("sigmoid", "isotonic"):
-        score = learners.calibrate(rows, "decision_tree", method=method, maxDepth=4)
+        score = learners.calibrate(rows, "decision_tree", method=method)
         part = score(rows).select(F.lit(method).alias("model"), F.col("label").alias("y_true"), "y_prob")
         part = metrics.calibration_curve(part)
         out = part if out is None else out.unionByName(part)
@@ -298,7 +298,7 @@ def q_calibrate(spark, d):
 
 @query("run_cv")
 def q_cv(spark, d):
-    rows = cut_lineage(parts(spark, d, 3))
+    rows = cut_lineage(parts(spark, d, 10))
     oof = learners.run_cv(rows, ["zero_r", "one_r", "logistic_regression"], threshold=0.3, imbalance="class_weight")
     return round_all(metrics.classification_metrics(oof), 4)
 
@@ -344,7 +344,7 @@ def q_nested(spark, d):
 
 @query("imbalance_compare")
 def q_imbalance(spark, d):
-    rows = cut_lineage(embedded(spark, d, 3))
+    rows = cut_lineage(embedded(spark, d, 5))
     return round_all(learners.imbalance_compare(rows, "logistic_regression"), 4)
 
 
