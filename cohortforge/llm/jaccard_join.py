@@ -256,7 +256,11 @@ def _open(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, ver, n_shingles, component_id): one row per row of docs; ver is xxhash64 of its text."""
+    """docs (doc_id, text) -> (doc_id, ver, n_shingles, component, component_id): one row per row of docs.
+
+    ver is xxhash64 of the text; component numbers the components (null for empty sets), component_id is the smallest
+    id in it, which two components share only if rows of one id have unlike texts.
+    """
     bounded_batches(docs.sparkSession)
     rows = materialize(_profiles(docs, width, percent), "profiles")
     one = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("prefix").alias("prefix"))
@@ -268,6 +272,6 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     whole = components(links.unionAll(more))
     named = classes.select("cid", "cls", "doc").join(whole.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     smallest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
-    of = named.join(smallest, "component").select("cls", "component_id")
+    of = named.join(smallest, "component").select("cls", "component", "component_id")
     joined = rows.join(of, "cls", "left")
-    return joined.select(F.col("doc").alias("doc_id"), "ver", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
+    return joined.select(F.col("doc").alias("doc_id"), "ver", F.col("n").alias("n_shingles"), "component", F.coalesce("component_id", "doc").alias("component_id"))
