@@ -33,7 +33,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id; of repeated rows of it, one."""
     groups = jaccard_join.jaccard_components(docs, width=5, percent=80)
-    first = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "ver")).alias("first")).select("first.*")
+    first = groups.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "ver")).alias("first")).select("first.*")
     empty = groups.where("n_shingles = 0").select("doc_id", "ver").distinct()
     keys = first.unionAll(empty).select(F.col("doc_id").alias("key_id"), F.col("ver").alias("key_text"))
     rows = packed(docs).withColumn("key_text", F.xxhash64("row.text")).join(keys, "key_text").where(F.col("row.doc_id").eqNullSafe(F.col("key_id")))
