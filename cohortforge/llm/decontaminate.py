@@ -10,8 +10,8 @@ blocks of ``BLOCK`` with their largest impact, a pivot where the sum of term bou
 own bounds can't skipped whole.
 
 Retrieved pairs are verified: the item's question (its sentences but the last, or the first two thirds of its words)
-and its answer (the rest) must both be found again in the passage, by their runs of three words, ``question`` and
-``answer`` at least.
+and its answer (the rest) must both be found again in the passage: ``question`` of the first by its runs of three
+words, ``answer`` of the second, often a few words only, by its single words.
 
 Words are case-folded runs of letters and digits. Document frequencies and lengths are counted over all items. The
 index is broadcast in shards of at most ``SHARD`` postings, each a pass over the texts.
@@ -173,9 +173,9 @@ def block_max_wand(terms: list[int], part: Part, share: float) -> list[tuple[int
     return out
 
 
-def overlap(part: list[str], passage: list[str]) -> float:
-    """Share of the runs of three words (all, if fewer) of ``part`` that stand in the passage."""
-    n = min(RUN, len(part))
+def overlap(part: list[str], passage: list[str], run: int = RUN) -> float:
+    """Share of the runs of so many words (all, if fewer) of ``part`` that stand in the passage."""
+    n = min(run, len(part))
     if not n:
         return 0.0
     runs = [tuple(part[i : i + n]) for i in range(len(part) - n + 1)]
@@ -218,7 +218,7 @@ def _search(words: list[str], texts: np.ndarray, out: list[dict], part: Part, sh
         w = window[first[n]]
         for item, score in block_max_wand(term[first[n] : last[n]].tolist(), part, share):
             passage = words[starts[w] : ends[w]]
-            q, a = (overlap(x, passage) for x in (part.words[item][: part.cut[item]], part.words[item][part.cut[item] :]))
+            q, a = overlap(part.words[item][: part.cut[item]], passage), overlap(part.words[item][part.cut[item] :], passage, 1)
             if q >= question and a >= answer:
                 found = out[owner[w]]
                 found[item] = max(found.get(item, (0.0, 0.0, 0.0)), (score, q, a))
