@@ -37,6 +37,8 @@ from .tables import bounded_batches, materialize
 SKETCH_BITS, PARTS = 18, 64
 LOCAL, MEMBERS, QUERIES = 256, 64, 512
 ROUNDS = 4
+#: Classes (of about 100 bytes each) that are sent to the texts; more of them meet the texts in a shuffle.
+SMALL = 200_000
 MEMORY = 300_000
 M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,6 +141,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             # another text under the same id is not this class
             yield pdf[[xxhash.xxh3_128_digest(s) == c for s, c in zip(sets, pdf["cls"])]][[*columns, "tokens"]]
 
+    if wanted.count() <= SMALL:  # else both sides are shuffled
+        wanted = F.broadcast(wanted)
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("doc"))).select("text", *columns)
     return rows.mapInPandas(make, wanted.schema.add("tokens", "binary"))
 
@@ -202,20 +206,21 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             tokens = [np.frombuffer(p, np.int64) for p in pdf["prefix"]]
-            sizes = [len(t) for t in tokens]
-            out = pdf[["cid", "n", "piece", "part"]].loc[pdf.index.repeat(sizes)].reset_index(drop=True)
-            n = pdf["n"].to_numpy()
+            sizes, n = np.array([len(t) for t in tokens]), pdf["n"].to_numpy()
             # of two sets the smaller shares a token among fewer of its first ones: twice the percentage of its size over 100 + percent
             short = n - -(-2 * percent * n // (100 + percent)) + 1
-            place = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            out["indexed"] = place < np.repeat(short, sizes)
-            out["token"] = np.concatenate(tokens)
-            yield out
-
-    rows = grouped.select("cid", "n", "piece", "part", "prefix").mapInPandas(explode, "cid long, n long, piece long, part long, indexed boolean, token long")
-    # tokens of one piece alone lead nowhere
-    known = rows.repartition("token").groupBy("token").agg(F.min("piece").alias("low"), F.max("piece").alias("high"))
-    shared = materialize(rows.join(known.where("low <> high").select("token"), "token"), "shared-tokens")
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            indexed = place < np.repeat(short, sizes)
+            yield pd.DataFrame({"token": np.concatenate(tokens), "ref": np.repeat(pdf["cid"].to_numpy(), sizes) * 2 + indexed})
+
+    def met(rows: DataFrame, by: str) -> DataFrame:
+        """Rows whose token has more than one value of ``by``; the others lead nowhere."""
+        known = rows.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).where("low <> high")
+        return rows.join(known.select("token"), "token")
+
+    rows = grouped.select("cid", "n", "prefix").mapInPandas(explode, "token long, ref long").withColumn("cid", F.shiftright("ref", 1))
+    rows = materialize(met(rows, "cid").select("token", "cid", (F.col("ref") % 2 == 1).alias("indexed")), "common-tokens")
+    shared = materialize(met(rows.join(grouped.select("cid", "n", "piece", "part"), "cid"), "piece"), "shared-tokens")
     matrix = shared.where("indexed").groupBy("token", "piece", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     queries = shared.select("token", "cid", "n", F.col("piece").alias("own"))
     near = (F.col("piece") != F.col("own")) & (F.col("low") <= F.col("n")) & (F.col("high") * 100 >= F.col("n") * percent)
