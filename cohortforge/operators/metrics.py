@@ -45,16 +45,16 @@ def hard_metric_columns() -> dict[str, Column]:
     n, pos, neg = tp + tn + fp + fn, tp + fn, tn + fp
     f1 = ratio(2 * tp, 2 * tp + fp + fn)
     f0 = ratio(2 * tn, 2 * tn + fp + fn)
-    chance = ((tp + fp) * pos + (tn + fn) * neg) / (n * n)
+    chance = ratio((tp + fp) * pos + (tn + fn) * neg, n * n, None)
     both = ratio(tp, pos, None), ratio(tn, neg, None)
     return {
-        "accuracy": (tp + tn) / n,
+        "accuracy": ratio(tp + tn, n, None),
         "balanced_accuracy": F.when(both[0].isNull(), both[1]).when(both[1].isNull(), both[0]).otherwise((both[0] + both[1]) / 2),
         "precision": ratio(tp, tp + fp),
         "recall": ratio(tp, pos),
         "f1": f1,
-        "f1_weighted": (f1 * pos + f0 * neg) / n,
-        "kappa": ratio((tp + tn) / n - chance, 1 - chance, None),
+        "f1_weighted": ratio(f1 * pos + f0 * neg, n, None),
+        "kappa": ratio(ratio(tp + tn, n, None) - chance, 1 - chance, None),
     }
 
 
