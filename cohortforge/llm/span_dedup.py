@@ -94,7 +94,8 @@ def repeated_runs(docs: DataFrame, sentences: int = 2, words: int = 12) -> DataF
     """(doc, ver, place, upto, first_doc): every run that repeats an earlier one, and where that one is."""
     runs = materialize(sentence_runs(docs, sentences, words), "sentence-runs")
     first = runs.groupBy("h1", "h2").agg(F.min(F.struct("doc", "ver", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = runs.join(first.select("h1", "h2", "first"), ["h1", "h2"]).where(~F.struct("doc", "ver", "place").eqNullSafe(F.col("first")))
+    first = materialize(first.select("h1", "h2", "first"), "first-runs")  # a plain shuffle on both sides can be split where it is skewed
+    again = runs.join(first, ["h1", "h2"]).where(~F.struct("doc", "ver", "place").eqNullSafe(F.col("first")))
     return again.select("doc", "ver", "place", "upto", F.col("first.doc").alias("first_doc"))
 
 
