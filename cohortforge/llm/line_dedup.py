@@ -50,7 +50,8 @@ def repeated_places(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc, ver, starts): per document the places of its windows that repeat an earlier one."""
     windows = materialize(line_windows(docs, width), "line-windows")
     first = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "ver", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = windows.join(first.select("h1", "h2", "first"), ["h1", "h2"]).where(~F.struct("doc", "ver", "place").eqNullSafe(F.col("first")))
+    first = materialize(first.select("h1", "h2", "first"), "first-windows")  # a plain shuffle on both sides can be split where it is skewed
+    again = windows.join(first, ["h1", "h2"]).where(~F.struct("doc", "ver", "place").eqNullSafe(F.col("first")))
     return again.groupBy("doc", "ver").agg(F.collect_set("place").alias("starts"))
 
 
