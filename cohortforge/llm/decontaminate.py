@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches, materialize, slices
+from .tables import Shared, bounded_batches, materialize, slices
 
 K1, B = 1.2, 0.75
 BLOCK, SHARD, GROUPS = 16, 1_000_000, 128
@@ -231,7 +231,7 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = 0.6, question
     schema = "doc_id long, item_id long, bm25 double, share double, question_overlap double, answer_overlap double"
 
     def one(part: Part) -> DataFrame:
-        shared = spark.sparkContext.broadcast(part)  # at most SHARD postings
+        shared = Shared(spark, part)  # at most SHARD postings
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             p = shared.value
@@ -253,7 +253,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, share: float = 0.6, que
     bounded_batches(spark)
 
     def one(rows: DataFrame, part: Part) -> DataFrame:
-        shared = spark.sparkContext.broadcast(part)
+        shared = Shared(spark, part)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             p = shared.value

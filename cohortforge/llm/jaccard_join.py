@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import bounded_batches, materialize
+from .tables import Shared, bounded_batches, materialize
 
 SKETCH_BITS, PARTS = 18, 64
 LOCAL, MEMBERS, QUERIES = 256, 64, 512
@@ -106,7 +106,7 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc, ver, n, cls, least, prefix): hash of the text, size, digest of the set, its minimum hash, first tokens in the global order."""
     counts = _sketch(docs, width)
     level = np.minimum(np.log2(counts + 1) * 6, 255).astype(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(level)  # of fixed size
+    shared = Shared(docs.sparkSession, level)  # of fixed size
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, level = Shingles(width), shared.value
@@ -216,7 +216,7 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
     def met(rows: DataFrame, by: str) -> DataFrame:
         """Rows whose token has more than one value of ``by``; the others lead nowhere."""
         known = rows.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).where("low <> high")
-        return rows.join(known.select("token"), "token")
+        return rows.join(materialize(known.select("token"), "met"), "token")  # a plain shuffle on both sides can be split
 
     rows = grouped.select("cid", "n", "prefix").mapInPandas(explode, "token long, ref long").withColumn("cid", F.shiftright("ref", 1))
     rows = materialize(met(rows, "cid").select("token", "cid", (F.col("ref") % 2 == 1).alias("indexed")), "common-tokens")

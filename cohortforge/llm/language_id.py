@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches, slices, smallest_hashes
+from .tables import Shared, bounded_batches, slices, smallest_hashes
 
 ORDER = 3
 #: Bytes scored at once in a task.
@@ -178,7 +178,7 @@ def predict(docs: DataFrame, trees: Trees) -> DataFrame:
     """docs (doc_id, held_out, text) -> doc_id, held_out, lang_pred, score, bits: bits of the best language."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(trees)  # bounded by the rows of the fit
+    shared = Shared(spark, trees)  # bounded by the rows of the fit
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = shared.value

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import materialize
+from .tables import Shared, materialize
 
 BUCKET, BLOCK = 8192, 4096
 
@@ -127,7 +127,7 @@ def search(
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if index is None:
         return empty
-    shared = spark.sparkContext.broadcast(index)
+    shared = Shared(spark, index)
     half = index.books[0].shape[1]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,7 +156,7 @@ def search(
             bucket, filled = bucket + (filled > 0), 0
         index.buckets[c] = (bucket, parts)
         bucket, filled = (bucket + parts, 0) if parts > 1 else (bucket, filled + size)
-    placed = spark.sparkContext.broadcast(index)
+    placed = Shared(spark, index)
 
     def to_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

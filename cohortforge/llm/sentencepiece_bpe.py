@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import bounded_batches, packed, slices
+from .tables import Shared, bounded_batches, packed, slices
 
 MARK = "▁"
 NEVER = np.iinfo(np.int32).max
@@ -199,7 +199,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """(row, ids array<int>): every row packed, with the ids of its whole text."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(load_pieces(model_path))  # as large as the vocabulary
+    shared = Shared(spark, load_pieces(model_path))  # as large as the vocabulary
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -214,7 +214,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
     """rows with a column ``decoded``: the text of the ids; ids the model lacks are an error."""
     spark = rows.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(load_pieces(model_path))
+    shared = Shared(spark, load_pieces(model_path))
 
     @F.pandas_udf(T.StringType())
     def text_of(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -229,7 +229,7 @@ def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFram
     """(row, ids, decoded): ``encode`` and ``decode`` in one pass over the texts."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(load_pieces(model_path))
+    shared = Shared(spark, load_pieces(model_path))
 
     @F.pandas_udf("ids array<int>, decoded string")
     def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

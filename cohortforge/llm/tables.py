@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,22 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+class Shared:
+    """A broadcast value that workers can read without having this package installed."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if "read" not in self.__dict__:
+            self.read = pickle.loads(self.data.value)
+        return self.read
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data}
+
+
 def packed(df: DataFrame) -> DataFrame:
     """All columns as one struct ``row``: working columns beside it can't clash with theirs."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

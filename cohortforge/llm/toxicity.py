@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import bounded_batches, slices, smallest_hashes
+from .tables import Shared, bounded_batches, slices, smallest_hashes
 
 P, SPAN, DECAY, LONGEST = 4, 6, 0.6, 30
 #: Offsets of the other characters from the first, and what they weigh.
@@ -342,7 +342,7 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = 0.3, keep_only
     """docs with a whole text each -> their columns plus score and predicted; or the columns of those below the threshold."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by the landmarks
+    shared = Shared(spark, model)  # bounded by the landmarks
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
