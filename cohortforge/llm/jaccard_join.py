@@ -11,8 +11,9 @@ The join is exact; its result is the components of the links.
    meet again while blocks are many. What is linked so far is a *group* of similar documents (split at ``MEMBERS``).
 4. Token-group matrix: one row for each prefix token and group. A query is joined with the groups under its own
    prefix tokens, unless it is in their piece already or all their sizes are out of reach.
-5. Of each such group, the union of all tokens bounds the overlap with the query; only groups whose bound reaches
-   the query's least overlap are opened, and their members compared.
+5. Of each such group, the union of all its tokens bounds the overlap with the query: first as a bitmap (every bit of
+   the query that the union lacks is at least one token lost), then exactly. Only groups whose bound reaches the
+   query's least overlap are opened, and their members compared.
 
 A token, class, group or minimum hash with many rows is split: partial counts, blocks by hash, queries by block.
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .tables import Shared, bounded_batches, materialize
 
-SKETCH_BITS, PARTS = 18, 64
+SKETCH_BITS, PARTS = 20, 64
 LOCAL, MEMBERS, QUERIES = 256, 64, 512
 ROUNDS = 4
 #: Classes (of about 100 bytes each) that are sent to the texts; more of them meet the texts in a shuffle.
@@ -76,12 +77,26 @@ def least_overlap(n, percent: int):
     return -(-percent * n // 100)
 
 
+def _bits(tokens: np.ndarray) -> bytes:
+    """A set as a bitmap of two to four bits a token; sizes are powers of two, so that larger ones fold."""
+    out = np.zeros(1 << max(6, (2 * len(tokens) - 1).bit_length()), bool)
+    out[(tokens & np.uint64(len(out) - 1)).astype(np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    out = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+    while len(out) > size:
+        out = out[: len(out) // 2] | out[len(out) // 2 :]
+    return out
+
+
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
     """How many documents hold the tokens of each of 2**SKETCH_BITS slots."""
     size = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, total = Shingles(width), np.zeros(size, np.int64)
+        shingles, total = Shingles(width), np.zeros(size, np.int32)
         for pdf in batches:
             for text in pdf["text"]:
                 np.add.at(total, (shingles(text) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
@@ -92,7 +107,7 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for pdf in batches:
             for part, counts in zip(pdf["part"], pdf["counts"]):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int32).astype(np.int64)
         yield pd.DataFrame({"part": list(total), "counts": [x.tobytes() for x in total.values()]})
 
     schema = "part int, counts binary"
@@ -103,7 +118,7 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc, ver, n, cls, least, prefix): hash of the text, size, digest of the set, its minimum hash, first tokens in the global order."""
+    """(doc, ver, n, cls, least, prefix, bits): hash of the text, size, digest of the set, its minimum hash, first tokens in the global order, bitmap."""
     counts = _sketch(docs, width)
     level = np.minimum(np.log2(counts + 1) * 6, 255).astype(np.uint64)
     shared = Shared(docs.sparkSession, level)  # of fixed size
@@ -111,11 +126,12 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, level = Shingles(width), shared.value
         for pdf in batches:
-            n, cls, least, prefix = [], [], [], []
+            n, cls, least, prefix, bits = [], [], [], [], []
             for text in pdf["text"]:
                 s = shingles(text)
                 n.append(len(s))
                 cls.append(xxhash.xxh3_128_digest(s.tobytes()))
+                bits.append(_bits(s))
                 if len(s):
                     mixed = s * M
                     least.append(int((mixed ^ (mixed >> np.uint64(31))).min().view(np.int64)))
@@ -124,9 +140,9 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 else:
                     least.append(0)
                     prefix.append(b"")
-            yield pd.DataFrame({"doc": pdf["doc_id"], "ver": pdf["ver"], "n": n, "cls": cls, "least": least, "prefix": prefix})
+            yield pd.DataFrame({"doc": pdf["doc_id"], "ver": pdf["ver"], "n": n, "cls": cls, "least": least, "prefix": prefix, "bits": bits})
 
-    return docs.select("doc_id", F.xxhash64("text").alias("ver"), "text").mapInPandas(profile, "doc long, ver long, n long, cls binary, least long, prefix binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("ver"), "text").mapInPandas(profile, "doc long, ver long, n long, cls binary, least long, prefix binary, bits binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -200,7 +216,7 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
     """Classes with their piece and group, and (cid, piece, part) of every query and group under a common token."""
     sizes = pieces.groupBy("component").agg(F.count("*").alias("members"))
     of = pieces.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("piece"), F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / MEMBERS)).alias("part"))
-    grouped = classes.join(of, "cid", "left").select("cid", "doc", "cls", "n", "prefix", F.coalesce("piece", "cid").alias("piece"), F.coalesce("part", F.lit(0)).alias("part"))
+    grouped = classes.join(of, "cid", "left").select("cid", "doc", "cls", "n", "bits", F.coalesce("piece", "cid").alias("piece"), F.coalesce("part", F.lit(0)).alias("part"))
     grouped = materialize(grouped, "groups")
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,7 +234,7 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
         known = rows.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).where("low <> high")
         return rows.join(materialize(known.select("token"), "met"), "token")  # a plain shuffle on both sides can be split
 
-    rows = grouped.select("cid", "n", "prefix").mapInPandas(explode, "token long, ref long").withColumn("cid", F.shiftright("ref", 1))
+    rows = classes.select("cid", "n", "prefix").mapInPandas(explode, "token long, ref long").withColumn("cid", F.shiftright("ref", 1))
     rows = materialize(met(rows, "cid").select("token", "cid", (F.col("ref") % 2 == 1).alias("indexed")), "common-tokens")
     shared = materialize(met(rows.join(grouped.select("cid", "n", "piece", "part"), "cid"), "piece"), "shared-tokens")
     matrix = shared.where("indexed").groupBy("token", "piece", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -227,23 +243,44 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
     return grouped, queries.join(matrix, "token").where(near).select("cid", "piece", "part").distinct()
 
 
+def _meet(candidates: DataFrame, asked: DataFrame, members: DataFrame, compare, schema: str) -> DataFrame:
+    """Queries (cid, n, what) and members (piece, part, what) of the same group meet, at most about QUERIES queries at a time."""
+    many = candidates.groupBy("piece", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares"))
+    queries = candidates.join(many, ["piece", "part"]).join(asked, "cid")
+    queries = queries.select("cid", "n", "what", "piece", "part", F.pmod(F.xxhash64("cid"), F.col("shares")).alias("share"))
+    share = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
+    rows = members.join(many, ["piece", "part"]).select(F.col("piece").alias("of_piece"), F.col("part").alias("of_part"), share.alias("of_share"), F.col("what").alias("member"))
+    return queries.groupBy("piece", "part", "share").cogroup(rows.groupBy("of_piece", "of_part", "of_share")).applyInPandas(compare, schema)
+
+
+def _qualifying(grouped: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
+    """The candidates whose query may have its least overlap with the union of the group, by their bitmaps."""
+
+    def bound(key, asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+        keep = []
+        if len(group):
+            size = 8 * min(map(len, group["member"]))
+            union = np.logical_or.reduce([_folded(b, size) for b in group["member"]])
+            for n, bits in zip(asked["n"], asked["what"]):
+                q = _folded(bits, size)
+                there = union if len(q) == size else _folded(np.packbits(union).tobytes(), len(q))
+                keep.append(n - int((q & ~there).sum()) >= least_overlap(n, percent))
+        return asked.loc[np.array(keep, bool)][["cid", "piece", "part"]] if len(group) else asked.iloc[:0][["cid", "piece", "part"]]
+
+    return _meet(candidates, grouped.select("cid", "n", F.col("bits").alias("what")), grouped.select("piece", "part", F.col("bits").alias("what")), bound, "cid long, piece long, part long")
+
+
 def _open(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) of the queries with the groups that had to be opened; b names the group's piece."""
-    many = candidates.groupBy("piece", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares"))
-    members = grouped.join(many, ["piece", "part"]).select("cid", "doc", "cls", "piece", "part", "shares")
-    asking = grouped.select("cid", "doc", "cls").join(candidates.select("cid").distinct(), "cid")
-    needed = asking.unionAll(members.select("cid", "doc", "cls")).distinct()
-    sets = materialize(_sets(docs, needed, width).select("cid", "tokens").dropDuplicates(["cid"]), "sets")
-    queries = candidates.join(many, ["piece", "part"]).join(sets, "cid").withColumn("share", F.pmod(F.xxhash64("cid"), F.col("shares")))
-    rows = members.join(sets, "cid").select(
-        F.col("piece").alias("of_piece"), F.col("part").alias("of_part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("of_share"), F.col("tokens").alias("member")
-    )
+    inside = grouped.join(candidates.select("piece", "part").distinct(), ["piece", "part"]).select("cid", "doc", "cls")
+    needed = inside.unionAll(grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "cls")).distinct()
+    sets = materialize(_sets(docs, needed, width).select("cid", F.col("tokens").alias("what")).dropDuplicates(["cid"]), "sets")
 
     def compare(key, asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
         found = []
         sets = [np.frombuffer(t, np.uint64) for t in group["member"]]
         union = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        for cid, tokens in zip(asked["cid"], asked["tokens"]):
+        for cid, tokens in zip(asked["cid"], asked["what"]):
             q = np.frombuffer(tokens, np.uint64)
             need = least_overlap(len(q), percent)
             if not len(union) or (union[np.searchsorted(union, q).clip(max=len(union) - 1)] == q).sum() < need:
@@ -256,8 +293,8 @@ def _open(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int
                         break  # the group is one piece already
         return pd.DataFrame({"a": found, "b": [key[0]] * len(found)}).astype("int64")
 
-    asked = queries.select(F.col("cid"), F.col("piece"), F.col("part"), F.col("share"), F.col("tokens"))
-    return asked.groupBy("piece", "part", "share").cogroup(rows.groupBy("of_piece", "of_part", "of_share")).applyInPandas(compare, "a long, b long")
+    asked = sets.join(grouped.select("cid", "n"), "cid")
+    return _meet(candidates, asked, grouped.select("cid", "piece", "part").join(sets, "cid"), compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -268,11 +305,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """
     bounded_batches(docs.sparkSession)
     rows = materialize(_profiles(docs, width, percent), "profiles")
-    one = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("prefix").alias("prefix"))
+    one = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     classes = materialize(one.withColumn("cid", F.monotonically_increasing_id()), "classes")  # numbered once, as written
     links = _pieces(docs, classes, width, percent)
     grouped, candidates = _matrix(classes, components(links), percent)
-    candidates = materialize(candidates, "candidates")
+    candidates = materialize(_qualifying(grouped, materialize(candidates, "candidates"), percent), "qualifying")
     more = _open(docs, grouped, candidates, width, percent)
     whole = components(links.unionAll(more))
     named = classes.select("cid", "cls", "doc").join(whole.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
