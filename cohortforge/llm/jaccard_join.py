@@ -38,6 +38,8 @@ from .tables import Shared, bounded_batches, materialize
 SKETCH_BITS, PARTS = 20, 64
 LOCAL, MEMBERS, QUERIES = 256, 64, 512
 ROUNDS = 4
+#: Bytes of sets or bitmaps that meet in one call.
+BUCKET = 8 << 20
 #: Classes (of about 100 bytes each) that are sent to the texts; more of them meet the texts in a shuffle.
 SMALL = 200_000
 MEMORY = 300_000
@@ -163,9 +165,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return rows.mapInPandas(make, wanted.schema.add("tokens", "binary"))
 
 
-def _link_local(pdf: pd.DataFrame, percent: int) -> np.ndarray:
-    """Smallest place of the piece of each row; every pair of rows that are not yet linked is compared."""
-    sets = [np.frombuffer(t, np.uint64) for t in pdf["tokens"]]
+def _buckets(rows: DataFrame, size) -> int:
+    """How many groups of about BUCKET bytes the rows make: a Python call for each small group would cost more than its work."""
+    return max(1, -(-int(rows.agg(F.sum(size)).first()[0] or 0) // BUCKET))
+
+
+def _link_local(tokens: list[bytes], percent: int) -> np.ndarray:
+    """Smallest place of the piece of each set; every two sets that are not yet linked are compared."""
+    sets = [np.frombuffer(t, np.uint64) for t in tokens]
     sizes = np.array([len(s) for s in sets])
     ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
     starts = np.cumsum(sizes) - sizes
@@ -192,13 +199,16 @@ def _pieces(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Da
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("cid").sort_values("cid").reset_index(drop=True)
-        piece = _link_local(pdf, percent)
-        lead = piece == np.arange(len(pdf))
-        again = lead & (pdf["met"].to_numpy() > LOCAL)
+        piece = np.arange(len(pdf))
+        for rows in pdf.groupby(["least", "block"]).indices.values():
+            if len(rows) > 1:
+                piece[rows] = rows[_link_local([pdf["tokens"][i] for i in rows], percent)]
+        again = (piece == np.arange(len(pdf))) & (pdf["met"].to_numpy() > LOCAL)
         return pd.DataFrame({"a": pdf["cid"], "b": pdf["cid"].to_numpy()[piece], "least": pdf["least"], "met": pdf["met"], "tokens": pdf["tokens"].where(again, None)})
 
     for _ in range(ROUNDS):
-        done = now.withColumn("block", block).groupBy("least", "block").applyInPandas(link, "a long, b long, least long, met long, tokens binary")
+        blocks = now.withColumn("block", block).withColumn("bucket", F.pmod(F.xxhash64("least", "block"), F.lit(_buckets(now, F.length("tokens")))))
+        done = blocks.groupBy("bucket").applyInPandas(link, "a long, b long, least long, met long, tokens binary")
         done = materialize(done, "linked")
         found = done.where("a <> b").select("a", "b")
         links = found if links is None else links.unionAll(found)
@@ -244,28 +254,40 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
 
 
 def _meet(candidates: DataFrame, asked: DataFrame, members: DataFrame, compare, schema: str) -> DataFrame:
-    """Queries (cid, n, what) and members (piece, part, what) of the same group meet, at most about QUERIES queries at a time."""
+    """Queries (cid, n, what) and members (piece, part, what) of the same group meet, at most about QUERIES queries at a time.
+
+    ``compare`` gets the key of a group, its queries and what its members have, many groups in one task.
+    """
     many = candidates.groupBy("piece", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares"))
-    queries = candidates.join(many, ["piece", "part"]).join(asked, "cid")
-    queries = queries.select("cid", "n", "what", "piece", "part", F.pmod(F.xxhash64("cid"), F.col("shares")).alias("share"))
+    queries = candidates.join(many, ["piece", "part"]).join(asked, "cid").select("cid", "n", "what", "piece", "part", F.pmod(F.xxhash64("cid"), F.col("shares")).alias("share"))
     share = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
-    rows = members.join(many, ["piece", "part"]).select(F.col("piece").alias("of_piece"), F.col("part").alias("of_part"), share.alias("of_share"), F.col("what").alias("member"))
-    return queries.groupBy("piece", "part", "share").cogroup(rows.groupBy("of_piece", "of_part", "of_share")).applyInPandas(compare, schema)
+    rows = members.join(many, ["piece", "part"]).select("piece", "part", share.alias("share"), F.col("what").alias("member"))
+    bucket = F.pmod(F.xxhash64("piece", "part", "share"), F.lit(_buckets(queries, F.length("what"))))
+    left = queries.withColumn("bucket", bucket)
+    right = rows.select(bucket.alias("of"), F.col("piece").alias("of_piece"), F.col("part").alias("of_part"), F.col("share").alias("of_share"), "member")
+
+    def run(asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+        members, out = group.groupby(["of_piece", "of_part", "of_share"]).indices, []
+        for key, at in asked.groupby(["piece", "part", "share"]).indices.items():
+            if key in members:
+                out += compare(key, [(asked["cid"][i], asked["n"][i], asked["what"][i]) for i in at], [group["member"][i] for i in members[key]])
+        return pd.DataFrame(out, columns=[x.split()[0] for x in schema.split(", ")]).astype("int64")
+
+    return left.groupBy("bucket").cogroup(right.groupBy("of")).applyInPandas(run, schema)
 
 
 def _qualifying(grouped: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
     """The candidates whose query may have its least overlap with the union of the group, by their bitmaps."""
 
-    def bound(key, asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
-        keep = []
-        if len(group):
-            size = 8 * min(map(len, group["member"]))
-            union = np.logical_or.reduce([_folded(b, size) for b in group["member"]])
-            for n, bits in zip(asked["n"], asked["what"]):
-                q = _folded(bits, size)
-                there = union if len(q) == size else _folded(np.packbits(union).tobytes(), len(q))
-                keep.append(n - int((q & ~there).sum()) >= least_overlap(n, percent))
-        return asked.loc[np.array(keep, bool)][["cid", "piece", "part"]] if len(group) else asked.iloc[:0][["cid", "piece", "part"]]
+    def bound(key, asked: list, members: list) -> list:
+        size, keep = 8 * min(map(len, members)), []
+        union = np.logical_or.reduce([_folded(b, size) for b in members])
+        for cid, n, bits in asked:
+            q = _folded(bits, size)
+            there = union if len(q) == size else _folded(np.packbits(union).tobytes(), len(q))
+            if n - np.count_nonzero(q & ~there) >= least_overlap(n, percent):
+                keep.append((cid, key[0], key[1]))
+        return keep
 
     return _meet(candidates, grouped.select("cid", "n", F.col("bits").alias("what")), grouped.select("piece", "part", F.col("bits").alias("what")), bound, "cid long, piece long, part long")
 
@@ -276,22 +298,20 @@ def _open(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int
     needed = inside.unionAll(grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "cls")).distinct()
     sets = materialize(_sets(docs, needed, width).select("cid", F.col("tokens").alias("what")).dropDuplicates(["cid"]), "sets")
 
-    def compare(key, asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        sets = [np.frombuffer(t, np.uint64) for t in group["member"]]
-        union = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        for cid, tokens in zip(asked["cid"], asked["what"]):
+    def compare(key, asked: list, members: list) -> list:
+        found, sets = [], [np.frombuffer(t, np.uint64) for t in members]
+        union = np.unique(np.concatenate(sets))
+        for cid, n, tokens in asked:
             q = np.frombuffer(tokens, np.uint64)
-            need = least_overlap(len(q), percent)
-            if not len(union) or (union[np.searchsorted(union, q).clip(max=len(union) - 1)] == q).sum() < need:
+            if (union[np.searchsorted(union, q).clip(max=len(union) - 1)] == q).sum() < least_overlap(n, percent):
                 continue  # the group's bound
             for s in sets:
-                if 100 * min(len(s), len(q)) >= percent * max(len(s), len(q)):
+                if 100 * min(len(s), n) >= percent * max(len(s), n):
                     both = int((s[np.searchsorted(s, q).clip(max=len(s) - 1)] == q).sum())
-                    if 100 * both >= percent * (len(s) + len(q) - both):
-                        found.append(cid)
+                    if 100 * both >= percent * (len(s) + n - both):
+                        found.append((cid, key[0]))
                         break  # the group is one piece already
-        return pd.DataFrame({"a": found, "b": [key[0]] * len(found)}).astype("int64")
+        return found
 
     asked = sets.join(grouped.select("cid", "n"), "cid")
     return _meet(candidates, asked, grouped.select("cid", "piece", "part").join(sets, "cid"), compare, "a long, b long")
