@@ -123,8 +123,8 @@ def landmark_features(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def kernel(words: list[str], kinds: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Normalised kernel of every word with every landmark."""
     out = np.zeros((len(words), table.shape[1]), np.float32)
-    for s in range(0, len(words), 2000):
-        part = words[s : s + 2000]
+    for s in range(0, len(words), 500):
+        part = words[s : s + 500]
         of, lengths = word_of(part)
         counts = np.zeros((len(part), len(kinds)), np.float32)
         for k, at, w in subsequences(part):
@@ -132,7 +132,7 @@ def kernel(words: list[str], kinds: np.ndarray, table: np.ndarray) -> np.ndarray
             place[place == len(kinds)] = 0
             hit = kinds[place] == k
             np.add.at(counts, (of[at[hit]], place[hit]), np.float32(w))
-        out[s : s + 2000] = counts @ table / NORM_OF[lengths][:, None]
+        out[s : s + 500] = counts @ table / NORM_OF[lengths][:, None]
     return out
 
 
@@ -233,15 +233,18 @@ def document_features(sentences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
-    """Squared hinge with ridge by Newton steps; the last column of x is the constant."""
+def _svm(x: np.ndarray, plus: np.ndarray, minus: np.ndarray, ridge: float) -> np.ndarray:
+    """Squared hinge with ridge by Newton steps; plus and minus weigh each row as either class, the last column is the constant."""
     w = np.zeros(x.shape[1])
     penal = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
     for _ in range(30):
-        slack = 1 - y * (x @ w)
-        act = slack > 0
-        xa, wa = x[act], weight[act]
-        step = np.linalg.solve((xa * wa[:, None]).T @ xa + np.diag(penal), penal * w - xa.T @ (wa * y[act] * slack[act]))
+        f = x @ w
+        up, down = plus * (f < 1), minus * (f > -1)
+        bend = np.diag(penal)
+        for s in range(0, len(x), 2000):
+            part = x[s : s + 2000].astype(np.float64)
+            bend += part.T @ (part * (up + down)[s : s + 2000, None])
+        step = np.linalg.solve(bend, penal * w + x.T @ (down * (1 + f) - up * (1 - f)))
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -273,10 +276,9 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int =
         return Model()
     known = _Known()  # every word is kept once
     split = [[[x for w in s.split() for x in known[w]] for s in re.split(r"(?<=[.!?])\s+", t.lower())] for t in texts]
-    docs = [set(w for s in d for w in s) for d in split]
     inside, outside = Counter(), Counter()
-    for d, label in zip(docs, toxic):
-        (inside if label else outside).update(d)
+    for d, label in zip(split, toxic):
+        (inside if label else outside).update({w for s in d for w in s})
     hot, cold = max(1, y.sum()), max(1, (1 - y).sum())
     odds = lambda w: np.log((inside[w] + 0.3) / (hot + 1)) - np.log((outside[w] + 0.3) / (cold + 1))
     gain = {w: odds(w) * np.sqrt(inside[w]) for w in inside if inside[w] > 1}
@@ -286,7 +288,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int =
     kinds, table = landmark_features(chosen)
     values, vectors = np.linalg.eigh(kernel(chosen, kinds, table).astype(np.float64))
     root = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)) @ vectors.T
-    score = {w: odds(w) if inside[w] > 1 else 0.0 for d in docs for w in d}
+    score = {w: odds(w) if inside[w] > 1 else 0.0 for w in inside.keys() | outside.keys()}
     model = Model()
     for turn in range(rounds):
         words, labels, weights = [], [], []
@@ -316,12 +318,9 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int =
         for s in (1, -1):
             ww[yy == s] *= len(yy) / 2 / ww[yy == s].sum()
         different, at = np.unique(np.array(words, object), return_inverse=True)
-        x = np.hstack([kernel(list(different), kinds, table) @ root, np.ones((len(different), 1))])
+        x = np.hstack([kernel(list(different), kinds, table) @ root.astype(np.float32), np.ones((len(different), 1), np.float32)])
         side = np.bincount(at, ww * yy), np.bincount(at, ww)
-        plus, minus = (side[1] + side[0]) / 2, (side[1] - side[0]) / 2
-        both = np.vstack([x, x]), np.append(np.ones(len(x)), -np.ones(len(x))), np.append(plus, minus)
-        some = both[2] > 0
-        w = _svm(both[0][some], both[1][some], both[2][some], ridge)
+        w = _svm(x, (side[1] + side[0]) / 2, (side[1] - side[0]) / 2, ridge)
         alpha = root @ w[:-1]
         model = Model(kinds, (table @ alpha).astype(np.float32), float(w[-1]))
         everything = sorted(score)
