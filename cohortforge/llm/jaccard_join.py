@@ -8,12 +8,13 @@ The join is exact; its result is the components of the links.
 2. Tokens get one global order, rare ones first, from a count sketch over all documents (fixed size, summed over the
    tasks). Sets that link share a token among the first few of both (the prefix).
 3. Classes with the same minimum hash meet in blocks of bounded size and are linked there; the leaders of the pieces
-   meet again while blocks are many. What is linked so far is a *group* of similar documents (split at ``MEMBERS``).
+   meet again while blocks are many. What is linked so far is a *group* of similar documents (split at ``MEMBERS``); what
+   is linked with nothing yet is in a group with others of its block.
 4. Token-group matrix: one row for each prefix token and group. A query is joined with the groups under its own
-   prefix tokens, unless it is in their piece already or all their sizes are out of reach.
-5. Of each such group, the union of all its tokens bounds the overlap with the query: first as a bitmap (every bit of
-   the query that the union lacks is at least one token lost), then exactly. Only groups whose bound reaches the
-   query's least overlap are opened, and their members compared.
+   prefix tokens, unless it has met them already or all their sizes are out of reach.
+5. The overlap of the query with each such group is bounded: first by the bitmaps of its members (every bit of the query
+   that a member lacks is at least one token lost), then by the union of all its tokens. Only groups whose bounds reach
+   the query's least overlap are opened, and their members compared.
 
 A token, class, group or minimum hash with many rows is split: partial counts, blocks by hash, queries by block.
 
@@ -223,10 +224,19 @@ def _pieces(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Da
 
 
 def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Classes with their piece and group, and (cid, piece, part) of every query and group under a common token."""
+    """Classes with their piece and group, and (cid, name, part) of every query and group under a common token.
+
+    A group is named by ``name`` and ``part``: the piece and an even number, or for classes that are linked with
+    nothing yet their minimum hash and an odd number, four parts for each block in which they were compared.
+    """
     sizes = pieces.groupBy("component").agg(F.count("*").alias("members"))
-    of = pieces.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("piece"), F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / MEMBERS)).alias("part"))
-    grouped = classes.join(of, "cid", "left").select("cid", "doc", "cls", "n", "bits", F.coalesce("piece", "cid").alias("piece"), F.coalesce("part", F.lit(0)).alias("part"))
+    of = pieces.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("linked"), F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / MEMBERS)).alias("place"))
+    met_with = classes.groupBy("least").agg(F.count("*").alias("met"))
+    block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("met") / LOCAL)) * 4 + F.pmod(F.xxhash64(F.lit(7), "cid"), F.lit(4))
+    grouped = classes.join(of, "cid", "left").join(met_with, "least").select(
+        "cid", "doc", "cls", "n", "bits", F.coalesce("linked", "cid").alias("piece"), F.coalesce("linked", "least").alias("name"),
+        F.when(F.col("linked").isNotNull(), F.col("place") * 2).otherwise(block * 2 + 1).alias("part"),
+    )
     grouped = materialize(grouped, "groups")
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -246,75 +256,80 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
 
     rows = classes.select("cid", "n", "prefix").mapInPandas(explode, "token long, ref long").withColumn("cid", F.shiftright("ref", 1))
     rows = materialize(met(rows, "cid").select("token", "cid", (F.col("ref") % 2 == 1).alias("indexed")), "common-tokens")
-    shared = materialize(met(rows.join(grouped.select("cid", "n", "piece", "part"), "cid"), "piece"), "shared-tokens")
-    matrix = shared.where("indexed").groupBy("token", "piece", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    queries = shared.select("token", "cid", "n", F.col("piece").alias("own"))
-    near = (F.col("piece") != F.col("own")) & (F.col("low") <= F.col("n")) & (F.col("high") * 100 >= F.col("n") * percent)
-    return grouped, queries.join(matrix, "token").where(near).select("cid", "piece", "part").distinct()
+    shared = materialize(met(rows.join(grouped.select("cid", "n", "piece", "name", "part"), "cid"), "piece"), "shared-tokens")
+    matrix = shared.where("indexed").groupBy("token", "name", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    queries = shared.select("token", "cid", "n", F.col("name").alias("own"), F.col("part").alias("at"))
+    known = (F.col("name") == F.col("own")) & ((F.col("part") == F.col("at")) | ((F.col("part") % 2 == 0) & (F.col("at") % 2 == 0)))
+    near = ~known & (F.col("low") <= F.col("n")) & (F.col("high") * 100 >= F.col("n") * percent)
+    return grouped, queries.join(matrix, "token").where(near).select("cid", "name", "part").distinct()
 
 
 def _meet(candidates: DataFrame, asked: DataFrame, members: DataFrame, compare, schema: str) -> DataFrame:
-    """Queries (cid, n, what) and members (piece, part, what) of the same group meet, at most about QUERIES queries at a time.
+    """Queries (cid, n, what) and members (name, part, cid, what) of the same group meet, at most about QUERIES queries at a time.
 
-    ``compare`` gets the key of a group, its queries and what its members have, many groups in one task.
+    ``compare`` gets the key of a group, its queries and its members, many groups in one task.
     """
-    many = candidates.groupBy("piece", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares"))
-    queries = candidates.join(many, ["piece", "part"]).join(asked, "cid").select("cid", "n", "what", "piece", "part", F.pmod(F.xxhash64("cid"), F.col("shares")).alias("share"))
+    rows, mean = candidates.count(), asked.agg(F.avg(F.length("what"))).first()[0] or 0
+    many = candidates.groupBy("name", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares"))
+    bucket = F.pmod(F.xxhash64("name", "part", "share"), F.lit(max(1, -(-int(rows * mean) // BUCKET))))
+    queries = candidates.join(many, ["name", "part"]).withColumn("share", F.pmod(F.xxhash64("cid"), F.col("shares"))).join(asked, "cid")
+    left = queries.select(bucket.alias("bucket"), "cid", "n", "what", "name", "part", "share")
     share = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
-    rows = members.join(many, ["piece", "part"]).select("piece", "part", share.alias("share"), F.col("what").alias("member"))
-    bucket = F.pmod(F.xxhash64("piece", "part", "share"), F.lit(_buckets(queries, F.length("what"))))
-    left = queries.withColumn("bucket", bucket)
-    right = rows.select(bucket.alias("of"), F.col("piece").alias("of_piece"), F.col("part").alias("of_part"), F.col("share").alias("of_share"), "member")
+    group = members.join(many, ["name", "part"]).select("name", "part", share.alias("share"), "cid", "what")
+    right = group.select(bucket.alias("of"), *[F.col(c).alias(f"of_{c}") for c in ("name", "part", "share", "cid", "what")])
 
     def run(asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
-        members, out = group.groupby(["of_piece", "of_part", "of_share"]).indices, []
-        for key, at in asked.groupby(["piece", "part", "share"]).indices.items():
+        members, out = group.groupby(["of_name", "of_part", "of_share"]).indices, []
+        for key, at in asked.groupby(["name", "part", "share"]).indices.items():
             if key in members:
-                out += compare(key, [(asked["cid"][i], asked["n"][i], asked["what"][i]) for i in at], [group["member"][i] for i in members[key]])
+                out += compare(key, [(asked["cid"][i], asked["n"][i], asked["what"][i]) for i in at], [(group["of_cid"][i], group["of_what"][i]) for i in members[key]])
         return pd.DataFrame(out, columns=[x.split()[0] for x in schema.split(", ")]).astype("int64")
 
     return left.groupBy("bucket").cogroup(right.groupBy("of")).applyInPandas(run, schema)
 
 
 def _qualifying(grouped: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
-    """The candidates whose query may have its least overlap with the union of the group, by their bitmaps."""
+    """The candidates whose query may have its least overlap with a member of the group, by their bitmaps."""
 
     def bound(key, asked: list, members: list) -> list:
-        size, keep = 8 * min(map(len, members)), []
-        union = np.logical_or.reduce([_folded(b, size) for b in members])
+        size, keep = 8 * min(len(b) for _, b in members), []
+        group = {size: np.array([_folded(b, size) for _, b in members])}
         for cid, n, bits in asked:
             q = _folded(bits, size)
-            there = union if len(q) == size else _folded(np.packbits(union).tobytes(), len(q))
-            if n - np.count_nonzero(q & ~there) >= least_overlap(n, percent):
+            if len(q) not in group:
+                group[len(q)] = np.array([_folded(b, len(q)) for _, b in members])
+            if n - (q & ~group[len(q)]).sum(1).min() >= least_overlap(n, percent):
                 keep.append((cid, key[0], key[1]))
         return keep
 
-    return _meet(candidates, grouped.select("cid", "n", F.col("bits").alias("what")), grouped.select("piece", "part", F.col("bits").alias("what")), bound, "cid long, piece long, part long")
+    what = F.col("bits").alias("what")
+    return _meet(candidates, grouped.select("cid", "n", what), grouped.select("name", "part", "cid", what), bound, "cid long, name long, part long")
 
 
 def _open(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) of the queries with the groups that had to be opened; b names the group's piece."""
-    inside = grouped.join(candidates.select("piece", "part").distinct(), ["piece", "part"]).select("cid", "doc", "cls")
+    """Links (a, b) of the queries with members of the groups that had to be opened."""
+    inside = grouped.join(candidates.select("name", "part").distinct(), ["name", "part"]).select("cid", "doc", "cls")
     needed = inside.unionAll(grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "cls")).distinct()
     sets = materialize(_sets(docs, needed, width).select("cid", F.col("tokens").alias("what")).dropDuplicates(["cid"]), "sets")
 
     def compare(key, asked: list, members: list) -> list:
-        found, sets = [], [np.frombuffer(t, np.uint64) for t in members]
-        union = np.unique(np.concatenate(sets))
+        found, sets = [], [(i, np.frombuffer(t, np.uint64)) for i, t in members]
+        union = np.unique(np.concatenate([s for _, s in sets]))
         for cid, n, tokens in asked:
             q = np.frombuffer(tokens, np.uint64)
             if (union[np.searchsorted(union, q).clip(max=len(union) - 1)] == q).sum() < least_overlap(n, percent):
                 continue  # the group's bound
-            for s in sets:
+            for i, s in sets:
                 if 100 * min(len(s), n) >= percent * max(len(s), n):
                     both = int((s[np.searchsorted(s, q).clip(max=len(s) - 1)] == q).sum())
                     if 100 * both >= percent * (len(s) + n - both):
-                        found.append((cid, key[0]))
-                        break  # the group is one piece already
+                        found.append((cid, i))
+                        if key[1] % 2 == 0:
+                            break  # the group is one piece already
         return found
 
     asked = sets.join(grouped.select("cid", "n"), "cid")
-    return _meet(candidates, asked, grouped.select("cid", "piece", "part").join(sets, "cid"), compare, "a long, b long")
+    return _meet(candidates, asked, grouped.select("cid", "name", "part").join(sets, "cid"), compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
