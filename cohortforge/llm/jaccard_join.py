@@ -37,7 +37,7 @@ from .components import components
 from .tables import Shared, bounded_batches, materialize
 
 SKETCH_BITS, PARTS = 20, 64
-LOCAL, MEMBERS, QUERIES = 256, 64, 512
+LOCAL, MEMBERS, QUERIES = 256, 256, 512
 ROUNDS = 4
 #: Bytes of sets or bitmaps that meet in one call.
 BUCKET = 8 << 20
@@ -227,12 +227,12 @@ def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFr
     """Classes with their piece and group, and (cid, name, part) of every query and group under a common token.
 
     A group is named by ``name`` and ``part``: the piece and an even number, or for classes that are linked with
-    nothing yet their minimum hash and an odd number, four parts for each block in which they were compared.
+    nothing yet their minimum hash and an odd number, one for each block in which they were compared.
     """
     sizes = pieces.groupBy("component").agg(F.count("*").alias("members"))
     of = pieces.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("linked"), F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / MEMBERS)).alias("place"))
     met_with = classes.groupBy("least").agg(F.count("*").alias("met"))
-    block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("met") / LOCAL)) * 4 + F.pmod(F.xxhash64(F.lit(7), "cid"), F.lit(4))
+    block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("met") / LOCAL))
     grouped = classes.join(of, "cid", "left").join(met_with, "least").select(
         "cid", "doc", "cls", "n", "bits", F.coalesce("linked", "cid").alias("piece"), F.coalesce("linked", "least").alias("name"),
         F.when(F.col("linked").isNotNull(), F.col("place") * 2).otherwise(block * 2 + 1).alias("part"),
