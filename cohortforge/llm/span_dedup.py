@@ -1,11 +1,12 @@
 """Substring dedup: runs of consecutive sentences that occur again lose all but their first occurrence.
 
 Sentences end at ``.``, ``!``, ``?`` or a newline, with the white space after it. They are compared in lower case
-with single spaces; sentences without a letter or digit take no part. From every sentence starts one run: the
-consecutive sentences up to the first where there are ``sentences`` of them and ``words`` words, so that equal
-passages have equal runs wherever they stand, and short sentences need more neighbours. Runs are hashed (128 bits)
-and joined over the whole corpus; the first by (doc_id, version of the text, place) stays, and sentences that any
-other repeated run covers go.
+with single spaces; sentences without a letter or digit take no part. A run is any consecutive sentences, at least
+``sentences`` of them with ``words`` words. Hashed are the shortest run from every sentence on and the shortest run up
+to every sentence: inside a longer repeated run the first ones reach from its start to the start of the shortest run
+up to its end, which covers the rest, so that all runs are covered without hashing every length. Runs are hashed (128
+bits) and joined over the whole corpus; the first by (doc_id, version of the text, place) stays, and sentences that
+any other repeated run covers go.
 
 Edge cases: null and empty texts and texts with no full run stay as they are; a null doc_id sorts first; rows with
 the same id and text are one document and treated alike, another text under the same id is a document of its own;
@@ -39,7 +40,7 @@ def sentences_of(text: str) -> list[str]:
 
 
 def runs_of(text: str, sentences: int, words: int) -> list[tuple[int, int, int, int]]:
-    """(first sentence, last sentence, two hashes) of every run of a whole text."""
+    """(first sentence, last sentence, two hashes) of the shortest runs from and up to every sentence of a whole text."""
     places, hashes, sizes = [], [], []
     for i, s in enumerate(_cut(text)):
         w = s.lower().split()
@@ -52,24 +53,29 @@ def runs_of(text: str, sentences: int, words: int) -> list[tuple[int, int, int,
         return []
     ends = np.append(0, np.cumsum(sizes))
     last = np.maximum(np.searchsorted(ends, ends[:-1] + words) - 1, np.arange(n) + sentences - 1)
-    ok = last < n
-    if not ok.any():
+    start = np.flatnonzero(last < n)
+    if not len(start):
         return []
+    stop = last[start]
+    # up to every sentence: the latest start whose shortest run ends there or before; most are runs already
+    end = np.arange(stop[0], n)
+    back = start[np.searchsorted(stop, end, side="right") - 1]
+    new = last[back] < end
+    start, stop = np.append(start, back[new]), np.append(stop, end[new])
     h = np.array(hashes, dtype=np.uint64)
     out = []
     with np.errstate(over="ignore"):
         for m in MIX:
             # order-aware sums: prefix sums of hashes weighted by powers, brought to the run's own start
             power = np.cumprod(np.append(np.uint64(1), np.full(n, m, np.uint64)))
-            back = np.cumprod(np.append(np.uint64(1), np.full(n, np.uint64(pow(int(m), -1, 1 << 64)), np.uint64)))
+            inverse = np.cumprod(np.append(np.uint64(1), np.full(n, np.uint64(pow(int(m), -1, 1 << 64)), np.uint64)))
             own = (h ^ (h >> np.uint64(31))) * m
             sums = np.append(np.uint64(0), np.cumsum(own * power[:n]))
-            first, stop = np.flatnonzero(ok), last[ok] + 1
-            value = (sums[stop] - sums[first]) * back[first]
+            value = (sums[stop + 1] - sums[start]) * inverse[start]
             value = (value ^ (value >> np.uint64(29))) * m
             out.append((value ^ (value >> np.uint64(32))).view(np.int64).tolist())
     p = np.array(places)
-    return list(zip(p[ok].tolist(), p[last[ok]].tolist(), *out))
+    return list(zip(p[start].tolist(), p[stop].tolist(), *out))
 
 
 def sentence_runs(docs: DataFrame, sentences: int = 2, words: int = 12) -> DataFrame:

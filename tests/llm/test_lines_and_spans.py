@@ -85,3 +85,36 @@ def test_spans_edges(odd_docs, make_docs):
     text = "One two three four five six. Seven eight nine ten eleven twelve."
     rows = span_dedup.drop_repeated_runs(make_docs([(1, text), (1, text), (2, text)]), only_changed=True).collect()
     assert [r["row"]["doc_id"] for r in rows] == [2]
+
+
+def brute_all_spans(docs, sentences=2, words=12):
+    """Every run of every length."""
+    seen, gone = {}, {}
+    for i, t in docs:
+        keys = [(k, " ".join(s.lower().split())) for k, s in enumerate(span_dedup.sentences_of(t))]
+        keys = [(k, s) for k, s in keys if s and (" " in s or any(c.isalnum() for c in s))]
+        for p in range(len(keys)):
+            for q in range(p + sentences - 1, len(keys)):
+                key = tuple(s for _, s in keys[p : q + 1])
+                if sum(len(s.split()) for s in key) < words:
+                    continue
+                if key in seen:
+                    gone.setdefault(i, set()).update(range(keys[p][0], keys[q][0] + 1))
+                seen.setdefault(key, i)
+    return {i: "".join(s for k, s in enumerate(span_dedup.sentences_of(t)) if k not in gone.get(i, ())) for i, t in docs}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_runs_of_every_length_are_covered(make_docs, seed):
+    rng = random.Random(seed)
+    parts = [" ".join(rng.choice("alpha beta gamma delta".split()) for _ in range(rng.choice([1, 2, 3, 4, 14, 20]))) + rng.choice([".", "!", "?", ".\n", "\n"]) for _ in range(40)]
+    docs = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    got = {r["i"]: r["kept"] for r in span_dedup.drop_repeated_runs(make_docs(docs)).select(F.col("row.doc_id").alias("i"), "kept").collect()}
+    assert got == brute_all_spans(docs)
+
+
+def test_short_end_of_a_repeated_passage_goes(make_docs):
+    passage = " ".join(f"w{i}" for i in range(20)) + ". And three words. Then three more. "
+    docs = [(1, passage + "It goes on like this here."), (2, passage + "Quite another end of it.")]
+    got = {r["row"]["doc_id"]: r["kept"] for r in span_dedup.drop_repeated_runs(make_docs(docs), only_changed=True).collect()}
+    assert got == {2: "Quite another end of it."}
