@@ -299,7 +299,7 @@ def q_calibrate(spark, d):
 @query("run_cv")
 def q_cv(spark, d):
     rows = cut_lineage(parts(spark, d, 10))
-    oof = learners.run_cv(rows, ["zero_r", "one_r", "logistic_regression"], threshold=0.3, imbalance="class_weight")
+    oof = learners.run_cv(rows, learners.CLASSIFIERS, threshold=0.3, imbalance="class_weight")
     return round_all(metrics.classification_metrics(oof), 4)
 
 
@@ -315,12 +315,18 @@ def q_cv_zero(spark, d):
 
 @query("grid_search")
 def q_grid(spark, d):
-    _, out = learners.grid_search(cut_lineage(parts(spark, d, 3)), "decision_tree", {"maxDepth": [2, 4], "impurity": ["gini", "entropy"]})
+    _, out = learners.grid_search(cut_lineage(parts(spark, d, 10)), "decision_tree")
     return round_all(out, 4)
 
 
+@query("knn_search")
+def q_knn_search(spark, d):
+    _, out = learners.knn_search(cut_lineage(embedded(spark, d, 10)))
+    return round_all(out)
+
+
 @query(
-    "knn_search",
+    "knn_search_uniform",
     VEC_SQL + """, f AS (SELECT id, CASE WHEN label < 2 THEN 1 ELSE 0 END AS label, vector FROM v),
     g AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(id AS VARCHAR))) - 1) % 2 AS fold FROM f),
     p AS (SELECT a.id AS q, a.fold AS fold, a.label AS y, b.label AS l, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.vector, b.vector), b.id) AS r
@@ -329,16 +335,15 @@ def q_grid(spark, d):
     a AS (SELECT k, fold, AVG(CASE WHEN y = z THEN 1 ELSE 0 END) AS acc FROM c GROUP BY 1, 2)
     SELECT 'k=' || CAST(k AS VARCHAR) || ', weights=uniform' AS params, ROUND(AVG(acc), 6) AS mean, ROUND(stddev_pop(acc), 6) AS std FROM a GROUP BY k""",
 )
-def q_knn_search(spark, d):
+def q_knn_search_uniform(spark, d):
     _, out = learners.knn_search(cut_lineage(embedded(spark, d, 2)), {"k": [3, 5]}, scoring="accuracy", scale=False)
     return round_all(out)
 
 
 @query("nested_cv")
 def q_nested(spark, d):
-    rows = cut_lineage(folds.nested_folds(parts(spark, d), "label", ["id"], 3, 2))
-    grids = {"logistic_regression": {"C": [0.1, 1.0]}, "knn": {"k": [3, 7], "weights": ["uniform", "distance"]}}
-    oof, chosen = learners.nested_cv(rows, ["logistic_regression", "knn", "zero_r"], grids)
+    rows = cut_lineage(folds.nested_folds(parts(spark, d), "label", ["id"], 10, 5))
+    oof, chosen = learners.nested_cv(rows, learners.CLASSIFIERS)
     return round_all(metrics.classification_metrics(oof).join(chosen, ["model", "fold"]), 4)
 
 
@@ -350,7 +355,7 @@ def q_imbalance(spark, d):
 
 @query("cross_validate")
 def q_cross(spark, d):
-    oof = learners.run_cv(cut_lineage(parts(spark, d, 3)), ["one_r", "zero_r"])
+    oof = learners.run_cv(cut_lineage(parts(spark, d, 10)), learners.CLASSIFIERS)
     return round_all(learners.cross_validate(oof), 4)
 
 
