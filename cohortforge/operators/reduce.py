@@ -103,7 +103,8 @@ def fit_from_importances(df: DataFrame, features: str, label: str, output: str,
 
 
 def default_importance_estimator(seed: int = 42) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed)
+    """The forest that ``learners`` registers: importances near the median depend on its size."""
+    return RandomForestClassifier(numTrees=100, maxDepth=30, seed=seed)
 
 
 def fit_reduction(df: DataFrame, spec: tuple[str, dict], features: str, label: str, output: str):

@@ -139,8 +139,8 @@ def q_tree(spark, d):
 
 @query("forest_top_rules")
 def q_forest(spark, d):
-    score, rows = fitted_tree(spark, d, "random_forest", numTrees=5, maxDepth=4)
-    return explain.tree_rules(score.model, rows, PART_COLS, max_depth=3, n_trees=3)
+    score, rows = fitted_tree(spark, d, "random_forest")
+    return explain.tree_rules(score.model, rows, PART_COLS, max_depth=3)
 
 
 @query("tree_rules_cover", f"{PT}SELECT COUNT(*) AS n, CAST(SUM(label) AS BIGINT) AS n_positive FROM pa")

@@ -5,7 +5,7 @@ import inspect
 import pytest
 
 from __spark_entry__ import queries
-from cohortforge.operators import learners
+from cohortforge.operators import learners, reduce
 
 
 class Seen(Exception):
@@ -49,3 +49,11 @@ def test_nested_cv_tunes_all_models_over_ten_by_five_folds(monkeypatch, spark, d
     assert got["grids"] in (None, learners.GRIDS) and set(learners.GRIDS) <= set(got["models"])
     inner = got["df"].selectExpr("outer_fold", "explode(inner_fold) as f").where("f is not null")
     assert n_folds(got["df"], "outer_fold") == 10 and n_folds(inner, "f") == 5
+
+
+def test_importances_and_rules_come_from_the_registered_forest(monkeypatch, spark, data):
+    full = learners.make_classifier("random_forest", 1)
+    own = reduce.default_importance_estimator()
+    assert (own.getNumTrees(), own.getMaxDepth()) == (full.getNumTrees(), full.getMaxDepth())
+    got = call_of(monkeypatch, learners, "fit_scorer", spark, data, "forest_top_rules")
+    assert got["name"] == "random_forest" and not got.get("params")
