@@ -67,14 +67,19 @@ def gmm_profile(model, df: DataFrame) -> DataFrame:
     )
 
 
-def gmm_log_likelihood(model, df: DataFrame, features: str = "features") -> float:
-    """Log likelihood under the returned parameters (k matrices of columns squared; rows stay distributed)."""
+def gmm_log_likelihood(model, df: DataFrame, features: str = "features", floor: float = 1e-6) -> float:
+    """Log likelihood under the returned parameters (k matrices of columns squared; rows stay distributed).
+
+    ``floor`` is added to the variances, as the source's mixtures do: a component on fewer rows than columns has a
+    singular covariance, which is no density.
+    """
     weights = np.array(model.weights)
     parts = [(np.asarray(g["mean"].toArray()), np.asarray(g["cov"].toArray())) for g in model.gaussiansDF.collect()]
     prepared = []
     for (mean, cov), w in zip(parts, weights):
+        cov = cov + floor * np.eye(len(cov))
         sign, logdet = np.linalg.slogdet(cov)
-        prepared.append((mean, np.linalg.pinv(cov), logdet, np.log(max(w, 1e-300))))
+        prepared.append((mean, np.linalg.inv(cov), logdet, np.log(max(w, 1e-300))))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

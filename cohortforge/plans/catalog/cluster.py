@@ -13,6 +13,10 @@ from ..registry import query
 from .learn import VEC_SQL, vectors
 
 
+#: Components the mixtures are fitted on, as in the source.
+MIXTURE_PCS = 50
+
+
 def points(spark, d, k=8):
     """Embeddings projected to the leading components, the usual input of the clusterings."""
     rows = vectors(spark, d).select("id", "label", array_to_vector("vector").alias("raw"))
@@ -49,13 +53,13 @@ def q_silhouette_exact(spark, d):
 
 @query("gmm")
 def q_gmm(spark, d):
-    rows = points(spark, d, 3)
-    return round_all(cluster.gmm_profile(cluster.fit_gmm(rows, 3, max_iter=50), rows), 4)
+    rows = points(spark, d, MIXTURE_PCS)
+    return round_all(cluster.gmm_profile(cluster.fit_gmm(rows, 3), rows), 4)
 
 
 @query("gmm_bic_aic")
 def q_bic(spark, d):
-    return round_all(cluster.gmm_bic_aic(points(spark, d, 3), range(2, 5), max_iter=30), 3)
+    return round_all(cluster.gmm_bic_aic(points(spark, d, MIXTURE_PCS)), 3)
 
 
 @query("hierarchical_clusters")
@@ -77,9 +81,9 @@ def q_agreement(spark, d):
 
 @query("kmeans_gmm_agreement")
 def q_km_gmm(spark, d):
-    rows = points(spark, d, 3)
+    rows = points(spark, d, MIXTURE_PCS)
     km = cluster.kmeans_labels(rows, 3).select("id", F.col("cluster").alias("a"))
-    gm = cluster.fit_gmm(rows, 3, max_iter=30).transform(rows).select("id", F.col("cluster").alias("b"))
+    gm = cluster.fit_gmm(rows, 3).transform(rows).select("id", F.col("cluster").alias("b"))
     return round_all(profile.adjusted_rand_index(km.join(gm, "id"), "a", "b"), 4)
 
 

@@ -1,11 +1,14 @@
 """Queries call their operators at full size: grids, folds, models, iterations and forests as the operators define them."""
 
 import inspect
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Matrices, Vectors
 
 from __spark_entry__ import queries
-from cohortforge.operators import learners, reduce
+from cohortforge.operators import cluster, learners, reduce
 
 
 class Seen(Exception):
@@ -57,3 +60,22 @@ def test_importances_and_rules_come_from_the_registered_forest(monkeypatch, spar
     assert (own.getNumTrees(), own.getMaxDepth()) == (full.getNumTrees(), full.getMaxDepth())
     got = call_of(monkeypatch, learners, "fit_scorer", spark, data, "forest_top_rules")
     assert got["name"] == "random_forest" and not got.get("params")
+
+
+@pytest.mark.parametrize("key", ["gmm", "kmeans_gmm_agreement", "gmm_bic_aic"])
+def test_mixtures_take_the_whole_range_and_all_iterations(monkeypatch, spark, data, key):
+    name = "gmm_bic_aic" if key == "gmm_bic_aic" else "fit_gmm"
+    got = call_of(monkeypatch, cluster, name, spark, data, key)
+    assert got["max_iter"] == 200 and len(got["df"].first()["features"]) == 50
+    assert list(got.get("ks", range(2, 11))) == list(range(2, 11))
+
+
+def test_likelihood_of_a_singular_component(spark):
+    cov = np.ones((2, 2))
+    part = {"mean": Vectors.dense([0.0, 0.0]), "cov": Matrices.dense(2, 2, cov.ravel().tolist())}
+    model = SimpleNamespace(weights=[1.0], gaussiansDF=SimpleNamespace(collect=lambda: [part]))
+    x = np.array([[1.0, 1.0], [0.5, 0.5], [-2.0, -2.0]])
+    df = spark.createDataFrame([(Vectors.dense(r.tolist()),) for r in x], ["features"])
+    full = cov + 1e-6 * np.eye(2)
+    want = sum(-0.5 * (r @ np.linalg.inv(full) @ r + np.log(np.linalg.det(full)) + 2 * np.log(2 * np.pi)) for r in x)
+    assert cluster.gmm_log_likelihood(model, df) == pytest.approx(want, rel=1e-6)
