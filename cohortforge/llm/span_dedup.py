@@ -9,7 +9,8 @@ bits) and joined over the whole corpus; the first by (doc_id, version of the tex
 any other repeated run covers go.
 
 Edge cases: null and empty texts and texts with no full run stay as they are; a null doc_id sorts first; rows with
-the same id and text are one document and treated alike, another text under the same id is a document of its own;
+the same id and text are one document and treated alike, another text under the same id is a document of its own
+(told apart by 64 bits of its hash); very long texts are cut whole; an empty table gives no rows;
 columns beside ``doc_id`` and ``text`` are carried along. A common run is one partial count per task before the
 shuffle; the join of its places with its first is left to Spark's split of skewed joins.
 """
@@ -82,7 +83,7 @@ def sentence_runs(docs: DataFrame, sentences: int = 2, words: int = 12) -> DataF
     """(doc, ver, place, upto, h1, h2): one row per run, from its first to its last sentence."""
     bounded_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc", docs.schema["doc_id"].dataType), *(T.StructField(n, t) for n, t in (
-        ("ver", T.IntegerType()), ("place", T.IntegerType()), ("upto", T.IntegerType()), ("h1", T.LongType()), ("h2", T.LongType())))])
+        ("ver", T.LongType()), ("place", T.IntegerType()), ("upto", T.IntegerType()), ("h1", T.LongType()), ("h2", T.LongType())))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -93,7 +94,7 @@ def sentence_runs(docs: DataFrame, sentences: int = 2, words: int = 12) -> DataF
                 place, upto, h1, h2 = zip(*flat)
                 yield pd.DataFrame({"doc": pdf["doc_id"].repeat(sizes).to_numpy(), "ver": pdf["ver"].repeat(sizes).to_numpy(), "place": place, "upto": upto, "h1": h1, "h2": h2})
 
-    return docs.where("text is not null").select("doc_id", F.hash("text").alias("ver"), "text").mapInPandas(run, schema)
+    return docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("ver"), "text").mapInPandas(run, schema)
 
 
 def repeated_runs(docs: DataFrame, sentences: int = 2, words: int = 12) -> DataFrame:
@@ -123,7 +124,7 @@ def drop_repeated_runs(docs: DataFrame, sentences: int = 2, words: int = 12, onl
             out.append("".join(s for i, s in enumerate(_cut(text)) if i not in drop))
         return pd.Series(out, dtype=object)
 
-    rows = packed(docs).withColumn("key", F.hash("row.text"))
+    rows = packed(docs).withColumn("key", F.xxhash64("row.text"))
     joined = rows.join(hits, F.col("row.doc_id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("ver")), "inner" if only_changed else "left")
     # a covered blank sentence stands between two that go
     return joined.select("row", "removed", "first_docs", rest(F.col("row.text"), F.col("removed")).alias("kept"))

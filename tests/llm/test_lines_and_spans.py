@@ -41,34 +41,6 @@ def test_lines_edges(odd_docs, make_docs):
     assert got == [("1", ""), ("1", ""), ("2", "d"), ("None", "q\na\nb\nc")]
 
 
-def brute_spans(docs, sentences=2, words=12):
-    seen, gone = {}, {}
-    for i, t in docs:
-        cut = span_dedup.sentences_of(t)
-        keys = [(k, " ".join(s.lower().split())) for k, s in enumerate(cut)]
-        keys = [(k, s) for k, s in keys if s and (" " in s or any(c.isalnum() for c in s))]
-        for p in range(len(keys)):
-            q = p
-            while q < len(keys) and not (q - p + 1 >= sentences and sum(len(s.split()) for _, s in keys[p : q + 1]) >= words):
-                q += 1
-            if q == len(keys):
-                break
-            key = tuple(s for _, s in keys[p : q + 1])
-            if key in seen:
-                gone.setdefault(i, set()).update(range(keys[p][0], keys[q][0] + 1))
-            seen.setdefault(key, i)
-    return {i: "".join(s for k, s in enumerate(span_dedup.sentences_of(t)) if k not in gone.get(i, ())) for i, t in docs}
-
-
-@pytest.mark.parametrize("seed", range(3))
-def test_spans_match_brute_force(make_docs, seed):
-    rng = random.Random(seed)
-    parts = [" ".join(rng.choice("alpha beta gamma delta".split()) for _ in range(rng.randint(1, 9))) + rng.choice([".", "!", "?", ".\n", "\n"]) for _ in range(12)]
-    docs = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))) for i in range(30)]
-    got = {r["i"]: r["kept"] for r in span_dedup.drop_repeated_runs(make_docs(docs)).select(F.col("row.doc_id").alias("i"), "kept").collect()}
-    assert got == brute_spans(docs)
-
-
 def test_passage_of_fifty_words_is_caught_wherever_it_stands(make_docs):
     passage = "The first part has these ten words in it now. The second one goes on for a few words more. " * 3
     docs = [(1, "Some start without an end " + passage + "and the rest."), (2, passage), (3, "Nothing to see here. It is a text of its own, with no copy.")]
@@ -118,3 +90,14 @@ def test_short_end_of_a_repeated_passage_goes(make_docs):
     docs = [(1, passage + "It goes on like this here."), (2, passage + "Quite another end of it.")]
     got = {r["row"]["doc_id"]: r["kept"] for r in span_dedup.drop_repeated_runs(make_docs(docs), only_changed=True).collect()}
     assert got == {2: "Quite another end of it."}
+
+
+def test_texts_with_one_32_bit_hash_under_one_id_stay_apart(spark, make_docs):
+    """Of texts that collide in 32 bits, one repeats a passage; the other must lose nothing."""
+    passage = "These twelve words make up a passage that stands in many of them. "
+    heads = spark.range(300_000).select(F.concat(F.lit(passage + "Own words number "), "id", F.lit(" end here and nowhere else. ")).alias("t"), F.col("id"))
+    pair = heads.groupBy(F.hash("t").alias("h")).agg(F.collect_list("t").alias("ts")).where("size(ts) > 1").first()["ts"][:2]
+    other = "Quite another sentence with more than twelve words of its very own in it. One more follows it here."
+    docs = [(1, passage + "And some more to end it."), (5, pair[0]), (5, pair[1]), (6, other)]
+    got = sorted((r["row"]["doc_id"], r["kept"]) for r in span_dedup.drop_repeated_runs(make_docs(docs)).collect())
+    assert got == sorted((i, brute_all_spans([(k, t) for k, t in enumerate(t for _, t in docs)])[k]) for k, (i, t) in enumerate(docs))
