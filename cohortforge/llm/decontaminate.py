@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Shared, bounded_batches, materialize, slices
+from .tables import Shared, bounded_batches, lean, materialize, slices
 
 K1, B = 1.2, 0.75
 BLOCK, SHARD, GROUPS = 16, 1_000_000, 128
@@ -241,7 +241,7 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = 0.6, question
                     rows += [(i, p.items[k], round(x * p.raw[k], 6), round(x, 6), q, a) for k, (x, q, a) in found.items()]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "bm25", "share", "question_overlap", "answer_overlap"])
 
-        return docs.select("doc_id", "text").mapInPandas(run, schema)
+        return docs.select("doc_id", "text").mapInPandas(lean(run), schema)
 
     parts = index_parts(items)
     return reduce(DataFrame.unionAll, map(one, parts)) if parts else spark.createDataFrame([], schema)
@@ -260,6 +260,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, share: float = 0.6, que
             for pdf in batches:
                 yield pdf[[not found for found in search_texts(pdf["text"].tolist(), p, share, question, answer)]]
 
-        return rows.mapInPandas(run, rows.schema)
+        return rows.mapInPandas(lean(run), rows.schema)
 
     return reduce(one, index_parts(items), docs)

@@ -23,18 +23,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import Shared, bounded_batches, packed, slices
+from .tables import Shared, bounded_batches, lean, packed, slices
 
 MARK = "▁"
 NEVER = np.iinfo(np.int32).max
 #: Words that a task remembers; beyond that it starts afresh.
 MEMORY = 250_000
 #: Characters cut into words at once (a longer text goes whole).
-CHUNK = 1_000_000
+CHUNK = 250_000
 
 
 @dataclass
@@ -195,19 +196,38 @@ class Encoder:
         return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """(row, ids array<int>): every row packed, with the ids of its whole text."""
+def _ids(ids: list[np.ndarray]) -> pa.Array:
+    """Ids of each text as one flat buffer with offsets."""
+    ends = np.append(0, np.cumsum([len(i) for i in ids]))
+    if ends[-1] > NEVER:
+        raise ValueError("too many ids in one batch")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
+
+
+def _coded(docs: DataFrame, model_path: str, text: str, back: bool) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = Shared(spark, load_pieces(model_path))  # as large as the vocabulary
+    rows = packed(docs).withColumn("text", F.coalesce(F.col(f"row.`{text}`"), F.lit("")))
+    schema = T.StructType([*rows.schema.fields[:1], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if back:
+        schema = schema.add("decoded", T.StringType())
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ids_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(shared.value)
-        for batch in texts:
-            yield pd.Series(coder.encode(list(batch)), dtype=object)
+        for batch in batches:
+            ids = coder.encode(batch.column(1).to_pylist())
+            columns = [batch.column(0), _ids(ids)]
+            if back:
+                columns.append(pa.array(coder.decode(ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return packed(docs).withColumn("ids", ids_of(F.coalesce(F.col(f"row.`{text}`"), F.lit(""))))
+    return rows.mapInArrow(lean(run), schema)
+
+
+def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+    """(row, ids array<int>): every row packed, with the ids of its whole text."""
+    return _coded(docs, model_path, text, False)
 
 
 def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
@@ -227,16 +247,4 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
 
 def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """(row, ids, decoded): ``encode`` and ``decode`` in one pass over the texts."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    shared = Shared(spark, load_pieces(model_path))
-
-    @F.pandas_udf("ids array<int>, decoded string")
-    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = Encoder(shared.value)
-        for batch in texts:
-            ids = coder.encode(list(batch))
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(coder.decode(ids), dtype=object)})
-
-    rows = packed(docs).withColumn("both", both(F.coalesce(F.col(f"row.`{text}`"), F.lit(""))))
-    return rows.select("row", "both.ids", "both.decoded")
+    return _coded(docs, model_path, text, True)

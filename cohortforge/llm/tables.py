@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +34,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives memory back to the system once its task has ended: workers are used again by later stages."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 class Shared:
     """A broadcast value that workers can read without having this package installed."""
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import Shared, bounded_batches, slices, smallest_hashes
+from .tables import Shared, bounded_batches, lean, slices, smallest_hashes
 
 P, SPAN, DECAY, LONGEST = 4, 6, 0.6, 30
 #: Offsets of the other characters from the first, and what they weigh.
@@ -357,4 +357,4 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = 0.3, keep_only
     schema = docs.schema
     if not keep_only_clean:
         schema = T.StructType([f for f in schema.fields if f.name not in ("score", "predicted")]).add("score", T.DoubleType()).add("predicted", T.IntegerType())
-    return docs.mapInPandas(run, schema)
+    return docs.mapInPandas(lean(run), schema)
