@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialize
+from .tables import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = materialize(large, "edges")
+        discard(now)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         now = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).distinct()
         now = materialize(now, "edges")
+        discard(large)

@@ -8,19 +8,23 @@ The join is exact; its result is the components of the links.
 2. Tokens get one global order, rare ones first, from a count sketch over all documents (fixed size, summed over the
    tasks). Sets that link share a token among the first few of both (the prefix).
 3. Classes with the same minimum hash meet in blocks of bounded size and are linked there; the leaders of the pieces
-   meet again while blocks are many. What is linked so far is a *group* of similar documents (split at ``MEMBERS``); what
-   is linked with nothing yet is in a group with others of its block.
-4. Token-group matrix: one row for each prefix token and group. A query is joined with the groups under its own
-   prefix tokens, unless it has met them already or all their sizes are out of reach.
-5. The overlap of the query with each such group is bounded: first by the bitmaps of its members (every bit of the query
-   that a member lacks is at least one token lost), then by the union of all its tokens. Only groups whose bounds reach
-   the query's least overlap are opened, and their members compared.
-
-A token, class, group or minimum hash with many rows is split: partial counts, blocks by hash, queries by block.
+   meet again while blocks are many. What is linked so far is a *piece*; it is split into *groups* of at most about
+   ``MEMBERS`` classes, a class that is linked with nothing yet is a group of its own.
+4. Token-group matrix: which groups hold which prefix token. Tokens that only one class has are dropped first.
+5. The union of all tokens of a group is stored. A query is joined with groups under its own prefix tokens; the number
+   of its tokens in the union bounds its overlap with every member. Only groups whose bound reaches the query's least
+   overlap are opened, and their members compared.
+6. Step 5 is done for few pairs first (``STARS`` rounds): under every token all classes ask one group of the largest
+   piece there, which joins the pieces of near copies; then for all that is left, where of two pieces the smaller asks.
+   Classes of one piece are never compared again, so a large group of near copies costs about as much as its rows.
+
+A token, class, group or minimum hash with many rows is split: partial counts, ranges, blocks by hash, queries by block.
+Texts of the classes that are asked for are found by a bitmap of fixed size over their keys before they are shuffled.
 
 Edge cases: null or empty texts have the empty set and link with nothing; equal rows and equal sets are one class;
-rows of one id with several texts are joined each by their own text; null ids are carried along and never name a
-component; an empty table gives no rows.
+rows of one id (or without an id) with several texts are joined each by their own text; null ids are carried along and
+never name a component; very long texts are cut into shingles whole; columns beside ``doc_id`` and ``text`` are left
+out, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,15 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import Shared, bounded_batches, materialize
+from .ordered import in_order
+from .tables import Shared, bounded_batches, discard, lean, materialize
 
 SKETCH_BITS, PARTS = 20, 64
 LOCAL, MEMBERS, QUERIES = 256, 256, 512
-ROUNDS = 4
-#: Bytes of sets or bitmaps that meet in one call.
+ROUNDS, STARS = 4, 2
+#: Bytes of sets that meet in one call.
 BUCKET = 8 << 20
-#: Classes (of about 100 bytes each) that are sent to the texts; more of them meet the texts in a shuffle.
-SMALL = 200_000
+#: Bits of the bitmap over the keys of wanted texts, and of one of its rows.
+KEY_BITS, ROW_BITS = 26, 15
 MEMORY = 300_000
 M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,20 +85,6 @@ def least_overlap(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _bits(tokens: np.ndarray) -> bytes:
-    """A set as a bitmap of two to four bits a token; sizes are powers of two, so that larger ones fold."""
-    out = np.zeros(1 << max(6, (2 * len(tokens) - 1).bit_length()), bool)
-    out[(tokens & np.uint64(len(out) - 1)).astype(np.int64)] = True
-    return np.packbits(out).tobytes()
-
-
-def _folded(bits: bytes, size: int) -> np.ndarray:
-    out = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
-    while len(out) > size:
-        out = out[: len(out) // 2] | out[len(out) // 2 :]
-    return out
-
-
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
     """How many documents hold the tokens of each of 2**SKETCH_BITS slots."""
     size = 1 << SKETCH_BITS
@@ -115,13 +106,13 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
 
     schema = "part int, counts binary"
     out = np.zeros(size, np.int64)
-    for r in docs.select("text").mapInPandas(count, schema).repartition(PARTS // 4, "part").mapInPandas(add, schema).collect():  # PARTS rows
+    for r in docs.select("text").mapInPandas(lean(count), schema).repartition(PARTS // 4, "part").mapInPandas(add, schema).collect():  # PARTS rows
         out[r["part"] * (size // PARTS) : (r["part"] + 1) * (size // PARTS)] = np.frombuffer(r["counts"], np.int64)
     return out
 
 
 def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc, ver, n, cls, least, prefix, bits): hash of the text, size, digest of the set, its minimum hash, first tokens in the global order, bitmap."""
+    """(doc, ver, n, cls, least, prefix): hash of the text, size, digest of the set, its minimum hash, first tokens in the global order."""
     counts = _sketch(docs, width)
     level = np.minimum(np.log2(counts + 1) * 6, 255).astype(np.uint64)
     shared = Shared(docs.sparkSession, level)  # of fixed size
@@ -129,12 +120,11 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, level = Shingles(width), shared.value
         for pdf in batches:
-            n, cls, least, prefix, bits = [], [], [], [], []
+            n, cls, least, prefix = [], [], [], []
             for text in pdf["text"]:
                 s = shingles(text)
                 n.append(len(s))
                 cls.append(xxhash.xxh3_128_digest(s.tobytes()))
-                bits.append(_bits(s))
                 if len(s):
                     mixed = s * M
                     least.append(int((mixed ^ (mixed >> np.uint64(31))).min().view(np.int64)))
@@ -143,27 +133,36 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 else:
                     least.append(0)
                     prefix.append(b"")
-            yield pd.DataFrame({"doc": pdf["doc_id"], "ver": pdf["ver"], "n": n, "cls": cls, "least": least, "prefix": prefix, "bits": bits})
+            yield pd.DataFrame({"doc": pdf["doc_id"], "ver": pdf["ver"], "n": n, "cls": cls, "least": least, "prefix": prefix})
 
-    return docs.select("doc_id", F.xxhash64("text").alias("ver"), "text").mapInPandas(profile, "doc long, ver long, n long, cls binary, least long, prefix binary, bits binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("ver"), "text").mapInPandas(lean(profile), "doc long, ver long, n long, cls binary, least long, prefix binary")
+
+
+def _key(doc, ver):
+    return F.pmod(F.xxhash64(doc, ver), F.lit(1 << KEY_BITS))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """wanted (cid, doc, cls, ...) -> its columns with the whole set of each class."""
-    columns = wanted.columns
+    """wanted (cid, doc, ver, ...) -> its columns but doc and ver, with the whole set of each class.
+
+    The bitmap of wanted keys (8 MB at most) lets few other texts through; the join by id and version decides.
+    """
+    bits = wanted.select(_key("doc", "ver").alias("k")).groupBy(F.shiftright("k", ROW_BITS).alias("bucket")).agg(F.bitmap_construct_agg(F.col("k").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).alias("map"))
+    rows = docs.select(F.col("doc_id").alias("of_doc"), F.xxhash64("text").alias("of_ver"), "text").withColumn("k", _key("of_doc", "of_ver"))
+    rows = rows.join(F.broadcast(bits), F.shiftright("k", ROW_BITS) == F.col("bucket"))  # of fixed size
+    place = F.col("k").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).cast("int")
+    byte = F.conv(F.hex(F.substring("map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # equal rows are one text
+    rows = rows.where(F.getbit(byte, place % 8) == 1).groupBy("of_doc", "of_ver").agg(F.first("text").alias("text"))
+    columns = [c for c in wanted.columns if c not in ("doc", "ver")]
+    found = wanted.join(rows, (F.col("ver") == F.col("of_ver")) & F.col("doc").eqNullSafe(F.col("of_doc"))).select("text", *columns)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(width)
         for pdf in batches:
-            sets = [shingles(t).tobytes() for t in pdf["text"]]
-            pdf = pdf.assign(tokens=sets)
-            # another text under the same id is not this class
-            yield pdf[[xxhash.xxh3_128_digest(s) == c for s, c in zip(sets, pdf["cls"])]][[*columns, "tokens"]]
+            yield pdf.assign(tokens=[shingles(t).tobytes() for t in pdf["text"]]).drop(columns="text")
 
-    if wanted.count() <= SMALL:  # else both sides are shuffled
-        wanted = F.broadcast(wanted)
-    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("doc"))).select("text", *columns)
-    return rows.mapInPandas(make, wanted.schema.add("tokens", "binary"))
+    return found.mapInPandas(lean(make), found.drop("text").schema.add("tokens", "binary"))
 
 
 def _buckets(rows: DataFrame, size) -> int:
@@ -195,8 +194,9 @@ def _pieces(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Da
     """Links (a, b) between classes of the same minimum hash."""
     met = classes.groupBy("least").agg(F.count("*").alias("met")).where("met > 1")
     block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("met") / LOCAL))
-    wanted = classes.join(met, "least").select("cid", "doc", "cls", "least", "met")
-    now, links = materialize(_sets(docs, wanted, width).drop("doc", "cls"), "sets"), None
+    wanted = materialize(classes.join(met, "least").select("cid", "doc", "ver", "least", "met"), "wanted")
+    now, links = materialize(_sets(docs, wanted, width), "sets"), None
+    discard(wanted)
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("cid").sort_values("cid").reset_index(drop=True)
@@ -211,6 +211,7 @@ def _pieces(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Da
         blocks = now.withColumn("block", block).withColumn("bucket", F.pmod(F.xxhash64("least", "block"), F.lit(_buckets(now, F.length("tokens")))))
         done = blocks.groupBy("bucket").applyInPandas(link, "a long, b long, least long, met long, tokens binary")
         done = materialize(done, "linked")
+        discard(now)
         found = done.where("a <> b").select("a", "b")
         links = found if links is None else links.unionAll(found)
         left = done.where("tokens is not null").select(F.col("a").alias("cid"), "least", "met", "tokens")
@@ -223,59 +224,89 @@ def _pieces(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Da
     return links
 
 
-def _matrix(classes: DataFrame, pieces: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Classes with their piece and group, and (cid, name, part) of every query and group under a common token.
+def _common_tokens(classes: DataFrame, percent: int) -> DataFrame:
+    """(token, cid, indexed) of the prefix tokens that more than one class has (and of a few others at the ends of partitions).
 
-    A group is named by ``name`` and ``part``: the piece and an even number, or for classes that are linked with
-    nothing yet their minimum hash and an odd number, one for each block in which they were compared.
+    indexed: also among the first tokens that matter towards larger sets. Of two sets that link the smaller one shares
+    a token among fewer of its first ones: twice the percentage of its size over 100 + percent.
     """
-    sizes = pieces.groupBy("component").agg(F.count("*").alias("members"))
-    of = pieces.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("linked"), F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / MEMBERS)).alias("place"))
-    met_with = classes.groupBy("least").agg(F.count("*").alias("met"))
-    block = F.pmod(F.xxhash64("cid"), F.ceil(F.col("met") / LOCAL))
-    grouped = classes.join(of, "cid", "left").join(met_with, "least").select(
-        "cid", "doc", "cls", "n", "bits", F.coalesce("linked", "cid").alias("piece"), F.coalesce("linked", "least").alias("name"),
-        F.when(F.col("linked").isNotNull(), F.col("place") * 2).otherwise(block * 2 + 1).alias("part"),
-    )
-    grouped = materialize(grouped, "groups")
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             tokens = [np.frombuffer(p, np.int64) for p in pdf["prefix"]]
             sizes, n = np.array([len(t) for t in tokens]), pdf["n"].to_numpy()
-            # of two sets the smaller shares a token among fewer of its first ones: twice the percentage of its size over 100 + percent
             short = n - -(-2 * percent * n // (100 + percent)) + 1
             place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            indexed = place < np.repeat(short, sizes)
-            yield pd.DataFrame({"token": np.concatenate(tokens), "ref": np.repeat(pdf["cid"].to_numpy(), sizes) * 2 + indexed})
-
-    def met(rows: DataFrame, by: str) -> DataFrame:
-        """Rows whose token has more than one value of ``by``; the others lead nowhere."""
-        known = rows.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).where("low <> high")
-        return rows.join(materialize(known.select("token"), "met"), "token")  # a plain shuffle on both sides can be split
+            yield pd.DataFrame({"token": np.concatenate(tokens), "ref": np.repeat(pdf["cid"].to_numpy(), sizes) * 2 + (place < np.repeat(short, sizes))})
 
-    rows = classes.select("cid", "n", "prefix").mapInPandas(explode, "token long, ref long").withColumn("cid", F.shiftright("ref", 1))
-    rows = materialize(met(rows, "cid").select("token", "cid", (F.col("ref") % 2 == 1).alias("indexed")), "common-tokens")
-    shared = materialize(met(rows.join(grouped.select("cid", "n", "piece", "name", "part"), "cid"), "piece"), "shared-tokens")
-    matrix = shared.where("indexed").groupBy("token", "name", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    queries = shared.select("token", "cid", "n", F.col("name").alias("own"), F.col("part").alias("at"))
-    known = (F.col("name") == F.col("own")) & ((F.col("part") == F.col("at")) | ((F.col("part") % 2 == 0) & (F.col("at") % 2 == 0)))
-    near = ~known & (F.col("low") <= F.col("n")) & (F.col("high") * 100 >= F.col("n") * percent)
-    return grouped, queries.join(matrix, "token").where(near).select("cid", "name", "part").distinct()
+    def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Of sorted rows those with a neighbour of the same token; the first and the last row may have one in another partition."""
+        last, stays = None, True
+        for pdf in batches:
+            token = pdf["token"].to_numpy()
+            same = token[1:] == token[:-1]
+            begins = last is None or token[0] == last["token"].iloc[0]
+            keep = np.append(begins, same) | np.append(same, False)
+            if last is not None and (stays or begins):
+                yield last
+            yield pdf[:-1][keep[:-1]]
+            last, stays = pdf[-1:], bool(keep[-1])
+        if last is not None:
+            yield last
+
+    rows = classes.select("cid", "n", "prefix").mapInPandas(explode, "token long, ref long")
+    return in_order(rows, ["token", "ref"], []).mapInPandas(repeated, "token long, ref long")
+
+
+def _group(classes: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(cid, doc, ver, n, piece, part, members): the piece of each class, its number of classes, and the group in it."""
+    sizes = pieces.groupBy("component").agg(F.count("*").alias("members"))
+    of = pieces.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("piece"), "members")
+    part = F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / MEMBERS)).cast("int")
+    grouped = classes.select("cid", "doc", "ver", "n").join(of, "cid", "left")
+    return grouped.select("cid", "doc", "ver", "n", F.coalesce("piece", "cid").alias("piece"), F.coalesce(part, F.lit(0)).alias("part"), F.coalesce("members", F.lit(1)).alias("members"))
+
+
+def _shared(tokens: DataFrame, grouped: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Token rows with their groups, of the tokens that several pieces have; and the group of the largest piece under each."""
+    rows = tokens.join(grouped.select(F.col("cid"), "n", "piece", "part", "members"), F.shiftright("ref", 1) == F.col("cid"))
+    rows = materialize(rows.select("token", "ref", "cid", "n", "piece", "part", "members"), "token-groups")
+    hubs = rows.groupBy("token").agg(F.min("piece").alias("low"), F.max("piece").alias("high"), F.max(F.struct("members", "piece", "part")).alias("hub"))
+    hubs = materialize(hubs.where("low <> high").select("token", F.col("hub.piece").alias("name"), F.col("hub.part").alias("at")), "hubs")
+    # plain shuffles on both sides can be split where a token is common
+    out = materialize(rows.join(hubs, "token"), "shared-tokens")
+    discard(rows, hubs)
+    return out, out.where("piece <> name").select("cid", "n", "name", F.col("at").alias("part")).distinct()
+
+
+def _every_pair(shared: DataFrame, percent: int) -> DataFrame:
+    """(cid, n, name, part): under each token the classes of the smaller of every two pieces ask the groups of the larger."""
+    own = F.col("ref") % 2 == 1
+    groups = shared.groupBy("token", F.col("piece").alias("to_piece"), F.col("part").alias("to_part"), F.col("members").alias("to_members")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.when(own, F.col("n"))).alias("low_indexed"),
+    )
+    groups = materialize(groups, "matrix")
+    asks = F.struct("members", "piece") < F.struct("to_members", "to_piece")
+    # the smaller set of two has the token among its first ones
+    larger = own & (F.col("high") >= F.col("n")) & (F.col("low") * percent <= F.col("n") * 100)
+    smaller = (F.col("low_indexed") <= F.col("n")) & (F.col("high") * 100 >= F.col("n") * percent)
+    pairs = shared.select("token", "ref", "cid", "n", "piece", "members").join(groups, "token").where(asks & (larger | smaller))
+    return pairs.select("cid", "n", F.col("to_piece").alias("name"), F.col("to_part").alias("part")).distinct()
 
 
-def _meet(candidates: DataFrame, asked: DataFrame, members: DataFrame, compare, schema: str) -> DataFrame:
-    """Queries (cid, n, what) and members (name, part, cid, what) of the same group meet, at most about QUERIES queries at a time.
+def _meet(candidates: DataFrame, asked: DataFrame, groups: DataFrame, compare, schema: str) -> DataFrame:
+    """Queries (cid, what) of ``candidates`` (cid, n, name, part) and rows (name, part, cid, what) of the same group meet, at most about QUERIES queries at a time.
 
-    ``compare`` gets the key of a group, its queries and its members, many groups in one task.
+    ``compare`` gets the key of a group, its queries and its rows, many groups in one task.
     """
     rows, mean = candidates.count(), asked.agg(F.avg(F.length("what"))).first()[0] or 0
     many = candidates.groupBy("name", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares"))
+    many = materialize(many, "shares")
     bucket = F.pmod(F.xxhash64("name", "part", "share"), F.lit(max(1, -(-int(rows * mean) // BUCKET))))
     queries = candidates.join(many, ["name", "part"]).withColumn("share", F.pmod(F.xxhash64("cid"), F.col("shares"))).join(asked, "cid")
     left = queries.select(bucket.alias("bucket"), "cid", "n", "what", "name", "part", "share")
     share = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
-    group = members.join(many, ["name", "part"]).select("name", "part", share.alias("share"), "cid", "what")
+    group = groups.join(many, ["name", "part"]).select("name", "part", share.alias("share"), "cid", "what")
     right = group.select(bucket.alias("of"), *[F.col(c).alias(f"of_{c}") for c in ("name", "part", "share", "cid", "what")])
 
     def run(asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
@@ -288,48 +319,65 @@ def _meet(candidates: DataFrame, asked: DataFrame, members: DataFrame, compare,
     return left.groupBy("bucket").cogroup(right.groupBy("of")).applyInPandas(run, schema)
 
 
-def _qualifying(grouped: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
-    """The candidates whose query may have its least overlap with a member of the group, by their bitmaps."""
+def _overlap(tokens: np.ndarray, q: np.ndarray) -> int:
+    return int((tokens[np.searchsorted(tokens, q).clip(max=len(tokens) - 1)] == q).sum())
 
-    def bound(key, asked: list, members: list) -> list:
-        size, keep = 8 * min(len(b) for _, b in members), []
-        group = {size: np.array([_folded(b, size) for _, b in members])}
-        for cid, n, bits in asked:
-            q = _folded(bits, size)
-            if len(q) not in group:
-                group[len(q)] = np.array([_folded(b, len(q)) for _, b in members])
-            if n - (q & ~group[len(q)]).sum(1).min() >= least_overlap(n, percent):
-                keep.append((cid, key[0], key[1]))
-        return keep
 
-    what = F.col("bits").alias("what")
-    return _meet(candidates, grouped.select("cid", "n", what), grouped.select("name", "part", "cid", what), bound, "cid long, name long, part long")
+def _unions(members: DataFrame) -> DataFrame:
+    """(name, part, cid, what) of the members of groups -> (name, part, cid, what): the union of all tokens of each group.
 
+    A group of one class keeps its cid, else cid is -1.
+    """
 
-def _open(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) of the queries with members of the groups that had to be opened."""
-    inside = grouped.join(candidates.select("name", "part").distinct(), ["name", "part"]).select("cid", "doc", "cls")
-    needed = inside.unionAll(grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "cls")).distinct()
-    sets = materialize(_sets(docs, needed, width).select("cid", F.col("tokens").alias("what")).dropDuplicates(["cid"]), "sets")
+    def union(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (name, part), at in pdf.groupby(["name", "part"]).indices.items():
+            sets = [np.frombuffer(pdf["what"][i], np.uint64) for i in at]
+            out.append((name, part, pdf["cid"][at[0]] if len(at) == 1 else -1, np.unique(np.concatenate(sets)).tobytes()))
+        return pd.DataFrame(out, columns=["name", "part", "cid", "what"])
+
+    bucket = F.pmod(F.xxhash64("name", "part"), F.lit(_buckets(members, F.length("what"))))
+    return members.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(union, "name long, part int, cid long, what binary")
+
+
+def _links(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) of the queries with members of their groups, found by the bound of the union and then by the sets."""
+    candidates = materialize(candidates, "candidates")
+    inside = grouped.join(candidates.select(F.col("name").alias("piece"), "part").distinct(), ["piece", "part"]).select("cid", "doc", "ver")
+    asking = grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "ver")
+    wanted = materialize(inside.unionAll(asking).dropDuplicates(["cid"]), "wanted")
+    sets = materialize(_sets(docs, wanted, width).select("cid", F.col("tokens").alias("what")), "sets")
+    groups = grouped.select(F.col("piece").alias("name"), "part", "cid").join(candidates.select("name", "part").distinct(), ["name", "part"])
+    members = groups.join(sets, "cid").select("name", "part", "cid", "what")
+    unions = materialize(_unions(members), "unions")
+
+    def bound(key, asked: list, union: list) -> list:
+        (alone, tokens), keep = union[0], []
+        tokens = np.frombuffer(tokens, np.uint64)
+        for cid, n, what in asked:
+            both = _overlap(tokens, np.frombuffer(what, np.uint64))
+            if both >= least_overlap(n, percent) and (alone < 0 or 100 * both >= percent * (len(tokens) + n - both)):
+                keep.append((cid, n, key[0], key[1]))
+        return keep
 
     def compare(key, asked: list, members: list) -> list:
         found, sets = [], [(i, np.frombuffer(t, np.uint64)) for i, t in members]
-        union = np.unique(np.concatenate([s for _, s in sets]))
         for cid, n, tokens in asked:
             q = np.frombuffer(tokens, np.uint64)
-            if (union[np.searchsorted(union, q).clip(max=len(union) - 1)] == q).sum() < least_overlap(n, percent):
-                continue  # the group's bound
             for i, s in sets:
                 if 100 * min(len(s), n) >= percent * max(len(s), n):
-                    both = int((s[np.searchsorted(s, q).clip(max=len(s) - 1)] == q).sum())
+                    both = _overlap(s, q)
                     if 100 * both >= percent * (len(s) + n - both):
                         found.append((cid, i))
-                        if key[1] % 2 == 0:
-                            break  # the group is one piece already
+                        break  # the group is one piece already
         return found
 
-    asked = sets.join(grouped.select("cid", "n"), "cid")
-    return _meet(candidates, asked, grouped.select("cid", "name", "part").join(sets, "cid"), compare, "a long, b long")
+    qualifying = materialize(_meet(candidates, sets, unions, bound, "cid long, n long, name long, part int"), "qualifying")
+    discard(unions, wanted)
+    opened = members.join(qualifying.select("name", "part").distinct(), ["name", "part"])
+    links = materialize(_meet(qualifying, sets, opened, compare, "a long, b long"), "links")
+    discard(candidates, qualifying, sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -340,15 +388,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """
     bounded_batches(docs.sparkSession)
     rows = materialize(_profiles(docs, width, percent), "profiles")
-    one = rows.where("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    one = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct("doc", "ver")).alias("of"), F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("prefix").alias("prefix"))
+    one = one.select("cls", F.col("of.doc").alias("doc"), F.col("of.ver").alias("ver"), F.col("doc").alias("smallest"), "n", "least", "prefix")
     classes = materialize(one.withColumn("cid", F.monotonically_increasing_id()), "classes")  # numbered once, as written
+    # each text by itself from here on
+    slim = materialize(rows.select("doc", "ver", "n", "cls"), "documents")
+    discard(rows)
     links = _pieces(docs, classes, width, percent)
-    grouped, candidates = _matrix(classes, components(links), percent)
-    candidates = materialize(_qualifying(grouped, materialize(candidates, "candidates"), percent), "qualifying")
-    more = _open(docs, grouped, candidates, width, percent)
-    whole = components(links.unionAll(more))
-    named = classes.select("cid", "cls", "doc").join(whole.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    smallest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
+    tokens = materialize(_common_tokens(classes, percent), "common-tokens")
+    named = materialize(classes.select("cid", "cls", "doc", "ver", "n", "smallest"), "names")
+    discard(classes)
+    for last in [False] * STARS + [True]:
+        grouped = materialize(_group(named, components(links)), "groups")
+        shared, few = _shared(tokens, grouped)
+        found = _links(docs, grouped, _every_pair(shared, percent) if last else few, width, percent)
+        left = materialize(shared.select("token", "ref"), "common-tokens")
+        discard(tokens, shared, grouped)
+        links, tokens = links.unionAll(found), left
+    whole = components(links)
+    named = named.join(whole.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    smallest = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
     of = named.join(smallest, "component").select("cls", "component", "component_id")
-    joined = rows.join(of, "cls", "left")
+    joined = slim.join(of, "cls", "left")
     return joined.select(F.col("doc").alias("doc_id"), "ver", F.col("n").alias("n_shingles"), "component", F.coalesce("component_id", "doc").alias("component_id"))

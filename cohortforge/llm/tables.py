@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import os
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -13,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, shared_dir
 
 BATCH_BYTES = 4 << 20
 
@@ -29,6 +30,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once everything made from them is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            if folder.rsplit("/", 1)[0].split(":", 1)[-1].lstrip("/") == shared_dir(spark).split(":", 1)[-1].strip("/"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches end at a number of bytes, so that many long texts never meet in one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
