@@ -6,16 +6,17 @@ The join is exact; its result is the components of the links.
 
 1. Equal sets fall together into classes.
 2. Tokens get one global order, rare ones first, from a count sketch over all documents (fixed size, summed over the
-   tasks). Sets that link share a token among the first few of both (the prefix).
+   tasks). Sets that link share at least ``SHARED`` tokens among the first few of both (the prefix).
 3. Classes with the same minimum hash meet in blocks of bounded size and are linked there; the leaders of the pieces
    meet again while blocks are many. What is linked so far is a *piece*; it is split into *groups* of at most about
    ``MEMBERS`` classes, a class that is linked with nothing yet is a group of its own.
 4. Token-group matrix: which groups hold which prefix token. Tokens that only one class has are dropped first.
-5. The union of all tokens of a group is stored. A query is joined with groups under its own prefix tokens; the number
+5. The union of all tokens of a group is stored. A query meets groups with which it shares enough prefix tokens; the number
    of its tokens in the union bounds its overlap with every member. Only groups whose bound reaches the query's least
    overlap are opened, and their members compared.
-6. Step 5 is done for few pairs first (``STARS`` rounds): under every token all classes ask one group of the largest
-   piece there, which joins the pieces of near copies; then for all that is left, where of two pieces the smaller asks.
+6. Step 5 is done for few pairs first (``STARS`` rounds): under every token all classes of about one size ask one group
+   of the largest piece there, which joins the pieces of near copies; then for all that is left, where of two pieces the
+   smaller asks.
    Classes of one piece are never compared again, so a large group of near copies costs about as much as its rows.
 
 A token, class, group or minimum hash with many rows is split: partial counts, ranges, blocks by hash, queries by block.
@@ -43,7 +44,9 @@ from .tables import Shared, bounded_batches, discard, lean, materialize
 
 SKETCH_BITS, PARTS = 20, 64
 LOCAL, MEMBERS, QUERIES = 256, 256, 512
-ROUNDS, STARS = 4, 2
+ROUNDS, STARS = 4, 1
+#: Prefix tokens that two sets must share: each further one makes prefixes a token longer, and chance meetings rarer.
+SHARED = 5
 #: Bytes of sets that meet in one call.
 BUCKET = 8 << 20
 #: Bits of the bitmap over the keys of wanted texts, and of one of its rows.
@@ -129,7 +132,7 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     mixed = s * M
                     least.append(int((mixed ^ (mixed >> np.uint64(31))).min().view(np.int64)))
                     key = (level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(56)) | (s >> np.uint64(8))
-                    prefix.append(s[np.argsort(key, kind="stable")[: len(s) - least_overlap(len(s), percent) + 1]].tobytes())
+                    prefix.append(s[np.argsort(key, kind="stable")[: len(s) - least_overlap(len(s), percent) + SHARED]].tobytes())
                 else:
                     least.append(0)
                     prefix.append(b"")
@@ -235,7 +238,7 @@ def _common_tokens(classes: DataFrame, percent: int) -> DataFrame:
         for pdf in batches:
             tokens = [np.frombuffer(p, np.int64) for p in pdf["prefix"]]
             sizes, n = np.array([len(t) for t in tokens]), pdf["n"].to_numpy()
-            short = n - -(-2 * percent * n // (100 + percent)) + 1
+            short = n - -(-2 * percent * n // (100 + percent)) + SHARED
             place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             yield pd.DataFrame({"token": np.concatenate(tokens), "ref": np.repeat(pdf["cid"].to_numpy(), sizes) * 2 + (place < np.repeat(short, sizes))})
 
@@ -267,20 +270,33 @@ def _group(classes: DataFrame, pieces: DataFrame) -> DataFrame:
     return grouped.select("cid", "doc", "ver", "n", F.coalesce("piece", "cid").alias("piece"), F.coalesce(part, F.lit(0)).alias("part"), F.coalesce("members", F.lit(1)).alias("members"))
 
 
-def _shared(tokens: DataFrame, grouped: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Token rows with their groups, of the tokens that several pieces have; and the group of the largest piece under each."""
-    rows = tokens.join(grouped.select(F.col("cid"), "n", "piece", "part", "members"), F.shiftright("ref", 1) == F.col("cid"))
-    rows = materialize(rows.select("token", "ref", "cid", "n", "piece", "part", "members"), "token-groups")
-    hubs = rows.groupBy("token").agg(F.min("piece").alias("low"), F.max("piece").alias("high"), F.max(F.struct("members", "piece", "part")).alias("hub"))
-    hubs = materialize(hubs.where("low <> high").select("token", F.col("hub.piece").alias("name"), F.col("hub.part").alias("at")), "hubs")
+def _token_rows(tokens: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Token rows with the class, its size and its group."""
+    rows = tokens.join(grouped.select("cid", "n", "piece", "part", "members"), F.shiftright("ref", 1) == F.col("cid"))
+    return materialize(rows.select("token", "ref", "cid", "n", "piece", "part", "members"), "token-groups")
+
+
+def _some_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(cid, n, name, part): under each token the classes of about one size ask one group of the largest piece there."""
+    rows = rows.withColumn("band", F.floor(F.log("n") / -np.log(percent / 100)).cast("int"))
+    hub = F.max(F.struct("members", "piece", "part", F.col("n").alias("size"))).alias("hub")
+    hubs = rows.groupBy("token", "band").agg(F.min("piece").alias("low"), F.max("piece").alias("high"), hub).where("low <> high")
+    hubs = materialize(hubs.select("token", "band", "hub.size", F.col("hub.piece").alias("name"), F.col("hub.part").alias("at")), "hubs")
     # plain shuffles on both sides can be split where a token is common
-    out = materialize(rows.join(hubs, "token"), "shared-tokens")
-    discard(rows, hubs)
-    return out, out.where("piece <> name").select("cid", "n", "name", F.col("at").alias("part")).distinct()
+    near = (F.col("piece") != F.col("name")) & (F.least("n", "size") * 100 >= F.greatest("n", "size") * percent)
+    return _often(rows.join(hubs, ["token", "band"]).where(near).select("cid", "n", "name", F.col("at").alias("part")), percent)
+
+
+def _often(meetings: DataFrame, percent: int) -> DataFrame:
+    """(cid, n, name, part), one row per shared token -> those that share SHARED of them, or as many as they overlap at least."""
+    need = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
+    return meetings.groupBy("cid", "n", "name", "part").agg(F.count("*").alias("times")).where(F.col("times") >= need).drop("times")
 
 
-def _every_pair(shared: DataFrame, percent: int) -> DataFrame:
+def _every_pair(rows: DataFrame, percent: int) -> DataFrame:
     """(cid, n, name, part): under each token the classes of the smaller of every two pieces ask the groups of the larger."""
+    several = rows.groupBy("token").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("token")
+    shared = materialize(rows.join(materialize(several, "several"), "token"), "shared-tokens")
     own = F.col("ref") % 2 == 1
     groups = shared.groupBy("token", F.col("piece").alias("to_piece"), F.col("part").alias("to_part"), F.col("members").alias("to_members")).agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.when(own, F.col("n"))).alias("low_indexed"),
@@ -291,7 +307,7 @@ def _every_pair(shared: DataFrame, percent: int) -> DataFrame:
     larger = own & (F.col("high") >= F.col("n")) & (F.col("low") * percent <= F.col("n") * 100)
     smaller = (F.col("low_indexed") <= F.col("n")) & (F.col("high") * 100 >= F.col("n") * percent)
     pairs = shared.select("token", "ref", "cid", "n", "piece", "members").join(groups, "token").where(asks & (larger | smaller))
-    return pairs.select("cid", "n", F.col("to_piece").alias("name"), F.col("to_part").alias("part")).distinct()
+    return _often(pairs.select("cid", "n", F.col("to_piece").alias("name"), F.col("to_part").alias("part")), percent)
 
 
 def _meet(candidates: DataFrame, asked: DataFrame, groups: DataFrame, compare, schema: str) -> DataFrame:
@@ -400,11 +416,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     discard(classes)
     for last in [False] * STARS + [True]:
         grouped = materialize(_group(named, components(links)), "groups")
-        shared, few = _shared(tokens, grouped)
-        found = _links(docs, grouped, _every_pair(shared, percent) if last else few, width, percent)
-        left = materialize(shared.select("token", "ref"), "common-tokens")
-        discard(tokens, shared, grouped)
-        links, tokens = links.unionAll(found), left
+        rows = _token_rows(tokens, grouped)
+        found = _links(docs, grouped, (_every_pair if last else _some_pairs)(rows, percent), width, percent)
+        discard(rows, grouped)
+        links = links.unionAll(found)
+    discard(tokens)
     whole = components(links)
     named = named.join(whole.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     smallest = named.groupBy("component").agg(F.min("smallest").alias("component_id"))

@@ -151,3 +151,25 @@ def test_url_edges(spark):
     assert url_filter.judge_pages(pages.limit(0), none, URL_RULES).count() == 0
     twice = spark.createDataFrame([(1, 0), (1, 1), (None, 1)], "page_id long, bad int")
     assert url_filter.judge_pages(pages, twice, URL_RULES).count() == 3
+
+
+def test_near_copies_without_an_id_cost_about_their_rows(spark, make_docs, monkeypatch):
+    """Written tables stay in proportion to the texts, with and without ids; ids don't change the components."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    texts = near_copies(rng, 300, [rng.choice(words) for _ in range(150)], words, 3) + [" ".join(rng.choice(words) for _ in range(100)) for _ in range(20)]
+    sizes = {}
+    real = jaccard_join.materialize
+
+    def count(df, name):
+        out = real(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", count)
+    with_ids = jaccard_join.jaccard_components(make_docs(list(enumerate(texts))), 5, 80)
+    groups = sorted(r[0] for r in with_ids.groupBy("component").agg(F.count("*")).select("count(1)").collect())
+    without = jaccard_join.jaccard_components(make_docs([(None, t) for t in texts]), 5, 80)
+    assert sorted(r[0] for r in without.groupBy("component").agg(F.count("*")).select("count(1)").collect()) == groups
+    assert groups[-1] > 250
+    assert all(max(sizes[name]) <= 4 * len(texts) for name in ("sets", "candidates", "qualifying", "links", "linked", "unions"))
