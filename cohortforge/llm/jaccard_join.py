@@ -9,14 +9,14 @@ The join is exact; its result is the components of the links.
    tasks). Sets that link share at least ``SHARED`` tokens among the first few of both (the prefix).
 3. Classes with the same minimum hash meet in blocks of bounded size and are linked there; the leaders of the pieces
    meet again while blocks are many. What is linked so far is a *piece*; it is split into *groups* of at most about
-   ``MEMBERS`` classes, a class that is linked with nothing yet is a group of its own.
+   ``MEMBERS`` classes. Classes that are linked with nothing yet share a group with those of their block.
 4. Token-group matrix: which groups hold which prefix token. Tokens that only one class has are dropped first.
 5. The union of all tokens of a group is stored. A query meets groups with which it shares enough prefix tokens; the number
    of its tokens in the union bounds its overlap with every member. Only groups whose bound reaches the query's least
    overlap are opened, and their members compared.
 6. Step 5 is done for few pairs first (``STARS`` rounds): under every token all classes of about one size ask one group
-   of the largest piece there, which joins the pieces of near copies; then for all that is left, where of two pieces the
-   smaller asks.
+   of the largest piece there, which joins the pieces of near copies; then for all that is left, where of two the smaller
+   asks.
    Classes of one piece are never compared again, so a large group of near copies costs about as much as its rows.
 
 A token, class, group or minimum hash with many rows is split: partial counts, ranges, blocks by hash, queries by block.
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .ordered import in_order
-from .tables import Shared, bounded_batches, discard, lean, materialize
+from .tables import Shared, bounded_batches, discard, lean, materialize, slices
 
 SKETCH_BITS, PARTS = 20, 64
 LOCAL, MEMBERS, QUERIES = 256, 256, 512
@@ -68,6 +68,10 @@ class Shingles:
         self.width, self.hashes = width, _Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
+        return np.unique(self.all(text))
+
+    def all(self, text: str | None) -> np.ndarray:
+        """One hash per shingle, in order of the text."""
         words = text.encode("utf-8", "replace").lower().split() if text else []
         if not words:
             return np.zeros(0, np.uint64)
@@ -81,7 +85,7 @@ class Shingles:
         for k in range(self.width):
             out = (out ^ (out >> np.uint64(29))) * M + h[k : k + n]
         out = (out ^ (out >> np.uint64(32))) * M
-        return np.unique(out ^ (out >> np.uint64(29)))
+        return out ^ (out >> np.uint64(29))
 
 
 def least_overlap(n, percent: int):
@@ -89,14 +93,15 @@ def least_overlap(n, percent: int):
 
 
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """How many documents hold the tokens of each of 2**SKETCH_BITS slots."""
+    """How often the tokens of each of 2**SKETCH_BITS slots occur."""
     size = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, total = Shingles(width), np.zeros(size, np.int32)
         for pdf in batches:
-            for text in pdf["text"]:
-                np.add.at(total, (shingles(text) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            for i, j in slices([len(t or "") for t in pdf["text"]], 4 << 20):
+                found = np.concatenate([shingles.all(t) for t in pdf["text"].iloc[i:j]])
+                total += np.bincount((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size).astype(np.int32)
         if total.any():
             yield pd.DataFrame({"part": range(PARTS), "counts": [x.tobytes() for x in np.split(total, PARTS)]})
 
@@ -132,7 +137,9 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     mixed = s * M
                     least.append(int((mixed ^ (mixed >> np.uint64(31))).min().view(np.int64)))
                     key = (level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(56)) | (s >> np.uint64(8))
-                    prefix.append(s[np.argsort(key, kind="stable")[: len(s) - least_overlap(len(s), percent) + SHARED]].tobytes())
+                    first = min(len(s), len(s) - least_overlap(len(s), percent) + SHARED)
+                    at = np.argpartition(key, first - 1)[:first]
+                    prefix.append(s[at[np.argsort(key[at])]].tobytes())
                 else:
                     least.append(0)
                     prefix.append(b"")
@@ -262,52 +269,70 @@ def _common_tokens(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _group(classes: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(cid, doc, ver, n, piece, part, members): the piece of each class, its number of classes, and the group in it."""
+    """(cid, doc, ver, n, name, part, members, unit): the group (name, part) of each class.
+
+    A piece of ``members`` classes has even parts. Classes that are linked with nothing yet share a group, of an odd
+    part, with those of the same minimum hash with which they were compared. Within a unit, a piece or such a group,
+    nothing is left to compare.
+    """
     sizes = pieces.groupBy("component").agg(F.count("*").alias("members"))
     of = pieces.join(sizes, "component").select(F.col("id").alias("cid"), F.col("component").alias("piece"), "members")
-    part = F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / MEMBERS)).cast("int")
-    grouped = classes.select("cid", "doc", "ver", "n").join(of, "cid", "left")
-    return grouped.select("cid", "doc", "ver", "n", F.coalesce("piece", "cid").alias("piece"), F.coalesce(part, F.lit(0)).alias("part"), F.coalesce("members", F.lit(1)).alias("members"))
+    met = classes.groupBy("least").agg(F.count("*").alias("met"))
+    rows = classes.select("cid", "doc", "ver", "n", "least").join(met, "least").join(of, "cid", "left")
+    linked, place = F.col("piece").isNotNull(), F.xxhash64("cid")
+    name = F.coalesce("piece", "least").alias("name")
+    part = F.when(linked, F.pmod(place, F.ceil(F.col("members") / MEMBERS)) * 2).otherwise(F.pmod(place, F.ceil(F.col("met") / LOCAL)) * 2 + 1)
+    grouped = rows.select("cid", "doc", "ver", "n", name, part.alias("part"), F.coalesce("members", F.lit(1)).alias("members"))
+    return grouped.withColumn("unit", F.when(F.col("part") % 2 == 0, -1).otherwise(F.col("part")))
 
 
 def _token_rows(tokens: DataFrame, grouped: DataFrame) -> DataFrame:
     """Token rows with the class, its size and its group."""
-    rows = tokens.join(grouped.select("cid", "n", "piece", "part", "members"), F.shiftright("ref", 1) == F.col("cid"))
-    return materialize(rows.select("token", "ref", "cid", "n", "piece", "part", "members"), "token-groups")
+    rows = tokens.join(grouped.select("cid", "n", "name", "part", "members", "unit"), F.shiftright("ref", 1) == F.col("cid"))
+    return materialize(rows.select("token", "ref", "cid", "n", "name", "part", "members", "unit"), "token-groups")
+
+
+def _in_several(rows: DataFrame, by: list[str], *more) -> DataFrame:
+    """Of the values of ``by`` those that lie in several units."""
+    unit = F.struct("name", "unit")
+    return rows.groupBy(*by).agg(F.min(unit).alias("low"), F.max(unit).alias("high"), *more).where("low <> high")
 
 
 def _some_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(cid, n, name, part): under each token the classes of about one size ask one group of the largest piece there."""
     rows = rows.withColumn("band", F.floor(F.log("n") / -np.log(percent / 100)).cast("int"))
-    hub = F.max(F.struct("members", "piece", "part", F.col("n").alias("size"))).alias("hub")
-    hubs = rows.groupBy("token", "band").agg(F.min("piece").alias("low"), F.max("piece").alias("high"), hub).where("low <> high")
-    hubs = materialize(hubs.select("token", "band", "hub.size", F.col("hub.piece").alias("name"), F.col("hub.part").alias("at")), "hubs")
+    hub = F.max(F.struct("members", "name", "part", "unit", F.col("n").alias("size"))).alias("hub")
+    hubs = _in_several(rows, ["token", "band"], hub)
+    hubs = materialize(hubs.select("token", "band", "hub.size", F.col("hub.name").alias("to_name"), F.col("hub.part").alias("to_part"), F.col("hub.unit").alias("to_unit")), "hubs")
     # plain shuffles on both sides can be split where a token is common
-    near = (F.col("piece") != F.col("name")) & (F.least("n", "size") * 100 >= F.greatest("n", "size") * percent)
-    return _often(rows.join(hubs, ["token", "band"]).where(near).select("cid", "n", "name", F.col("at").alias("part")), percent)
+    near = ~_known() & (F.least("n", "size") * 100 >= F.greatest("n", "size") * percent)
+    return _often(rows.join(hubs, ["token", "band"]).where(near), percent)
+
+
+def _known():
+    return (F.col("name") == F.col("to_name")) & (F.col("unit") == F.col("to_unit"))
 
 
 def _often(meetings: DataFrame, percent: int) -> DataFrame:
     """(cid, n, name, part), one row per shared token -> those that share SHARED of them, or as many as they overlap at least."""
     need = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
-    return meetings.groupBy("cid", "n", "name", "part").agg(F.count("*").alias("times")).where(F.col("times") >= need).drop("times")
+    pairs = meetings.select("cid", "n", F.col("to_name").alias("name"), F.col("to_part").alias("part"))
+    return pairs.groupBy("cid", "n", "name", "part").agg(F.count("*").alias("times")).where(F.col("times") >= need).drop("times")
 
 
 def _every_pair(rows: DataFrame, percent: int) -> DataFrame:
-    """(cid, n, name, part): under each token the classes of the smaller of every two pieces ask the groups of the larger."""
-    several = rows.groupBy("token").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("token")
-    shared = materialize(rows.join(materialize(several, "several"), "token"), "shared-tokens")
+    """(cid, n, name, part): under each token the classes of the smaller of every two units ask the groups of the larger."""
+    several = materialize(_in_several(rows, ["token"]).select("token"), "several")
+    shared = materialize(rows.join(several, "token"), "shared-tokens")
     own = F.col("ref") % 2 == 1
-    groups = shared.groupBy("token", F.col("piece").alias("to_piece"), F.col("part").alias("to_part"), F.col("members").alias("to_members")).agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.when(own, F.col("n"))).alias("low_indexed"),
-    )
+    to = {c: F.col(c).alias(f"to_{c}") for c in ("name", "part", "members", "unit")}
+    groups = shared.groupBy("token", *to.values()).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.when(own, F.col("n"))).alias("low_indexed"))
     groups = materialize(groups, "matrix")
-    asks = F.struct("members", "piece") < F.struct("to_members", "to_piece")
+    asks = (F.struct("members", "name", "unit") < F.struct("to_members", "to_name", "to_unit")) & ~_known()
     # the smaller set of two has the token among its first ones
     larger = own & (F.col("high") >= F.col("n")) & (F.col("low") * percent <= F.col("n") * 100)
     smaller = (F.col("low_indexed") <= F.col("n")) & (F.col("high") * 100 >= F.col("n") * percent)
-    pairs = shared.select("token", "ref", "cid", "n", "piece", "members").join(groups, "token").where(asks & (larger | smaller))
-    return _often(pairs.select("cid", "n", F.col("to_piece").alias("name"), F.col("to_part").alias("part")), percent)
+    return _often(shared.join(groups, "token").where(asks & (larger | smaller)), percent)
 
 
 def _meet(candidates: DataFrame, asked: DataFrame, groups: DataFrame, compare, schema: str) -> DataFrame:
@@ -353,17 +378,17 @@ def _unions(members: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["name", "part", "cid", "what"])
 
     bucket = F.pmod(F.xxhash64("name", "part"), F.lit(_buckets(members, F.length("what"))))
-    return members.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(union, "name long, part int, cid long, what binary")
+    return members.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(union, "name long, part long, cid long, what binary")
 
 
 def _links(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) of the queries with members of their groups, found by the bound of the union and then by the sets."""
     candidates = materialize(candidates, "candidates")
-    inside = grouped.join(candidates.select(F.col("name").alias("piece"), "part").distinct(), ["piece", "part"]).select("cid", "doc", "ver")
+    inside = grouped.join(candidates.select("name", "part").distinct(), ["name", "part"]).select("cid", "doc", "ver")
     asking = grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "ver")
     wanted = materialize(inside.unionAll(asking).dropDuplicates(["cid"]), "wanted")
     sets = materialize(_sets(docs, wanted, width).select("cid", F.col("tokens").alias("what")), "sets")
-    groups = grouped.select(F.col("piece").alias("name"), "part", "cid").join(candidates.select("name", "part").distinct(), ["name", "part"])
+    groups = grouped.select("name", "part", "cid").join(candidates.select("name", "part").distinct(), ["name", "part"])
     members = groups.join(sets, "cid").select("name", "part", "cid", "what")
     unions = materialize(_unions(members), "unions")
 
@@ -385,10 +410,11 @@ def _links(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: in
                     both = _overlap(s, q)
                     if 100 * both >= percent * (len(s) + n - both):
                         found.append((cid, i))
-                        break  # the group is one piece already
+                        if key[1] % 2 == 0:
+                            break  # the group is one piece already
         return found
 
-    qualifying = materialize(_meet(candidates, sets, unions, bound, "cid long, n long, name long, part int"), "qualifying")
+    qualifying = materialize(_meet(candidates, sets, unions, bound, "cid long, n long, name long, part long"), "qualifying")
     discard(unions, wanted)
     opened = members.join(qualifying.select("name", "part").distinct(), ["name", "part"])
     links = materialize(_meet(qualifying, sets, opened, compare, "a long, b long"), "links")
@@ -412,7 +438,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     discard(rows)
     links = _pieces(docs, classes, width, percent)
     tokens = materialize(_common_tokens(classes, percent), "common-tokens")
-    named = materialize(classes.select("cid", "cls", "doc", "ver", "n", "smallest"), "names")
+    named = materialize(classes.select("cid", "cls", "doc", "ver", "n", "least", "smallest"), "names")
     discard(classes)
     for last in [False] * STARS + [True]:
         grouped = materialize(_group(named, components(links)), "groups")
