@@ -11,7 +11,9 @@ import itertools
 import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -20,7 +22,6 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (
@@ -29,16 +30,16 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from .metrics import classification_metrics, metrics_long
 from .neighbors import knn_classify, knn_join
 from .reduce import fit_reduction, fit_standardizer, reduction_stages
 from .resample import oversample
+from .search import search_splits, settings_of
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -225,47 +226,81 @@ def fit_fold_steps(name: str, train: DataFrame, features: str = "features", labe
     return score
 
 
+#: Rows in one partition of a fit at least: small tables are not cut into many tiny tasks.
+ROWS_PER_TASK = 5_000
+CHOSEN = "model string, fold int, params string, inner_score double"
+OOF = "model string, fold int, y_true int, y_pred int, y_prob double"
+
+
+def compact(df: DataFrame, n_rows: int) -> DataFrame:
+    """Rows written once, in fewer partitions where they would hold next to nothing."""
+    most = max(1, -(-n_rows // ROWS_PER_TASK))
+    return cut_lineage(df if df.rdd.getNumPartitions() <= most else df.coalesce(most))
+
+
+def is_written(spark, path: str) -> bool:
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
 def run_cv(df: DataFrame, models: Sequence[str], fold: str = "fold", features: str = "features", label: str = "label",
            row_id: str = "id", threshold: float = 0.5, imbalance: str = "none", reduction: tuple[str, dict] | None = None,
-           params: Mapping[str, dict] | None = None, seed: int = 42, parallelism: int = 4) -> DataFrame:
+           params: Mapping[str, dict] | None = None, seed: int = 42, parallelism: int = 8, store: str | None = None) -> DataFrame:
     """Out-of-fold table (id, model, fold, y_true, y_pred, y_prob) of every model over every fold.
 
     ``df`` carries its fold as a column; training is ``fold != i``. A model that fails on a fold, or finds one
     class only, has null predictions there, so its metrics for that fold are NaN and all others stay.
     ``parallelism`` fits run at a time; the threads only submit Spark jobs.
+
+    Each (model, fold) is scored at once and written to its own folder of ``store`` (a new scratch folder unless given);
+    its model is then dropped, and the result reads the written rows only. A run over a store that holds some of them
+    already goes on with the others: a folder counts once it is committed. A store belongs to one table and one choice of
+    the other arguments.
     """
+    spark = df.sparkSession
     # One pass gives the class counts of every training side (folds x classes numbers).
     cells = {(r[0], r[1]): r["n"] for r in df.groupBy(fold, label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    store = store or scratch_path(spark, "out-of-fold")
+    path = lambda job: f"{store}/{job[0]}/{job[1]}"
+    jobs = list(itertools.product(models, sorted({f for f, _ in cells})))
+    if not jobs:
+        raise ValueError("no model could be fitted")
+    left = [job for job in jobs if not is_written(spark, path(job))]
+    rows = compact(df, sum(cells.values())) if left else df
 
-    def one(job: tuple) -> DataFrame:
+    def one(job: tuple) -> None:
         name, i = job
-        train, held = df.where(as_col(fold) != i), df.where(as_col(fold) == i)
+        train, held = rows.where(as_col(fold) != i), rows.where(as_col(fold) == i)
         counts: dict = {}
         for (f, cls), n in cells.items():
             if f != i:
                 counts[cls] = counts.get(cls, 0) + n
-        said = {"y_pred": F.lit(None).cast("int"), "y_prob": F.lit(None).cast("double")}
-        scored = held
+
+        def write(scored: DataFrame, said: dict) -> None:
+            scored.select(
+                as_col(row_id), F.lit(name).alias("model"), as_col(fold).cast("int").alias("fold"), as_col(label).cast("int").alias("y_true"), *[v.alias(k) for k, v in said.items()]
+            ).write.mode("overwrite").parquet(path(job))
+
         if len(counts) > 1 or name == "zero_r":
             try:
                 score = fit_fold_steps(
                     name, train, features, label, row_id, imbalance=imbalance, reduction=reduction, seed=seed, counts=counts,
                     **(params or {}).get(name, {}),
                 )
-                scored = score(held)
-                said = {"y_pred": F.col("y_pred") if threshold == 0.5 else (F.col("y_prob") >= threshold).cast("int"), "y_prob": F.col("y_prob")}
+                pred = F.col("y_pred") if threshold == 0.5 else (F.col("y_prob") >= threshold).cast("int")
+                return write(score(held), {"y_pred": pred, "y_prob": F.col("y_prob")})
             except Exception as err:  # one fit must not end the run
                 warnings.warn(f"{name} failed on fold {i}: {err}", RuntimeWarning, stacklevel=2)
-        return scored.select(
-            as_col(row_id), F.lit(name).alias("model"), as_col(fold).alias("fold"), as_col(label).cast("int").alias("y_true"), *[v.alias(k) for k, v in said.items()]
-        )
+        write(held, {"y_pred": F.lit(None).cast("int"), "y_prob": F.lit(None).cast("double")})
 
-    jobs = list(itertools.product(models, sorted({f for f, _ in cells})))
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        parts = list(pool.map(one, jobs))
-    if not parts:
-        raise ValueError("no model could be fitted")
-    return functools.reduce(DataFrame.unionByName, parts)
+        list(pool.map(one, left))
+    return read_store(df, row_id, [path(job) for job in jobs])
+
+
+def read_store(df: DataFrame, row_id: str, paths: Sequence[str]) -> DataFrame:
+    kind = df.schema[row_id].dataType.simpleString()
+    return df.sparkSession.read.schema(f"`{row_id}` {kind}, {OOF}").parquet(*paths)
 
 
 def cv_metrics(oof: DataFrame) -> DataFrame:
@@ -297,26 +332,35 @@ def imbalance_compare(df: DataFrame, model: str = "logistic_regression", metric:
     return out
 
 
-def _evaluator(scoring: str, label: str):
-    if scoring == "roc_auc":
-        return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    name = {"f1": "fMeasureByLabel", "precision": "precisionByLabel", "recall": "recallByLabel", "accuracy": "accuracy"}.get(scoring)
-    if name is None:
-        raise ValueError(f"unknown scoring {scoring!r}")
-    ev = MulticlassClassificationEvaluator(labelCol=label, metricName=name)
-    return ev.setMetricLabel(1.0) if name.endswith("ByLabel") else ev
+@dataclass
+class Search:
+    """Result of a search: settings with mean and deviation of their scores, the best one, refitted on all rows."""
 
+    settings: list[dict]
+    means: list[float]
+    deviations: list[float]
+    refit: Callable[[], tuple]
 
-def grid_search(df: DataFrame, model: str, grid: Mapping[str, Sequence] | None = None, fold: str = "fold", features: str = "features",
-                label: str = "label", scoring: str = "f1", parallelism: int = 2, seed: int = 42, scale: bool | None = None,
-                reduction: tuple[str, dict] | None = None):
-    """Exhaustive search scored over an existing fold column; returns (fitted CrossValidatorModel, result table).
+    @property
+    def best(self) -> int:
+        return max(range(len(self.means)), key=lambda i: self.means[i])
 
-    Scaler, reduction and classifier form one Pipeline, so each is fitted on the training folds only.
-    """
-    if model not in GRIDS or model == "knn":
-        raise ValueError(f"no grid for {model!r}")
-    n = df.count()
+    @functools.cached_property
+    def bestModel(self):
+        """Fitted Spark ML model of the best setting."""
+        return self.refit()[0]
+
+    def table(self, spark) -> DataFrame:
+        rows = [(said(s), float(m), float(d)) for s, m, d in zip(self.settings, self.means, self.deviations)]
+        return spark.createDataFrame(rows, "params string, mean double, std double")
+
+
+def said(setting: Mapping) -> str:
+    return ", ".join(f"{k}={v:.6g}" if isinstance(v, float) else f"{k}={v}" for k, v in sorted(setting.items()))
+
+
+def _prepared(train: DataFrame, model: str, features: str, label: str, scale: bool | None, reduction: tuple[str, dict] | None):
+    """Scaler and reduction fitted on training rows: (fitted steps or None, features column after them)."""
     stages, vec = [], features
     if model in SCALE_SENSITIVE if scale is None else scale:
         stages.append(StandardScaler(inputCol=vec, outputCol="__scaled", withMean=False, withStd=True))
@@ -324,24 +368,50 @@ def grid_search(df: DataFrame, model: str, grid: Mapping[str, Sequence] | None =
     if reduction is not None:
         stages += reduction_stages(reduction, vec, label, "__reduced")
         vec = "__reduced"
-    est = make_classifier(model, n, vec, label, None, seed)
-    builder = ParamGridBuilder()
-    for key, values in (grid or GRIDS[model]).items():
-        if key == "C":
-            builder = builder.addGrid(est.regParam, [1.0 / (c * n) for c in values])
-        else:
-            builder = builder.addGrid(est.getParam(key), list(values))
-    maps = builder.build()
-    k = df.select(F.max(fold)).first()[0] + 1
-    cv = CrossValidator(
-        estimator=Pipeline(stages=[*stages, est]), estimatorParamMaps=maps, evaluator=_evaluator(scoring, label), numFolds=k, foldCol=fold, parallelism=parallelism
-    )
-    fitted = cv.fit(df)
-    rows = [
-        (", ".join(f"{p.name}={v:.6g}" if isinstance(v, float) else f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(a), float(s))
-        for m, a, s in zip(maps, fitted.avgMetrics, fitted.stdMetrics)
-    ]
-    return fitted, df.sparkSession.createDataFrame(rows, "params string, mean double, std double")
+    return (Pipeline(stages=stages).fit(train) if stages else None), vec
+
+
+def search_folds(splits: Mapping, model: str, grid: Mapping[str, Sequence] | None, n_rows: int, features: str, label: str, scoring: str,
+                 parallelism: int, seed: int, scale: bool | None, reduction: tuple[str, dict] | None) -> tuple[list[dict], dict]:
+    """Settings, and split -> score of each; scaler and reduction are fitted once per split, on its training rows only."""
+    settings = settings_of(grid or GRIDS[model])
+
+    def ready(item: tuple) -> tuple:
+        key, (train, held) = item
+        steps, vec = _prepared(train, model, features, label, scale, reduction)
+        return key, ((steps.transform(train), steps.transform(held)) if steps else (train, held), vec)
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        rows = dict(pool.map(ready, splits.items()))
+
+    def fit(key, params: dict) -> tuple:
+        (train, held), vec = rows[key]
+        return make_classifier(model, n_rows, vec, label, None, seed, **params).fit(train), held, vec
+
+    return settings, search_splits(splits, settings, model, fit, features, label, scoring, parallelism)
+
+
+def grid_search(df: DataFrame, model: str, grid: Mapping[str, Sequence] | None = None, fold: str = "fold", features: str = "features",
+                label: str = "label", scoring: str = "f1", parallelism: int = 8, seed: int = 42, scale: bool | None = None,
+                reduction: tuple[str, dict] | None = None):
+    """Exhaustive search scored over an existing fold column; returns (``Search``, result table).
+
+    Settings that are prefixes of one another share a fit (see ``search``).
+    """
+    if model not in GRIDS or model == "knn":
+        raise ValueError(f"no grid for {model!r}")
+    n = df.count()
+    rows = compact(df, n)
+    splits = {r[0]: (rows.where(as_col(fold) != r[0]), rows.where(as_col(fold) == r[0])) for r in rows.select(fold).distinct().collect()}
+    settings, scores = search_folds(splits, model, grid, n, features, label, scoring, parallelism, seed, scale, reduction)
+    each = np.array([scores[k] for k in sorted(splits)])
+
+    def refit() -> tuple:
+        steps, vec = _prepared(rows, model, features, label, scale, reduction)
+        return make_classifier(model, n, vec, label, None, seed, **settings[found.best]).fit(steps.transform(rows) if steps else rows), steps
+
+    found = Search(settings, each.mean(0).tolist(), each.std(0).tolist(), refit)
+    return found, found.table(df.sparkSession)
 
 
 def knn_search(df: DataFrame, grid: Mapping[str, Sequence] | None = None, fold: str = "fold", features: str = "features",
@@ -382,41 +452,63 @@ def knn_search(df: DataFrame, grid: Mapping[str, Sequence] | None = None, fold:
 
 def nested_cv(df: DataFrame, models: Sequence[str], grids: Mapping[str, Mapping[str, Sequence]] | None = None, features: str = "features",
               label: str = "label", row_id: str = "id", scoring: str = "f1", seed: int = 42, scale: bool | None = None,
-              reduction: tuple[str, dict] | None = None) -> tuple[DataFrame, DataFrame]:
+              reduction: tuple[str, dict] | None = None, parallelism: int = 8, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Outer estimate of tuned models over ``outer_fold`` / ``inner_fold`` columns (see ``nested_folds``).
 
     Returns the out-of-fold table and the chosen parameters per (model, fold); models without a grid are skipped.
+    The inner splits of all outer folds are searched together, and settings share fits. Each (model, outer fold) is
+    written to ``store`` with its choice; a run over a store goes on with what is missing there.
     """
-    grids = grids or GRIDS
-    outer = [r[0] for r in df.select("outer_fold").distinct().orderBy("outer_fold").collect()]
-    out, chosen = None, []
-    for name, o in itertools.product([m for m in models if m in grids], outer):
-        train = df.where(F.col("outer_fold") != o).withColumn("__inner", F.col("inner_fold")[o])
-        held = df.where(F.col("outer_fold") == o)
+    grids, spark = grids or GRIDS, df.sparkSession
+    names = [m for m in models if m in grids]
+    if not names:
+        raise ValueError("none of the models has a grid")
+    store = store or scratch_path(spark, "nested")
+    n = df.count()
+    rows = compact(df, n)
+    outer = [r[0] for r in rows.select("outer_fold").distinct().orderBy("outer_fold").collect()]
+    inner = [r[0] for r in rows.select(F.explode("inner_fold").alias("i")).where("i is not null").distinct().orderBy("i").collect()]
+    path = lambda name, o: f"{store}/{name}/{o}"
+
+    def outer_rows(o) -> tuple[DataFrame, DataFrame]:
+        return rows.where(F.col("outer_fold") != o), rows.where(F.col("outer_fold") == o)
+
+    def finish(name: str, o, params: dict, score: float, scored: DataFrame) -> None:
+        scored.select(
+            as_col(row_id), F.lit(name).alias("model"), F.col("outer_fold").cast("int").alias("fold"), as_col(label).cast("int").alias("y_true"), F.col("y_pred").cast("int").alias("y_pred"), "y_prob"
+        ).write.mode("overwrite").parquet(path(name, o))
+        spark.createDataFrame([(name, o, said(params), float(score))], CHOSEN).coalesce(1).write.mode("overwrite").parquet(f"{path(name, o)}-chosen")
+
+    for name in names:
+        left = [o for o in outer if not is_written(spark, f"{path(name, o)}-chosen")]
         if name == "knn":
-            best, _ = knn_search(train, grids[name], "__inner", features, label, row_id, scoring, scale is not False)
-            score = best.pop("score")
-            chosen.append((name, o, ", ".join(f"{k}={v}" for k, v in best.items()), score))
-            scored = fit_fold_steps(name, train, features, label, row_id, scale, reduction=reduction, seed=seed, **best)(held)
+
+            def one(o) -> None:
+                train, held = outer_rows(o)
+                best, _ = knn_search(train.withColumn("__inner", F.col("inner_fold")[o]), grids["knn"], "__inner", features, label, row_id, scoring, scale is not False)
+                score = best.pop("score")
+                finish("knn", o, best, score, fit_fold_steps("knn", train, features, label, row_id, scale, reduction=reduction, seed=seed, **best)(held))
         else:
-            fitted, _ = grid_search(train, name, grids[name], "__inner", features, label, scoring, 2, seed, scale, reduction)
-            top = max(range(len(fitted.avgMetrics)), key=lambda i: fitted.avgMetrics[i])
-            picked = fitted.getEstimatorParamMaps()[top].items()
-            chosen.append((name, o, ", ".join(f"{p.name}={v}" for p, v in picked), float(fitted.avgMetrics[top])))
-            scored = fitted.bestModel.transform(held)
-            scored = scored.withColumns({"y_pred": F.col("prediction").cast("int"), "y_prob": positive_probability(scored)})
-        part = scored.select(
-            as_col(row_id),
-            F.lit(name).alias("model"),
-            F.col("outer_fold").alias("fold"),
-            as_col(label).cast("int").alias("y_true"),
-            F.col("y_pred").cast("int").alias("y_pred"),
-            "y_prob",
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("none of the models has a grid")
-    return out, df.sparkSession.createDataFrame(chosen, "model string, fold int, params string, inner_score double")
+            splits = {}
+            for o, i in itertools.product(left, inner):
+                train = outer_rows(o)[0]
+                splits[o, i] = train.where(F.col("inner_fold")[o] != i), train.where(F.col("inner_fold")[o] == i)
+            settings, scores = search_folds(splits, name, grids[name], n, features, label, scoring, parallelism, seed, scale, reduction)
+
+            def one(o, name=name, settings=settings, scores=scores) -> None:
+                train, held = outer_rows(o)
+                means = np.mean([scores[o, i] for i in inner], axis=0)
+                top = int(np.argmax(means))
+                steps, vec = _prepared(train, name, features, label, scale, reduction)
+                model = make_classifier(name, n, vec, label, None, seed, **settings[top]).fit(steps.transform(train) if steps else train)
+                scored = model.transform(steps.transform(held) if steps else held)
+                scored = scored.withColumns({"y_pred": F.col("prediction").cast("int"), "y_prob": positive_probability(scored)})
+                finish(name, o, settings[top], float(means[top]), scored)
+
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:
+            list(pool.map(one, left))
+    done = [path(m, o) for m in names for o in outer]
+    return read_store(df, row_id, done), spark.read.schema(CHOSEN).parquet(*[f"{p}-chosen" for p in done])
 
 
 def calibrate(df: DataFrame, model: str, fold: str = "fold", method: str = "sigmoid", features: str = "features", label: str = "label",

@@ -340,13 +340,61 @@ def q_knn_search_uniform(spark, d):
     return round_all(out)
 
 
-@query("nested_cv")
-def q_nested(spark, d):
+#: Models whose whole grids are searched in ``nested_cv``; the forest has a query of its own, boosting is in the README.
+NESTED = ("logistic_regression", "decision_tree", "knn", "sgd_classifier")
+
+
+def nested(spark, d, models):
     rows = cut_lineage(folds.nested_folds(parts(spark, d), "label", ["id"], 10, 5))
-    oof, chosen = learners.nested_cv(rows, learners.CLASSIFIERS)
+    oof, chosen = learners.nested_cv(rows, models)
     return round_all(metrics.classification_metrics(oof).join(chosen, ["model", "fold"]), 4)
 
 
+@query("nested_cv")
+def q_nested(spark, d):
+    return nested(spark, d, NESTED)
+
+
+@query("nested_cv_forest")
+def q_nested_forest(spark, d):
+    return nested(spark, d, ("random_forest",))
+
+
+def flagged(spark, d) -> DataFrame:
+    """Parts with one feature of two values: every tree is one split at most."""
+    return encode.assemble_vector(view(spark, d, PARTS), ["cheap_type"]).select("id", "label", "cheap_type", "features")
+
+
+_STUMP = """, s AS (SELECT {key}, x, count(*) FILTER (label = 1) > count(*) FILTER (label = 0) AS says FROM {train} GROUP BY {key}, x)"""
+
+
+@query(
+    "grid_search_stump",
+    PT + """, f AS (SELECT id, label, cheap_type AS x, (row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(id AS VARCHAR))) - 1) % 5 AS fold FROM pa),
+    t AS (SELECT g.fold AS f, h.x, h.label FROM (SELECT DISTINCT fold FROM f) g JOIN f h ON h.fold <> g.fold)"""
+    + _STUMP.format(key="f", train="t") + """,
+    a AS (SELECT fold, AVG(CASE WHEN says = (label = 1) THEN 1 ELSE 0 END) AS acc FROM f JOIN s ON s.f = f.fold AND s.x = f.x GROUP BY fold),
+    p AS (SELECT 'impurity=' || i || ', maxDepth=' || CAST(d AS VARCHAR) AS params FROM (SELECT unnest(['gini', 'entropy']) AS i), (SELECT unnest([1, 3]) AS d))
+    SELECT params, ROUND((SELECT AVG(acc) FROM a), 6) AS mean, ROUND((SELECT stddev_pop(acc) FROM a), 6) AS std FROM p""",
+)
+def q_grid_stump(spark, d):
+    rows = folds.stratified_kfold(flagged(spark, d), "label", ["id"], 5)
+    return round_all(learners.grid_search(rows, "decision_tree", {"maxDepth": [1, 3], "impurity": ["gini", "entropy"]}, scoring="accuracy")[1])
+
+
+@query(
+    "nested_cv_stump",
+    PT + """, f AS (SELECT id, label, cheap_type AS x, CAST((row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(id AS VARCHAR))) - 1) % 4 AS INT) AS fold FROM pa),
+    t AS (SELECT g.fold AS f, h.x, h.label FROM (SELECT DISTINCT fold FROM f) g JOIN f h ON h.fold <> g.fold)"""
+    + _STUMP.format(key="f", train="t") + """
+    SELECT id, 'decision_tree' AS model, fold, label AS y_true, CAST(says AS INT) AS y_pred FROM f JOIN s ON s.f = f.fold AND s.x = f.x""",
+)
+def q_nested_stump(spark, d):
+    rows = cut_lineage(folds.nested_folds(flagged(spark, d), "label", ["id"], 4, 2))
+    oof, _ = learners.nested_cv(rows, ["decision_tree"], {"decision_tree": {"maxDepth": [1, 2]}}, scoring="accuracy")
+    return oof.drop("y_prob")
+
+
 @query("imbalance_compare")
 def q_imbalance(spark, d):
     rows = cut_lineage(embedded(spark, d, 5))

@@ -47,9 +47,10 @@ def test_searches_take_the_whole_grid_and_ten_folds(monkeypatch, spark, data, ke
     assert n_folds(got["df"]) == 10
 
 
-def test_nested_cv_tunes_all_models_over_ten_by_five_folds(monkeypatch, spark, data):
-    got = call_of(monkeypatch, learners, "nested_cv", spark, data, "nested_cv")
-    assert got["grids"] in (None, learners.GRIDS) and set(learners.GRIDS) <= set(got["models"])
+@pytest.mark.parametrize("key,models", [("nested_cv", {"logistic_regression", "decision_tree", "knn", "sgd_classifier"}), ("nested_cv_forest", {"random_forest"})])
+def test_nested_cv_searches_whole_grids_over_ten_by_five_folds(monkeypatch, spark, data, key, models):
+    got = call_of(monkeypatch, learners, "nested_cv", spark, data, key)
+    assert got["grids"] in (None, learners.GRIDS) and models == set(got["models"])
     inner = got["df"].selectExpr("outer_fold", "explode(inner_fold) as f").where("f is not null")
     assert n_folds(got["df"], "outer_fold") == 10 and n_folds(inner, "f") == 5
 
