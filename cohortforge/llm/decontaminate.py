@@ -63,11 +63,11 @@ class Part:
 
 
 def question_and_answer(text: str) -> tuple[list[str], int]:
-    """Words of an item and how many of them are its question."""
+    """Words of an item and how many of them are its question; at least one word is left as its answer."""
     words = words_of(text.casefold())
     stops = [m.end() for m in _last_stop.finditer(text)]
     cut = len(words_of(text[: stops[-1]].casefold())) if stops else 0
-    return words, cut if 0 < cut < len(words) else -(-2 * len(words) // 3)
+    return words, cut if 0 < cut < len(words) else max(0, min(-(-2 * len(words) // 3), len(words) - 1))
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -116,13 +116,15 @@ def _part(rows: pd.DataFrame, window: int) -> Part:
     return Part([i for i, _ in keys], [w for w, _ in split], [c for _, c in split], raw, terms, np.array([max(p[1]) for p in posts]), by_group, posts, blocks, window)
 
 
-def index_parts(items: DataFrame) -> list[Part]:
-    """The index in shards of bounded size; every item lies whole in one."""
+def index_parts(items: DataFrame) -> Iterator[Part]:
+    """The index in shards of bounded size, one at a time; every item lies whole in one."""
     terms = materialize(item_terms(items), "postings")
     total, longest = terms.agg(F.count("*"), F.max("length")).first()
     shards = -(-total // SHARD)
     rows = terms.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, shards))))
-    return [_part(p, 2 * longest) for s in range(shards) if len(p := rows.where(F.col("shard") == s).drop("shard").toPandas())]
+    for s in range(shards):
+        if len(shard := rows.where(F.col("shard") == s).drop("shard").toPandas()):  # at most about SHARD rows
+            yield _part(shard, 2 * longest)
 
 
 def block_max_wand(terms: list[int], part: Part, share: float) -> list[tuple[int, float]]:
@@ -218,7 +220,8 @@ def _search(words: list[str], texts: np.ndarray, out: list[dict], part: Part, sh
         w = window[first[n]]
         for item, score in block_max_wand(term[first[n] : last[n]].tolist(), part, share):
             passage = words[starts[w] : ends[w]]
-            q, a = overlap(part.words[item][: part.cut[item]], passage), overlap(part.words[item][part.cut[item] :], passage, 1)
+            asks = part.words[item][: part.cut[item]]  # an item of one word has no question
+            q, a = overlap(asks, passage) if asks else 1.0, overlap(part.words[item][part.cut[item] :], passage, 1)
             if q >= question and a >= answer:
                 found = out[owner[w]]
                 found[item] = max(found.get(item, (0.0, 0.0, 0.0)), (score, q, a))
@@ -243,8 +246,7 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = 0.6, question
 
         return docs.select("doc_id", "text").mapInPandas(lean(run), schema)
 
-    parts = index_parts(items)
-    return reduce(DataFrame.unionAll, map(one, parts)) if parts else spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionAll, map(one, index_parts(items)), spark.createDataFrame([], schema))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, share: float = 0.6, question: float = 0.5, answer: float = 0.5) -> DataFrame:

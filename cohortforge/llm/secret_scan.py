@@ -2,13 +2,15 @@
 
 Base patterns (fixed values below) report assignments, access keys and long hex runs. Beyond them, runs of
 base64 or hex are decoded and reported only where the bytes parse: a DER sequence whose nested lengths fill it
-exactly, with an integer or an algorithm identifier first as in private and public keys (``der``); an SSH key
+exactly, with an integer or an algorithm identifier first as in private, encrypted and public keys (``der``; the lines of
+a body may be indented, or joined by ``\\n`` as in key files); an SSH key
 blob whose length-prefixed fields fill it and begin with a key type, or an OpenSSH private key (``ssh``); and
 signed tokens of three base64url parts whose first decodes to a JSON object that names an algorithm (``jwt``).
 
 Spans count code points, end exclusive, ordered by start, then by kind in the order of ``KINDS``.
 
-Edge cases: a null text counts as empty; no span gives empty strings; repeated rows stay.
+Edge cases: a null text counts as empty; a text without a span has an empty list; repeated rows and clashing columns stay
+as they are; very long texts are scanned whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +42,10 @@ access_of = re.compile(ACCESS).finditer
 #: A greedy run is as long as can be, so asking for its length finds the same runs.
 hex_of = re.compile(rf"[0-9a-f]{{{LEAST_HEX},}}").finditer
 jwt_of = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*)").finditer
-run_of = re.compile(rf"(?:[A-Za-z0-9+/]{{40,}}(?:\r?\n[A-Za-z0-9+/]+)*|[A-Za-z0-9_-]{{{LEAST_RUN},}})={{0,2}}").finditer
+#: Between two lines of one body: a line end, as such or written with a backslash, and blanks around it.
+BREAK = r"[ \t]*(?:\r?\n|\\n)[ \t]*"
+break_of = re.compile(BREAK)
+run_of = re.compile(rf"(?:[A-Za-z0-9+/]{{40,}}(?:{BREAK}[A-Za-z0-9+/]+)*|[A-Za-z0-9_-]{{{LEAST_RUN},}})={{0,2}}").finditer
 hexes_of = re.compile(rf"[0-9A-Fa-f]{{{LEAST_RUN},}}").finditer
 OPENSSH = b"openssh-key-v1\0"
 
@@ -81,8 +86,8 @@ def is_der_key(data: bytes) -> bool:
         return False
     tags = [t for t, _ in inner]
     algorithm = lambda c: bool((f := _fields(c)) and f[0][0] == 6 and len(f[0][1]) >= 3)
-    if tags[0] == 0x30:  # public key: algorithm, bit string
-        return len(inner) == 2 and tags[1] == 3 and algorithm(inner[0][1])
+    if tags[0] == 0x30:  # algorithm and bit string of a public key, or octets of an encrypted private one
+        return len(inner) == 2 and tags[1] in (3, 4) and algorithm(inner[0][1])
     if tags[0] != 2 or not inner[0][1]:
         return False
     if tags[1] == 0x30:  # version, algorithm, octets
@@ -115,7 +120,7 @@ def is_signed_header(part: str) -> bool:
 
 
 def _decoded(run: str) -> bytes:
-    run = run.replace("\r", "").replace("\n", "").rstrip("=").replace("-", "+").replace("_", "/")
+    run = break_of.sub("", run).rstrip("=").replace("-", "+").replace("_", "/")
     try:
         return base64.b64decode(run + "=" * (-len(run) % 4)) if len(run) % 4 != 1 else b""
     except (ValueError, binascii.Error):
@@ -142,13 +147,14 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
             whole = m[0]
             if kind := _kind(_decoded(whole)):
                 out.append((kind, m.start(), m.end()))
-            elif "\n" in whole:  # lines beside each other may be encoded one by one
-                at = m.start()
-                for line in whole.split("\n"):
-                    bare = line.rstrip("\r")
-                    if len(bare) >= LEAST_RUN and (kind := _kind(_decoded(bare))):
-                        out.append((kind, at, at + len(bare)))
-                    at += len(line) + 1
+            elif ends := [(b.start(), b.end()) for b in break_of.finditer(whole)]:
+                if kind := _kind(_decoded(whole[: ends[-1][0]])):  # the word after a body is no line of it
+                    out.append((kind, m.start(), m.start() + ends[-1][0]))
+                    continue
+                # lines beside each other may be encoded one by one
+                for i, j in zip([0, *(e for _, e in ends)], [*(b for b, _ in ends), len(whole)]):
+                    if j - i >= LEAST_RUN and (kind := _kind(_decoded(whole[i:j]))):
+                        out.append((kind, m.start() + i, m.start() + j))
         for m in hexes_of(text):
             if len(m[0]) % 2 == 0 and (kind := _kind(bytes.fromhex(m[0]))):
                 out.append((kind, m.start(), m.end()))

@@ -233,7 +233,7 @@ def items(spark):
 
 def test_wand_finds_all_above_the_share(spark, items):
     rows, words = items
-    (part,) = decontaminate.index_parts(spark.createDataFrame(rows, "item_id long, text string"))
+    (part,) = list(decontaminate.index_parts(spark.createDataFrame(rows, "item_id long, text string")))
     rng = random.Random(4)
     by_id = {i: n for n, (i, _) in enumerate(rows)}
     for _ in range(60):
@@ -267,7 +267,7 @@ def test_shards_change_nothing(spark, items, make_docs, monkeypatch):
     docs = make_docs([(i, f"some words before. {t} and after") for i, t in rows])
     whole = {tuple(r) for r in decontaminate.contaminated(docs, table).collect()}
     monkeypatch.setattr(decontaminate, "SHARD", 200)
-    assert len(decontaminate.index_parts(table)) > 1
+    assert len(list(decontaminate.index_parts(table))) > 1
     assert {tuple(r) for r in decontaminate.contaminated(docs, table).collect()} == whole and len(whole) >= len(rows)
 
 
@@ -287,3 +287,31 @@ def test_fold_is_crc32(spark):
 
     rows = spark.range(200).select("id", fold_of(F.col("id")).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in rows)
+
+
+def test_items_of_one_or_two_words_are_confirmed_by_a_copy(spark, make_docs):
+    items = spark.createDataFrame([(1, "Zanzibar"), (2, "quokka marsupial"), (3, "Is it so? Yes")], "item_id long, text string")
+    docs = [(1, "They went to Zanzibar in spring"), (2, "the quokka marsupial is small"), (3, "a quokka alone"), (4, "nothing of this")]
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(make_docs(docs), items).collect()) == [(1, 1), (2, 2)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(make_docs(docs), items).collect()) == [3, 4]
+
+
+def _der(tag, body):
+    size = len(body).to_bytes(2, "big")
+    return bytes([tag, 0x82]) + size + body if len(body) > 255 else bytes([tag, 0x81, len(body)]) + body if len(body) > 127 else bytes([tag, len(body)]) + body
+
+
+@pytest.mark.parametrize("wrap", [
+    lambda lines: "\n".join(lines), lambda lines: "key:\n" + "\n".join("    " + x for x in lines) + "\n  next: 1",
+    lambda lines: '"key": "' + "\\n".join(lines) + '\\n-----END', lambda lines: "\r\n".join(lines) + "\r\nthat was the key",
+    lambda lines: "\n".join(lines) + "\nplain words follow",
+])
+@pytest.mark.parametrize("encrypted", [False, True])
+def test_wrapped_keys_are_found(wrap, encrypted):
+    algorithm = _der(0x30, _der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d") + _der(5, b""))
+    body = bytes(range(7, 250)) * 2
+    key = _der(0x30, algorithm + _der(4, body)) if encrypted else _der(0x30, _der(2, b"\0") + algorithm + _der(4, body))
+    coded = base64.b64encode(key).decode().rstrip("=")
+    text = wrap([coded[i : i + 64] for i in range(0, len(coded), 64)])
+    (span,) = [s for s in secret_scan.find_spans(text) if s[0] == "der"]
+    assert text[span[1] :].startswith(coded[:64]) and text[: span[2]].endswith(coded[-3:])
