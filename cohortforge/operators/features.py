@@ -16,22 +16,15 @@ SKEW_LIMIT = 1.0
 TRANSFORMS = ("none", "standardize", "log1p", "log1p_then_standardize", "optional_log1p")
 
 # Transform per column and model.
-_PLAIN = {"knn": "standardize", "decision_tree": "none", "logistic_regression": "standardize", "gaussian_nb": "none"}
-_COUNT = {
-    "knn": "log1p_then_standardize",
-    "decision_tree": "none",
-    "logistic_regression": "log1p_then_standardize",
-    "gaussian_nb": "log1p",
-}
 NUMERIC_RULES: dict[str, dict[str, str]] = {
-    "time_in_hospital": _PLAIN | {"gaussian_nb": "optional_log1p"},
-    "num_lab_procedures": _PLAIN,
-    "num_procedures": _COUNT,
-    "num_medications": _PLAIN,
-    "number_outpatient": _COUNT,
-    "number_emergency": _COUNT,
-    "number_inpatient": _COUNT,
-    "number_diagnoses": _PLAIN,
+    "time_in_hospital": {"knn": "standardize", "decision_tree": "none", "logistic_regression": "standardize", "gaussian_nb": "optional_log1p"},
+    "num_lab_procedures": {"knn": "standardize", "decision_tree": "none", "logistic_regression": "standardize", "gaussian_nb": "none"},
+    "num_procedures": {"knn": "log1p_then_standardize", "decision_tree": "none", "logistic_regression": "log1p_then_standardize", "gaussian_nb": "log1p"},
+    "num_medications": {"knn": "standardize", "decision_tree": "none", "logistic_regression": "standardize", "gaussian_nb": "none"},
+    "number_outpatient": {"knn": "log1p_then_standardize", "decision_tree": "none", "logistic_regression": "log1p_then_standardize", "gaussian_nb": "log1p"},
+    "number_emergency": {"knn": "log1p_then_standardize", "decision_tree": "none", "logistic_regression": "log1p_then_standardize", "gaussian_nb": "log1p"},
+    "number_inpatient": {"knn": "log1p_then_standardize", "decision_tree": "none", "logistic_regression": "log1p_then_standardize", "gaussian_nb": "log1p"},
+    "number_diagnoses": {"knn": "standardize", "decision_tree": "none", "logistic_regression": "standardize", "gaussian_nb": "none"},
 }
 
 # Medication columns.
