@@ -17,7 +17,8 @@ Words are case-folded runs of letters and digits. Document frequencies and lengt
 index is broadcast in shards of at most ``SHARD`` postings, each a pass over the texts.
 
 Edge cases: null or empty texts and items have no words and match nothing; repeated items count as items; repeated
-rows are judged alike; columns beside ``doc_id`` and ``text`` stay; without items nothing is contaminated.
+rows are judged alike; columns beside ``doc_id`` and ``text`` stay; without items nothing is contaminated; an item of one
+word is all answer; very long texts are searched whole, in overlapping windows; an empty table gives no rows.
 """
 
 from __future__ import annotations

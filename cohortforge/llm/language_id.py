@@ -11,7 +11,8 @@ Fit: whole texts of at most ``rows_per_language`` labelled rows of each language
 smallest hashes of their ids; executors count, the driver gets the summed counts. Texts are lower-cased.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; ties go to the smaller name; with
-no labelled row every text is ``und``; rows with null language or text don't teach; repeated rows stay.
+no labelled row every text is ``und``; rows with null language or text don't teach; repeated rows stay; an empty table
+gives no rows; columns that are not asked for are left out.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ stays; the lines covered by any later one go, overlapping windows merging into o
 Edge cases: a null text stays null with no lines, an empty text is one blank line; texts with fewer
 than ``width`` non-blank lines have no window and stay as they are; a null doc_id sorts first; rows
 that repeat both id and text are one document and are treated alike, rows with the same id but another
-text are documents of their own. Columns beside ``doc_id`` and ``text`` are carried along untouched.
+text are documents of their own; very long texts are cut whole; an empty table gives no rows. Columns beside
+``doc_id`` and ``text`` are carried along untouched, whatever their names.
 
 Only built-in functions run here. A common window is one partial count per task before the shuffle;
 the join of its many places with its one first place is left to Spark's split of skewed joins.

@@ -15,7 +15,7 @@ at most ``BLOCK`` queries at a time, each query only in buckets on its walk, and
 
 Edge cases: vectors that are null, empty, zero, of another length than the most common one or hold null or
 non-finite values take no part; null ids take no part; repeated rows (id and vector) count once; ties go to the
-smaller id; an empty table gives no rows.
+smaller id; an empty table gives no rows; columns beside the id and the vector are left out.
 """
 
 from __future__ import annotations

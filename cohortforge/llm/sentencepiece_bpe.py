@@ -12,7 +12,7 @@ Characters outside the vocabulary become their UTF-8 bytes. The model file gives
 must be a BPE model that only marks white space (no other normalisation), as ``load_pieces`` checks.
 
 Edge cases: a null text counts as empty; an empty text has no ids and decodes to an empty text; repeated rows
-and clashing column names stay as they are.
+and clashing column names stay as they are; very long texts are encoded whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

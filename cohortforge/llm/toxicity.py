@@ -18,7 +18,8 @@ Fit: whole texts of at most ``rows_per_class`` labelled rows of each class (a do
 hashes of their ids; the driver fits. Without labels of both classes every score is 0.
 
 Edge cases: null and empty texts have no word and score like any text with none; null labels don't teach; of
-several labels of a document each counts; repeated rows stay.
+several labels of a document each counts; repeated rows stay; very long texts are scored whole; an empty table gives no
+rows; columns named ``score`` or ``predicted`` give way to the results, all others are carried along.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ deviations, lies above ``max_bad``: few labels keep a host near its parents and
 
 Edge cases: a null url or one without ``://`` has empty host and path and is judged by the reputation of
 the empty host; pages without label count for nothing; repeated labels of a page count once (bad if any is);
-with no labels at all every page that no rule fits is allowed; repeated rows stay; null ids never have labels.
+with no labels at all every page that no rule fits is allowed; repeated rows stay; null ids never have labels; very long
+urls are cut like others; an empty table gives no rows; columns beside page_id and url are left out, whatever their names.
 """
 
 from __future__ import annotations
