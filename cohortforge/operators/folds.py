@@ -88,12 +88,22 @@ def target_type(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def nested_folds(df: DataFrame, label: str, ids: Sequence[str], outer: int = 10, inner: int = 5, seed: int = 42) -> DataFrame:
+def nested_folds(df: DataFrame, label: str, ids: Sequence[str], outer: int = 10, inner: int = 5, seed: int = 42,
+                 group: str | None = None) -> DataFrame:
     """Outer fold and, for each outer fold left out, the inner fold of every training row.
 
     ``inner_fold`` is an array indexed by outer fold (null where the row itself is held out), so
-    nested folds cost one column, not one copy of the data per outer fold.
+    nested folds cost one column, not one copy of the data per outer fold. With ``group`` no group
+    spans outer folds, nor inner folds of any left-out one; folds are then dealt group by group.
     """
+    if group is not None:
+        dealt = hash_rank(group_folds(df, label, group, outer, seed), ["fold", "positives"], ["group"], seed + 1, "__r")
+        cells = [
+            F.when(F.col("fold") != o, F.pmod(F.col("__r") - 1 + F.col("positives") + F.pmod(F.col("fold") + o, F.lit(inner)), F.lit(inner)).cast("int"))
+            for o in range(outer)
+        ]
+        of = dealt.select(F.col("group").alias("__g"), F.col("fold").alias("outer_fold"), F.array(*cells).alias("inner_fold"))
+        return df.join(of, as_col(group).eqNullSafe(F.col("__g"))).drop("__g")
     base = stratified_kfold(df, label, ids, outer, seed, "outer_fold")
     # Inner folds: rank inside (label, own outer fold), shifted per left-out fold, so that each training
     # set is dealt evenly from all its outer folds.

@@ -307,6 +307,15 @@ def q_split(spark, d):
     return folds.stratified_split(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_orderkey"])
 
 
+@query(
+    "plain_split",
+    f"""WITH r AS (SELECT event_id, {_rank('', 'CAST(event_id AS VARCHAR)')} AS r, COUNT(*) OVER () AS n FROM events)
+    SELECT event_id, CASE WHEN r <= ceil(0.2 * n) THEN 1 ELSE 0 END AS is_test FROM r""",
+)
+def q_plain_split(spark, d):
+    return folds.plain_split(table(spark, d, "events").select("event_id"), ["event_id"])
+
+
 @query("stratified_kfold", f"SELECT o_orderkey, o_orderpriority, CAST(({_rank('o_orderpriority', _OID)} - 1) % 10 AS INT) AS fold FROM orders")
 def q_kfold(spark, d):
     return folds.stratified_kfold(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_orderkey"])
@@ -351,3 +360,22 @@ def q_nested(spark, d):
     rows = folds.nested_folds(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_orderkey"], 4, 3)
     long = rows.select(F.posexplode("inner_fold").alias("left_out", "inner"))
     return long.groupBy("left_out").agg(F.count(F.lit(1)).alias("n_rows"), F.count("inner").alias("n_train"), F.count_distinct("inner").alias("n_inner"))
+
+
+@query(
+    "nested_group_folds",
+    """WITH g AS (SELECT o_custkey, COUNT(*) AS n, SUM(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS p FROM orders GROUP BY 1),
+    r AS (SELECT *, row_number() OVER (ORDER BY p DESC, md5('42|' || CAST(o_custkey AS VARCHAR))) - 1 AS i FROM g),
+    f AS (SELECT *, CASE WHEN (i // 4) % 2 = 0 THEN i % 4 ELSE 3 - i % 4 END AS fold FROM r),
+    c AS (SELECT unnest(range(4)) AS o)
+    SELECT CAST(o AS INT) AS left_out, CAST(SUM(n) AS BIGINT) AS n_rows, CAST(SUM(CASE WHEN fold <> o THEN n ELSE 0 END) AS BIGINT) AS n_train,
+      CAST(3 AS BIGINT) AS n_inner, CAST(0 AS BIGINT) AS n_split FROM f, c GROUP BY o""",
+)
+def q_nested_group(spark, d):
+    """Rows of nested folds by customer; n_split counts customers in more than one inner fold."""
+    rows = clean.binary_target(table(spark, d, "orders"), "o_orderpriority", "1-URGENT", "y").select("o_orderkey", "o_custkey", "y")
+    long = folds.nested_folds(rows, "y", ["o_orderkey"], 4, 3, group="o_custkey").select("o_custkey", F.posexplode("inner_fold").alias("left_out", "inner"))
+    each = long.groupBy("left_out", "o_custkey").agg(F.count("*").alias("n"), F.count("inner").alias("t"), F.min("inner").alias("low"), F.max("inner").alias("high"))
+    return each.groupBy("left_out").agg(
+        F.sum("n").alias("n_rows"), F.sum("t").alias("n_train"), F.count_distinct("low").alias("n_inner"), F.sum((F.col("low") != F.col("high")).cast("long")).alias("n_split")
+    ).fillna(0, ["n_split"])
