@@ -13,11 +13,11 @@ from ..registry import query
 from .learn import VEC_SQL, vectors
 
 
-#: Components the mixtures are fitted on, as in the source.
-MIXTURE_PCS = 50
+#: Components that all clusterings are fitted on, as in the source.
+COMPONENTS = 50
 
 
-def points(spark, d, k=8):
+def points(spark, d, k=COMPONENTS):
     """Embeddings projected to the leading components, the usual input of the clusterings."""
     rows = vectors(spark, d).select("id", "label", array_to_vector("vector").alias("raw"))
     out = reduce.fit_pca(rows, "raw", "features", k).transform(rows).select("id", "label", "features")
@@ -30,6 +30,14 @@ def q_kmeans(spark, d):
     return labeled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(round(cluster.silhouette(labeled), 6)))
 
 
+@query("kmeans_separable", "SELECT COUNT(*) AS n, CAST(COUNT(DISTINCT label % 3) AS BIGINT) AS n_labels FROM embeddings GROUP BY label % 3")
+def q_kmeans_separable(spark, d):
+    """Three points far from each other: every cluster is one of them."""
+    rows = vectors(spark, d).select("id", "label", array_to_vector(F.array((F.col("label") % 3 * 100).cast("double"), F.lit(1.0))).alias("features"))
+    labeled = cluster.kmeans_labels(cut_lineage(rows), 3)
+    return labeled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col("label") % 3).alias("n_labels")).drop("cluster")
+
+
 @query("elbow")
 def q_elbow(spark, d):
     return round_all(cluster.elbow(points(spark, d)), 4)
@@ -53,13 +61,13 @@ def q_silhouette_exact(spark, d):
 
 @query("gmm")
 def q_gmm(spark, d):
-    rows = points(spark, d, MIXTURE_PCS)
+    rows = points(spark, d)
     return round_all(cluster.gmm_profile(cluster.fit_gmm(rows, 3), rows), 4)
 
 
 @query("gmm_bic_aic")
 def q_bic(spark, d):
-    return round_all(cluster.gmm_bic_aic(points(spark, d, MIXTURE_PCS)), 3)
+    return round_all(cluster.gmm_bic_aic(points(spark, d)), 3)
 
 
 @query("hierarchical_clusters")
@@ -81,7 +89,7 @@ def q_agreement(spark, d):
 
 @query("kmeans_gmm_agreement")
 def q_km_gmm(spark, d):
-    rows = points(spark, d, MIXTURE_PCS)
+    rows = points(spark, d)
     km = cluster.kmeans_labels(rows, 3).select("id", F.col("cluster").alias("a"))
     gm = cluster.fit_gmm(rows, 3).transform(rows).select("id", F.col("cluster").alias("b"))
     return round_all(profile.adjusted_rand_index(km.join(gm, "id"), "a", "b"), 4)
