@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.registry import query
 from . import chat_format, conversation_repair, decontaminate, jaccard_join, language_id, line_dedup, multi_index, prefix_trie, secret_scan, sentencepiece_bpe, span_dedup, toxicity, url_filter
 from .ordered import ordered_digests
-from .tables import bounded_batches, fold_of, materialize, table
+from .tables import bounded_batches, fold_of, give_back, materialize, table
 
 #: Rules of the url filter.
 URL_RULES = (
@@ -75,7 +75,9 @@ def toxicity_model(spark: SparkSession, d: str, docs: DataFrame) -> toxicity.Mod
     bounded_batches(spark)
     labels = table(spark, d, "labels").where(fold_of(F.col("doc_id")) != 2)
     rows = toxicity.sample_rows(docs.select("doc_id", "text"), labels, TOXIC_ROWS).toPandas().sort_values(["toxic", "text"])
-    return toxicity.fit(rows["text"].tolist(), rows["toxic"].tolist())
+    model = toxicity.fit(rows.pop("text").tolist(), rows["toxic"].tolist())
+    give_back()
+    return model
 
 
 @query("op3_toxicity")

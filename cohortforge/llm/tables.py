@@ -45,17 +45,22 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Return freed memory of this Python process to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over batches that gives memory back to the system once its task has ended: workers are used again by later stages."""
 
     @functools.wraps(run)
     def wrapped(batches: Iterator) -> Iterator:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
 
     return wrapped
 
