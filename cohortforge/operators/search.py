@@ -66,6 +66,7 @@ class Trees:
     value: np.ndarray  # probability of class 1, or the value of a regression tree
     weight: np.ndarray  # of each tree
     boosted: bool
+    cover: np.ndarray  # weight of the training rows of each node
 
     def leaves_at(self, depth: int) -> np.ndarray:
         """Per node the node that answers for it once trees are cut at ``depth`` and two leaves of one class are one."""
@@ -135,9 +136,12 @@ def read_trees(model, spark: SparkSession) -> Trees:
         below = np.append(left[now], right[now])
         depth[below] = depth[parent[below]] + 1
         now = below
-    value = nodes["prediction"].to_numpy() if boosted else np.array([s[1] / sum(s) for s in nodes["impurityStats"]])
+    classes = hasattr(model, "numClasses") and not boosted
+    value = np.array([s[1] / sum(s) for s in nodes["impurityStats"]]) if classes else nodes["prediction"].to_numpy()
+    # the statistics of a node are counts per class, or count, sum and sum of squares
+    cover = np.array([sum(s) if classes else s[0] for s in nodes["impurityStats"]])
     weight = np.array(model.treeWeights) if boosted else np.ones(len(sizes))
-    return Trees(start, np.maximum(nodes["feature"].to_numpy(), 0), nodes["threshold"].fillna(0.0).to_numpy(), left, right, parent, depth, value, weight, boosted)
+    return Trees(start, np.maximum(nodes["feature"].to_numpy(), 0), nodes["threshold"].fillna(0.0).to_numpy(), left, right, parent, depth, value, weight, boosted, cover)
 
 
 def prefix_scores(model, settings: Sequence[dict], spark: SparkSession) -> Callable[[DataFrame, str, str], DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.exprs import round_all
-from ...operators import cluster, explain, learners
+from ...operators import cluster, explain, learners, trees
 from ...session import cut_lineage
 from ..registry import query
 from .learn import LN, PART_COLS, PT, lines, parts
@@ -114,6 +114,58 @@ def q_shapley_model(spark, d):
     return round_all(explain.shapley_summary(values), 5)
 
 
+RARE = """WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS id, CAST(l_quantity > 40 AS INT) AS a, CAST(l_discount > 0.05 AS INT) AS b, CAST(l_tax > 0.07 AS INT) AS c FROM lineitem),
+    la AS (SELECT *, CASE WHEN a = 1 AND (b = 1 OR c = 1) THEN 1 ELSE 0 END AS label FROM li)"""
+
+
+def rare_lines(spark, d):
+    """Order lines with three flags; the label needs the first and one of the others, so its tree is known."""
+    spark.read.parquet(f"{d}/lineitem.parquet").createOrReplaceTempView("lineitem")
+    rows = spark.sql(RARE + " SELECT id, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(c AS DOUBLE) AS c, CAST(label AS DOUBLE) AS label FROM la")
+    rows = cut_lineage(VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows))
+    return rows, trees.read_boxes(learners.fit_scorer("decision_tree", rows).model, spark)
+
+
+def _subset_sql() -> str:
+    """The Shapley value of each flag as the sum over all subsets of the others."""
+    def known(s: str) -> str:
+        a, b, c = (x if x in s else f"p{x}" for x in "abc")
+        return f"{a} * ({b} + (1 - {b}) * {c})"
+
+    parts = []
+    for j in "abc":
+        i, k = (x for x in "abc" if x != j)
+        gain = [f"{w} * ({known(s + j)} - {known(s)})" for s, w in (("", "1/3.0"), (i, "1/6.0"), (k, "1/6.0"), (i + k, "1/3.0"))]
+        parts.append(f"SELECT id, '{j}' AS feature, ROUND({' + '.join(gain)}, 6) AS attribution FROM la, p")
+    shares = "p AS (SELECT AVG(a) AS pa, AVG(CASE WHEN a = 1 THEN b END) AS pb, AVG(CASE WHEN a = 1 AND b = 0 THEN c END) AS pc FROM la)"
+    return f"{RARE}, {shares} {' UNION ALL '.join(parts)}"
+
+
+@query("tree_shapley", _subset_sql())
+def q_tree_shapley(spark, d):
+    rows, boxes = rare_lines(spark, d)
+    return round_all(trees.tree_shapley(rows, boxes, ["a", "b", "c"]), 6)
+
+
+@query(
+    "tree_partial_dependence",
+    RARE + """, v AS (SELECT unnest([0.0, 1.0]) AS v), l AS (SELECT AVG(CASE WHEN b = 1 OR c = 1 THEN 1e0 ELSE 0 END) AS bc, AVG(CASE WHEN a = 1 THEN 1e0 ELSE 0 END) AS a,
+    AVG(CASE WHEN a = 1 AND c = 1 THEN 1e0 ELSE 0 END) AS ac, AVG(CASE WHEN a = 1 AND b = 1 THEN 1e0 ELSE 0 END) AS ab FROM la)
+    SELECT 'a' AS feature, CAST(v AS DOUBLE) AS value, ROUND(v * bc, 9) AS mean_prediction FROM v, l UNION ALL SELECT 'b', v, ROUND(CASE WHEN v = 1 THEN a ELSE ac END, 9) FROM v, l
+    UNION ALL SELECT 'c', v, ROUND(CASE WHEN v = 1 THEN a ELSE ab END, 9) FROM v, l""",
+)
+def q_tree_pdp(spark, d):
+    rows, boxes = rare_lines(spark, d)
+    return round_all(trees.tree_partial_dependence(rows, boxes, ["a", "b", "c"], {c: [0.0, 1.0] for c in "abc"}), 9, keep=["value"])
+
+
+@query("tree_shapley_summary_model")
+def q_tree_shapley_model(spark, d):
+    """The registered tree at its full depth."""
+    score, rows = fitted_tree(spark, d)
+    return round_all(explain.shapley_summary(trees.tree_shapley(rows, trees.read_boxes(score.model, spark), PART_COLS)), 5)
+
+
 @query("local_surrogate")
 def q_surrogate(spark, d):
     score, rows = fitted_tree(spark, d, "logistic_regression")
