@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
-from ..session import shuffle_width
+from ..session import shuffle_width, spread
 
 _LOW_BITS = 12
+#: Baskets in a partition: FP-growth keeps each partition as objects and reads it whole.
+BASKETS_PER_TASK = 200_000
 
 
 def drop_noise_items(df: DataFrame, prefixes: Sequence[str], keep: Sequence[str], value: str = "No",
@@ -27,7 +29,7 @@ def frequent_itemsets(df: DataFrame, items: str = "items", min_support: float =
     """(items sorted, freq, support): FP-growth with its conditional trees spread over the executors."""
     n = df.count()
     parts = shuffle_width(df.sparkSession)  # conditional trees are spread over this many tasks
-    model = FPGrowth(itemsCol=items, minSupport=min_support, numPartitions=parts).fit(df.select(items))
+    model = FPGrowth(itemsCol=items, minSupport=min_support, numPartitions=parts).fit(spread(df.select(items), n, BASKETS_PER_TASK))
     return model.freqItemsets.select(
         F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.lit(float(max(n, 1)))).alias("support")
     )

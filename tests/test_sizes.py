@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from cohortforge.operators import neighbors
+from cohortforge.operators import neighbors, rules
 
 
 def vectors(spark, n, width, seed):
@@ -44,3 +44,13 @@ def test_neighbours_are_exact_over_cells_blocks_and_copies(spark):
         d[i] = np.inf
         want += [(i, int(j), d[j], r + 1) for r, j in enumerate(np.lexsort((np.arange(len(x)), d))[:4])]
     assert list(got.itertuples(index=False, name=None)) == want
+
+
+def test_baskets_are_mined_in_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(rules, "BASKETS_PER_TASK", 100, raising=False)
+    parts, real = [], rules.FPGrowth.fit
+    monkeypatch.setattr(rules.FPGrowth, "fit", lambda est, df: parts.append(df.rdd.getNumPartitions()) or real(est, df))
+    baskets = spark.range(1000, numPartitions=1).select(F.array(F.concat(F.lit("a"), F.col("id") % 2), F.concat(F.lit("b"), F.col("id") % 5)).alias("items"))
+    got = {tuple(r["items"]): r["freq"] for r in rules.frequent_itemsets(baskets, min_support=0.05).collect()}
+    assert parts == [10]
+    assert got[("a0",)] == 500 and got[("b3",)] == 200 and got[("a1", "b3")] == 100 and len(got) == 17
