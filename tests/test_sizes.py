@@ -4,9 +4,12 @@ import tracemalloc
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from cohortforge.operators import neighbors, rules
+from cohortforge.operators import learners, neighbors, reduce, rules
 
 
 def vectors(spark, n, width, seed):
@@ -54,3 +57,17 @@ def test_baskets_are_mined_in_bounded_partitions(spark, monkeypatch):
     got = {tuple(r["items"]): r["freq"] for r in rules.frequent_itemsets(baskets, min_support=0.05).collect()}
     assert parts == [10]
     assert got[("a0",)] == 500 and got[("b3",)] == 200 and got[("a1", "b3")] == 100 and len(got) == 17
+
+
+def test_forests_are_fitted_on_bounded_partitions(spark, monkeypatch):
+    rows = spark.range(60_000, numPartitions=1).select("id", (F.col("id") % 2).cast("double").alias("label"), array_to_vector(F.array((F.col("id") % 7).cast("double"))).alias("features"))
+    parts = []
+    for kind in (RandomForestClassifier, RandomForestRegressor):
+        real = kind._fit
+        monkeypatch.setattr(kind, "_fit", lambda est, df, real=real: parts.append(df.rdd.getNumPartitions()) or real(est, df))
+    few = {"numTrees": 2, "maxDepth": 2}
+    learners.fit_scorer("random_forest", rows, **few)
+    learners.train_regressor(rows, "random_forest", **few)
+    learners.train_classifier(rows.withColumn("x", F.col("id") % 3).drop("features"), ["x"], **few)
+    reduce.fit_from_importances(rows, "features", "label", "kept", RandomForestClassifier(**few), 1)
+    assert parts == [2, 2, 2, 2]
