@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage, spread
 from .profile import min_cluster_fraction
 
 K_RANGE = range(2, 11)
@@ -89,7 +91,7 @@ def gmm_log_likelihood(model, df: DataFrame, features: str = "features", floor:
             logs = []
             for mean, inv, logdet, lw in prepared:
                 d = x - mean
-                logs.append(lw - 0.5 * (np.einsum("ij,jk,ik->i", d, inv, d) + logdet + x.shape[1] * np.log(2 * np.pi)))
+                logs.append(lw - 0.5 * (((d @ inv) * d).sum(axis=1) + logdet + x.shape[1] * np.log(2 * np.pi)))
             m = np.vstack(logs)
             top = m.max(axis=0)
             yield pd.DataFrame({"ll": [float((top + np.log(np.exp(m - top).sum(axis=0))).sum())]})
@@ -98,16 +100,26 @@ def gmm_log_likelihood(model, df: DataFrame, features: str = "features", floor:
     return float(per_batch.agg(F.sum("ll")).first()[0])
 
 
-def gmm_bic_aic(df: DataFrame, ks: Sequence[int] = K_RANGE, features: str = "features", seed: int = 42, max_iter: int = 200) -> DataFrame:
-    """(k, log_likelihood, n_params, bic, aic)."""
+def gmm_bic_aic(df: DataFrame, ks: Sequence[int] = K_RANGE, features: str = "features", seed: int = 42, max_iter: int = 200,
+                parallelism: int = 9) -> DataFrame:
+    """(k, log_likelihood, n_params, bic, aic).
+
+    An iteration is a short job that one after another leaves most cores idle, so ``parallelism`` mixtures are fitted at a
+    time; the threads only submit Spark jobs.
+    """
     n = df.count()
-    rows = []
-    for k in ks:
-        model = fit_gmm(df, k, features, seed, max_iter)
+    points = spread(df, n)
+    points = df if points is df else cut_lineage(points)
+
+    def one(k: int) -> tuple:
+        model = fit_gmm(points, k, features, seed, max_iter)
         d = len(model.gaussiansDF.first()["mean"])
         p = (k - 1) + k * d + k * d * (d + 1) // 2
-        ll = gmm_log_likelihood(model, df, features)
-        rows.append((int(k), ll, int(p), -2 * ll + p * float(np.log(n)), -2 * ll + 2.0 * p))
+        ll = gmm_log_likelihood(model, points, features)
+        return int(k), ll, int(p), -2 * ll + p * float(np.log(n)), -2 * ll + 2.0 * p
+
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        rows = list(pool.map(one, ks))
     return df.sparkSession.createDataFrame(rows, "k int, log_likelihood double, n_params long, bic double, aic double")
 
 

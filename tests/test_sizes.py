@@ -1,15 +1,17 @@
 """What a task holds is bounded by the task, whatever the tables hold."""
 
+import threading
 import tracemalloc
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from cohortforge.operators import learners, neighbors, reduce, rules
+from cohortforge.operators import cluster, learners, neighbors, reduce, rules, trees
 
 
 def vectors(spark, n, width, seed):
@@ -71,3 +73,40 @@ def test_forests_are_fitted_on_bounded_partitions(spark, monkeypatch):
     learners.train_classifier(rows.withColumn("x", F.col("id") % 3).drop("features"), ["x"], **few)
     reduce.fit_from_importances(rows, "features", "label", "kept", RandomForestClassifier(**few), 1)
     assert parts == [2, 2, 2, 2]
+
+
+def two_at_a_time(monkeypatch, module, name):
+    """Every call waits for another one at the same time."""
+    meet, real = threading.Barrier(2, timeout=60), getattr(module, name)
+
+    def spy(*args, **kw):
+        meet.wait()
+        return real(*args, **kw)
+
+    monkeypatch.setattr(module, name, spy)
+
+
+def test_mixtures_are_fitted_side_by_side(spark, monkeypatch):
+    two_at_a_time(monkeypatch, cluster, "fit_gmm")
+    x = np.random.default_rng(7).normal(size=(200, 2)) + np.repeat([[0, 0], [9, 9]], 100, axis=0)
+    df = spark.createDataFrame([(Vectors.dense(v.tolist()),) for v in x], ["features"])
+    got = cluster.gmm_bic_aic(df, ks=[2, 3], max_iter=20).orderBy("k").collect()
+    assert [r["k"] for r in got] == [2, 3] and [r["n_params"] for r in got] == [11, 17] and got[0]["bic"] < got[1]["bic"]
+
+
+def test_folds_of_a_neighbour_search_run_side_by_side(spark, monkeypatch):
+    two_at_a_time(monkeypatch, learners, "knn_join")
+    rows = [(i, i % 2, (i // 2) % 2, Vectors.dense([float(i % 2) * 10 + i / 100, 1.0])) for i in range(40)]
+    df = spark.createDataFrame(rows, ["id", "label", "fold", "features"])
+    best, out = learners.knn_search(df, {"k": [1, 3]}, scoring="accuracy", scale=False)
+    assert best["score"] == 1.0 and {r["params"]: r["mean"] for r in out.collect()} == {"k=1, weights=uniform": 1.0, "k=3, weights=uniform": 1.0}
+
+
+def test_explained_rows_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(trees, "EXPLAINED_PER_TASK", 100, raising=False)
+    rows = spark.range(1000, numPartitions=1).select("id", (F.col("id") % 2).cast("double").alias("label"), array_to_vector(F.array((F.col("id") % 2).cast("double"), F.lit(0.0))).alias("features"))
+    boxes = trees.read_boxes(learners.fit_scorer("decision_tree", rows, maxDepth=2).model, spark)
+    got = trees.tree_shapley(rows, boxes, ["a", "b"])
+    assert got.rdd.getNumPartitions() == 10
+    sums = {(r["feature"], r["id"] % 2): r["attribution"] for r in got.collect()}
+    assert sums[("a", 1)] == 0.5 and sums[("a", 0)] == -0.5 and sums[("b", 1)] == 0.0 and got.count() == 2000
