@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_col
+from ..session import spread
 from .search import Trees, read_trees
 
 #: Rows times intervals that are held at once, and intervals that are looked at together.
 CELLS, TOGETHER = 2_000_000, 20_000
+#: Rows of a task that explains them: every row meets every interval, so few rows are much work.
+EXPLAINED_PER_TASK = 4_000
 
 
 @dataclass
@@ -148,7 +151,7 @@ def tree_shapley(df: DataFrame, boxes: Boxes, names: Sequence[str], features: st
     """(id, feature, attribution): exact attributions; those of a row and ``boxes.base`` add up to its prediction.
 
     Features that no split uses get 0. Rows without a vector or an id are kept out; a missing (nan) value goes the way
-    the model sends it. The model is broadcast; rows are not shuffled.
+    the model sends it. The model is broadcast; rows are dealt out only where one partition would hold many.
     """
     kind, shared, d = dict(df.dtypes)[row_id], df.sparkSession.sparkContext.broadcast(boxes), len(names)
 
@@ -159,7 +162,7 @@ def tree_shapley(df: DataFrame, boxes: Boxes, names: Sequence[str], features: st
                 yield pd.DataFrame({row_id: pdf["rid"].repeat(d).to_numpy(), "feature": list(names) * len(pdf), "attribution": got.ravel()})
 
     rows = df.select(as_col(row_id).alias("rid"), vector_to_array(features).alias("x")).where("rid is not null and x is not null")
-    return rows.mapInPandas(run, f"`{row_id}` {kind}, feature string, attribution double")
+    return spread(rows, df.count(), EXPLAINED_PER_TASK).mapInPandas(run, f"`{row_id}` {kind}, feature string, attribution double")
 
 
 def tree_partial_dependence(df: DataFrame, boxes: Boxes, names: Sequence[str], grid: Mapping[str, Sequence[float]],
