@@ -162,10 +162,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     rows = rows.join(F.broadcast(bits), F.shiftright("k", ROW_BITS) == F.col("bucket"))  # of fixed size
     place = F.col("k").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).cast("int")
     byte = F.conv(F.hex(F.substring("map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    # equal rows are one text
-    rows = rows.where(F.getbit(byte, place % 8) == 1).groupBy("of_doc", "of_ver").agg(F.first("text").alias("text"))
+    # equal rows are one text; the join has the keys of the grouping, a null id as one of them, so texts are shuffled once
+    keys = lambda doc, ver: {"of_id": F.coalesce(doc, F.lit(0).cast("long")), "of_none": F.isnull(doc), "of_ver": F.col(ver)}
+    rows = rows.where(F.getbit(byte, place % 8) == 1).withColumns(keys("of_doc", "of_ver")).groupBy("of_id", "of_none", "of_ver").agg(F.first("text").alias("text"))
     columns = [c for c in wanted.columns if c not in ("doc", "ver")]
-    found = wanted.join(rows, (F.col("ver") == F.col("of_ver")) & F.col("doc").eqNullSafe(F.col("of_doc"))).select("text", *columns)
+    found = wanted.withColumns(keys("doc", "ver")).join(rows, ["of_id", "of_none", "of_ver"]).select("text", *columns)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(width)
@@ -335,19 +336,22 @@ def _every_pair(rows: DataFrame, percent: int) -> DataFrame:
     return _often(shared.join(groups, "token").where(asks & (larger | smaller)), percent)
 
 
-def _meet(candidates: DataFrame, asked: DataFrame, groups: DataFrame, compare, schema: str) -> DataFrame:
-    """Queries (cid, what) of ``candidates`` (cid, n, name, part) and rows (name, part, cid, what) of the same group meet, at most about QUERIES queries at a time.
+def _shares(candidates: DataFrame) -> DataFrame:
+    """(name, part, shares): in how many shares of at most about QUERIES queries each group is asked."""
+    return materialize(candidates.groupBy("name", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares")), "shares")
+
+
+def _meet(candidates: DataFrame, many: DataFrame, asked: DataFrame, groups: DataFrame, compare, schema: str) -> DataFrame:
+    """Queries (cid, what) of ``candidates`` (cid, n, name, part) and rows (name, part, shares, cid, what) of the same group meet, a share of ``many`` at a time.
 
     ``compare`` gets the key of a group, its queries and its rows, many groups in one task.
     """
     rows, mean = candidates.count(), asked.agg(F.avg(F.length("what"))).first()[0] or 0
-    many = candidates.groupBy("name", "part").agg(F.ceil(F.count("*") / QUERIES).alias("shares"))
-    many = materialize(many, "shares")
     bucket = F.pmod(F.xxhash64("name", "part", "share"), F.lit(max(1, -(-int(rows * mean) // BUCKET))))
     queries = candidates.join(many, ["name", "part"]).withColumn("share", F.pmod(F.xxhash64("cid"), F.col("shares"))).join(asked, "cid")
     left = queries.select(bucket.alias("bucket"), "cid", "n", "what", "name", "part", "share")
     share = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
-    group = groups.join(many, ["name", "part"]).select("name", "part", share.alias("share"), "cid", "what")
+    group = groups.select("name", "part", share.alias("share"), "cid", "what")
     right = group.select(bucket.alias("of"), *[F.col(c).alias(f"of_{c}") for c in ("name", "part", "share", "cid", "what")])
 
     def run(asked: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
@@ -365,7 +369,7 @@ def _overlap(tokens: np.ndarray, q: np.ndarray) -> int:
 
 
 def _unions(members: DataFrame) -> DataFrame:
-    """(name, part, cid, what) of the members of groups -> (name, part, cid, what): the union of all tokens of each group.
+    """(name, part, shares, cid, what) of the members of groups -> the same columns: the union of all tokens of each group.
 
     A group of one class keeps its cid, else cid is -1.
     """
@@ -374,22 +378,28 @@ def _unions(members: DataFrame) -> DataFrame:
         out = []
         for (name, part), at in pdf.groupby(["name", "part"]).indices.items():
             sets = [np.frombuffer(pdf["what"][i], np.uint64) for i in at]
-            out.append((name, part, pdf["cid"][at[0]] if len(at) == 1 else -1, np.unique(np.concatenate(sets)).tobytes()))
-        return pd.DataFrame(out, columns=["name", "part", "cid", "what"])
+            out.append((name, part, pdf["shares"][at[0]], pdf["cid"][at[0]] if len(at) == 1 else -1, np.unique(np.concatenate(sets)).tobytes()))
+        return pd.DataFrame(out, columns=["name", "part", "shares", "cid", "what"])
 
     bucket = F.pmod(F.xxhash64("name", "part"), F.lit(_buckets(members, F.length("what"))))
-    return members.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(union, "name long, part long, cid long, what binary")
+    return members.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(union, "name long, part long, shares long, cid long, what binary")
 
 
 def _links(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) of the queries with members of their groups, found by the bound of the union and then by the sets."""
+    """Links (a, b) of the queries with members of their groups, found by the bound of the union and then by the sets.
+
+    What a set is for, its group with its shares and whether it asks, is joined before its tokens are there: sets move
+    only to where they are compared.
+    """
     candidates = materialize(candidates, "candidates")
-    inside = grouped.join(candidates.select("name", "part").distinct(), ["name", "part"]).select("cid", "doc", "ver")
-    asking = grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "ver")
-    wanted = materialize(inside.unionAll(asking).dropDuplicates(["cid"]), "wanted")
-    sets = materialize(_sets(docs, wanted, width).select("cid", F.col("tokens").alias("what")), "sets")
-    groups = grouped.select("name", "part", "cid").join(candidates.select("name", "part").distinct(), ["name", "part"])
-    members = groups.join(sets, "cid").select("name", "part", "cid", "what")
+    many = _shares(candidates)
+    inside = grouped.join(many, ["name", "part"]).select("cid", "doc", "ver", "name", "part", "shares", F.lit(False).alias("asks"))
+    asking = grouped.join(candidates.select("cid").distinct(), "cid").select("cid", "doc", "ver", "name", "part", F.lit(None).cast("long").alias("shares"), F.lit(True).alias("asks"))
+    once = inside.unionAll(asking).groupBy("cid").agg(*[F.max(c).alias(c) for c in ("shares", "asks")], *[F.first(c).alias(c) for c in ("doc", "ver", "name", "part")])
+    wanted = materialize(once, "wanted")
+    sets = materialize(_sets(docs, wanted, width).withColumnRenamed("tokens", "what"), "sets")
+    members = sets.where("shares is not null").select("name", "part", "shares", "cid", "what")
+    asked = sets.where("asks").select("cid", "what")
     unions = materialize(_unions(members), "unions")
 
     def bound(key, asked: list, union: list) -> list:
@@ -414,11 +424,12 @@ def _links(docs: DataFrame, grouped: DataFrame, candidates: DataFrame, width: in
                             break  # the group is one piece already
         return found
 
-    qualifying = materialize(_meet(candidates, sets, unions, bound, "cid long, n long, name long, part long"), "qualifying")
-    discard(unions, wanted)
-    opened = members.join(qualifying.select("name", "part").distinct(), ["name", "part"])
-    links = materialize(_meet(qualifying, sets, opened, compare, "a long, b long"), "links")
-    discard(candidates, qualifying, sets)
+    qualifying = materialize(_meet(candidates, many, asked, unions, bound, "cid long, n long, name long, part long"), "qualifying")
+    discard(unions, wanted, many)
+    many = _shares(qualifying)
+    opened = members.drop("shares").join(many, ["name", "part"])
+    links = materialize(_meet(qualifying, many, asked, opened, compare, "a long, b long"), "links")
+    discard(candidates, qualifying, sets, many)
     return links
 
 

@@ -173,3 +173,20 @@ def test_near_copies_without_an_id_cost_about_their_rows(spark, make_docs, monke
     assert sorted(r[0] for r in without.groupBy("component").agg(F.count("*")).select("count(1)").collect()) == groups
     assert groups[-1] > 250
     assert all(max(sizes[name]) <= 4 * len(texts) for name in ("sets", "candidates", "qualifying", "links", "linked", "unions"))
+
+
+def test_texts_are_shuffled_once_and_sets_carry_what_they_are_for(spark, make_docs):
+    docs = make_docs([(1, "a b c d"), (1, "a b c d"), (1, "other"), (None, "without an id"), (0, "without an id"), (2, None)])
+    ids = docs.selectExpr("doc_id AS doc", "xxhash64(text) AS ver", "text").where("text <> 'other'").distinct()
+    wanted = ids.where("text IS NOT NULL").selectExpr("hash(doc, ver) AS cid", "doc", "ver", "text = 'a b c d' AS asks")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = jaccard_join._sets(docs, spark.createDataFrame(wanted.collect(), wanted.schema), 2)
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r["asks"], len(r["tokens"])) for r in sets.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the bitmap, the wanted rows, and the texts once
+    assert len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", plan)) == 3, plan
+    assert got == [(False, 16), (False, 16), (True, 24)]
