@@ -92,3 +92,11 @@ def test_search_result(spark, rows):
     assert table.agg(F.count("*")).first()[0] == 2
     assert found.means[found.best] == max(found.means) > 0.7
     assert found.bestModel.coefficients.size == 3
+
+
+def test_forests_keep_the_nodes_of_rows_and_grow_the_same_trees(rows):
+    kept = learners.make_classifier("random_forest", 400, numTrees=5)
+    walked = learners.make_classifier("random_forest", 400, numTrees=5, cacheNodeIds=False)
+    assert kept.getCacheNodeIds() and kept.getMaxDepth() == 30
+    shown = [m.fit(rows).toDebugString.split("\n", 1)[1] for m in (kept, walked)]
+    assert shown[0] == shown[1]
