@@ -100,3 +100,25 @@ def test_forests_keep_the_nodes_of_rows_and_grow_the_same_trees(rows):
     assert kept.getCacheNodeIds() and kept.getMaxDepth() == 30
     shown = [m.fit(rows).toDebugString.split("\n", 1)[1] for m in (kept, walked)]
     assert shown[0] == shown[1]
+
+
+def test_linear_fits_read_few_partitions(spark, rows, monkeypatch):
+    spread_out, seen = rows.repartition(6).cache(), []
+    real = learners.make_classifier
+
+    def spy(name, *args, **kw):
+        est = real(name, *args, **kw)
+        fit = est.fit
+        est.fit = lambda df: seen.append((name, df.rdd.getNumPartitions())) or fit(df)
+        return est
+
+    monkeypatch.setattr(learners, "make_classifier", spy)
+    monkeypatch.setattr(learners, "compact", lambda df, n: df)
+    found, _ = learners.grid_search(spread_out, "logistic_regression", {"C": [0.1, 1.0]})
+    assert found.bestModel.coefficients.size == 3
+    learners.fit_fold_steps("sgd_classifier", spread_out)
+    learners.fit_fold_steps("decision_tree", spread_out)
+    assert {n for _, n in seen[:-1]} == {1} and seen[-1] == ("decision_tree", 6)
+    monkeypatch.setattr(learners, "NUMBERS_PER_TASK", 400)  # 3 numbers a row
+    assert learners.gathered(spread_out, 400, "features").rdd.getNumPartitions() == 3
+    assert learners.gathered(spread_out.where("false"), 0, "features").count() == 0
