@@ -93,7 +93,7 @@ def least_overlap(n, percent: int):
 
 
 def _sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """How often the tokens of each of 2**SKETCH_BITS slots occur."""
+    """How often the tokens of each of 2**SKETCH_BITS slots occur: a level of one byte, which alone reaches the driver."""
     size = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,20 +110,19 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
         for pdf in batches:
             for part, counts in zip(pdf["part"], pdf["counts"]):
                 total[part] = total.get(part, 0) + np.frombuffer(counts, np.int32).astype(np.int64)
-        yield pd.DataFrame({"part": list(total), "counts": [x.tobytes() for x in total.values()]})
+        levels = [np.minimum(np.log2(x + 1) * 6, 255).astype(np.uint8).tobytes() for x in total.values()]
+        yield pd.DataFrame({"part": list(total), "counts": levels})
 
     schema = "part int, counts binary"
-    out = np.zeros(size, np.int64)
+    out = np.zeros(size, np.uint8)
     for r in docs.select("text").mapInPandas(lean(count), schema).repartition(PARTS // 4, "part").mapInPandas(add, schema).collect():  # PARTS rows
-        out[r["part"] * (size // PARTS) : (r["part"] + 1) * (size // PARTS)] = np.frombuffer(r["counts"], np.int64)
+        out[r["part"] * (size // PARTS) : (r["part"] + 1) * (size // PARTS)] = np.frombuffer(r["counts"], np.uint8)
     return out
 
 
 def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc, ver, n, cls, least, prefix): hash of the text, size, digest of the set, its minimum hash, first tokens in the global order."""
-    counts = _sketch(docs, width)
-    level = np.minimum(np.log2(counts + 1) * 6, 255).astype(np.uint64)
-    shared = Shared(docs.sparkSession, level)  # of fixed size
+    shared = Shared(docs.sparkSession, _sketch(docs, width))  # of fixed size
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, level = Shingles(width), shared.value
@@ -136,7 +135,7 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if len(s):
                     mixed = s * M
                     least.append(int((mixed ^ (mixed >> np.uint64(31))).min().view(np.int64)))
-                    key = (level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] << np.uint64(56)) | (s >> np.uint64(8))
+                    key = (level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
                     first = min(len(s), len(s) - least_overlap(len(s), percent) + SHARED)
                     at = np.argpartition(key, first - 1)[:first]
                     prefix.append(s[at[np.argsort(key[at])]].tobytes())

@@ -75,7 +75,10 @@ def toxicity_model(spark: SparkSession, d: str, docs: DataFrame) -> toxicity.Mod
     bounded_batches(spark)
     labels = table(spark, d, "labels").where(fold_of(F.col("doc_id")) != 2)
     rows = toxicity.sample_rows(docs.select("doc_id", "text"), labels, TOXIC_ROWS).toPandas().sort_values(["toxic", "text"])
-    model = toxicity.fit(rows.pop("text").tolist(), rows["toxic"].tolist())
+    texts, toxic = rows["text"].tolist(), rows["toxic"].tolist()
+    del rows
+    give_back()
+    model = toxicity.fit(texts, toxic)
     give_back()
     return model
 

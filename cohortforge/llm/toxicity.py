@@ -25,7 +25,7 @@ rows; columns named ``score`` or ``predicted`` give way to the results, all othe
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -44,7 +44,8 @@ COMBOS = [(0, *c) for c in combinations(range(1, SPAN), P - 1)]
 WEIGHTS = np.array([DECAY ** (c[-1] - P + 1) for c in COMBOS], dtype=np.float32)
 #: Characters fall into 64 classes: end marks, digits, letters; rare letters share classes by code.
 END, CLASSES = 1, 64
-MEMORY = 250_000
+#: Words that a scorer remembers, and of which the fit remembers the pieces.
+MEMORY, FIT_MEMORY = 250_000, 30_000
 #: Characters cut into words at once (a longer text goes whole).
 CHUNK = 1_000_000
 SINGLES = 4
@@ -150,20 +151,26 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.memory = model, {}
-        self.table = np.zeros(1 << 24, np.float32)  # untouched pages take no memory
-        self.table[model.keys] = model.weights
+        first = np.unique(model.keys >> 12)  # a block of the table for every first two characters that have weights, block 0 for all others
+        self.block = np.zeros(1 << 12, np.int32)
+        self.block[first] = np.arange(1, len(first) + 1) << 12
+        self.table = np.zeros(len(first) + 1 << 12, np.float32)
+        self.table[self.places(model.keys)] = model.weights
         self.values = np.zeros(1 << 16, np.float32)
         self.flags = np.zeros(1 << 16, np.uint8)
 
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return self.block[keys >> 12] + (keys & 4095)
+
     def framed(self, framed: list[str]) -> np.ndarray:
-        """Values of framed words: one look-up per subsequence."""
+        """Values of framed words: a look-up per subsequence."""
         out = []
         for s in range(0, len(framed), 4000):
             part = framed[s : s + 4000]
             of, lengths = word_of(part)
             sums = np.zeros(len(of), np.float32)
             for k, at, w in subsequences(part):
-                sums[at] += self.table[k] * np.float32(w)
+                sums[at] += self.table[self.places(k)] * np.float32(w)
             starts = np.cumsum(lengths) - lengths
             out.append(np.add.reduceat(sums, starts) / NORM_OF[lengths] + self.model.bias)
         return np.concatenate(out).astype(np.float32) if out else np.zeros(0, np.float32)
@@ -264,10 +271,30 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
-class _Known(dict):
-    def __missing__(self, word: str) -> list[str]:
-        self[word] = cut = pieces(word)
-        return cut
+def _numbered(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different pieces of all texts, sorted; the place there of each piece in turn; where its sentences and its
+    texts begin; the first sentence of each text, their number last. A few bytes a word: the driver holds them all at once."""
+    number: dict[str, int] = {}
+    known: dict[str, tuple[int, ...]] = {}
+    flat, sentences, begins, firsts = array("i"), array("q"), array("q"), array("q")
+    for t in texts:
+        begins.append(len(flat))
+        firsts.append(len(sentences))
+        for s in re.split(r"(?<=[.!?])\s+", t.lower()):
+            start = len(flat)
+            for w in s.split():
+                if w not in known:
+                    if len(known) >= FIT_MEMORY:
+                        known.clear()
+                    known[w] = tuple(number.setdefault(x, len(number)) for x in pieces(w))
+                flat.extend(known[w])
+            if len(flat) > start:
+                sentences.append(start)
+    firsts.append(len(sentences))
+    words = sorted(number)
+    place = np.zeros(len(words), np.int32)
+    place[[number[w] for w in words]] = np.arange(len(words))
+    return words, place[np.array(flat, np.int32)], np.array(sentences, np.int64), np.array(begins, np.int64), np.array(firsts, np.int64)
 
 
 def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int = 3, ridge: float = 1.0) -> Model:
@@ -275,42 +302,45 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int =
     y = np.array(toxic)
     if len(set(toxic)) < 2:
         return Model()
-    known = _Known()  # every word is kept once
-    split = [[[x for w in s.split() for x in known[w]] for s in re.split(r"(?<=[.!?])\s+", t.lower())] for t in texts]
-    inside, outside = Counter(), Counter()
-    for d, label in zip(split, toxic):
-        (inside if label else outside).update({w for s in d for w in s})
+    words, flat, sentences, begins, firsts = _numbered(texts)
+    inside, outside = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    for d, label in zip(np.split(flat, begins[1:]), toxic):
+        (inside if label else outside)[np.unique(d)] += 1
     hot, cold = max(1, y.sum()), max(1, (1 - y).sum())
-    odds = lambda w: np.log((inside[w] + 0.3) / (hot + 1)) - np.log((outside[w] + 0.3) / (cold + 1))
-    gain = {w: odds(w) * np.sqrt(inside[w]) for w in inside if inside[w] > 1}
-    best = sorted(gain, key=lambda w: (-gain[w], w))[: landmarks // 2]
-    often = sorted((w for w in outside if w not in set(best)), key=lambda w: (-outside[w], w))
-    chosen = best + often[: 4 * landmarks : 4][: landmarks - len(best)]
+    odds = np.log((inside + 0.3) / (hot + 1)) - np.log((outside + 0.3) / (cold + 1))
+    several = np.flatnonzero(inside > 1)
+    best = several[np.argsort(-odds[several] * np.sqrt(inside[several]), kind="stable")][: landmarks // 2]  # of equal ones the first word
+    rest = np.setdiff1d(np.flatnonzero(outside), best)
+    often = rest[np.argsort(-outside[rest], kind="stable")]
+    chosen = [words[i] for i in [*best, *often[: 4 * landmarks : 4][: landmarks - len(best)]]]
     kinds, table = landmark_features(chosen)
     values, vectors = np.linalg.eigh(kernel(chosen, kinds, table).astype(np.float64))
     root = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)) @ vectors.T
-    score = {w: odds(w) if inside[w] > 1 else 0.0 for w in inside.keys() | outside.keys()}
+    score = np.where(inside > 1, odds, 0.0)
     model = Model()
     for turn in range(rounds):
-        words, labels, weights = [], [], []
-        for d, label in zip(split, toxic):
-            picks = [(max((score[w], w) for w in s)) for s in d if s]
-            if not picks:
+        order = np.argsort(score, kind="stable")
+        rank = np.zeros(len(words), np.int32)
+        rank[order] = np.arange(len(words))
+        most = np.maximum.reduceat(rank[flat], sentences) if len(sentences) else rank[:0]  # of each sentence
+        chosen, labels, weights = [], [], []
+        for begin, end, label in zip(firsts[:-1], firsts[1:], toxic):
+            picks = most[begin:end]
+            if not len(picks):
                 continue
             if label:  # a toxic text need not be toxic in every sentence, but in one
-                top = max(picks)
-                keep = [p for p in picks if p[0] > (1.5 if turn == 0 else 0)] or ([top] if turn == 0 else [])
+                keep = picks[score[order[picks]] > (1.5 if turn == 0 else 0)]
+                if turn == 0 and not len(keep):
+                    keep = picks.max(keepdims=True)
             else:
-                keep = sorted(picks, reverse=True)[:5] + picks[:: max(1, len(picks) // 5)]
-            if not keep:
-                continue
-            words += [w for _, w in keep]
+                keep = np.append(np.sort(picks)[::-1][:5], picks[:: max(1, len(picks) // 5)])
+            chosen += [words[i] for i in order[keep]]
             labels += [1 if label else -1] * len(keep)
-            weights += [1 / len(keep)] * len(keep)
+            weights += [1 / len(keep)] * len(keep) if len(keep) else []
         # the most telling words once more, each with a letter inserted in turn at every inner place
-        spread = [(w[:i] + "aeixz"[i % 5] + w[i:], w) for w in best[: landmarks // 4] for i in range(3, len(w) - 1)] if turn else []
-        spread = [(v, w) for v, w in spread if score[w] > 0.5]
-        words += [v for v, _ in spread]
+        telling = [words[i] for i in best[: landmarks // 4] if score[i] > 0.5] if turn else []
+        spread = [w[:i] + "aeixz"[i % 5] + w[i:] for w in telling for i in range(3, len(w) - 1)]
+        chosen += spread
         labels += [1] * len(spread)
         weights += [0.3] * len(spread)
         if len(set(labels)) < 2:
@@ -318,14 +348,14 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int =
         yy, ww = np.array(labels, float), np.array(weights)
         for s in (1, -1):
             ww[yy == s] *= len(yy) / 2 / ww[yy == s].sum()
-        different, at = np.unique(np.array(words, object), return_inverse=True)
+        different, at = np.unique(np.array(chosen, object), return_inverse=True)
         x = np.hstack([kernel(list(different), kinds, table) @ root.astype(np.float32), np.ones((len(different), 1), np.float32)])
         side = np.bincount(at, ww * yy), np.bincount(at, ww)
         w = _svm(x, (side[1] + side[0]) / 2, (side[1] - side[0]) / 2, ridge)
         alpha = root @ w[:-1]
         model = Model(kinds, (table @ alpha).astype(np.float32), float(w[-1]))
-        everything = sorted(score)
-        score = dict(zip(everything, Scorer(model).framed(everything).tolist()))
+        score = Scorer(model).framed(words).astype(np.float64)
+    del words, flat  # before the words of the texts are remembered
     scorer = Scorer(model)
     model.curve = _logistic(document_features(scorer.sentences(texts)), y)
     return model

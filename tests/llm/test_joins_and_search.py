@@ -66,6 +66,18 @@ def test_join_edges(odd_docs, make_docs):
     assert sorted(tuple(r)[0] for r in only_empty) == [1, 2]
 
 
+def test_sketch_reaches_the_driver_as_one_byte_a_slot(make_docs):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(400)) for _ in range(30)] + [None, ""]
+    counts = np.zeros(1 << jaccard_join.SKETCH_BITS, np.int64)
+    shingles = jaccard_join.Shingles(3)
+    for t in texts:
+        np.add.at(counts, (shingles.all(t) >> np.uint64(64 - jaccard_join.SKETCH_BITS)).astype(np.int64), 1)
+    got = jaccard_join._sketch(make_docs(list(enumerate(texts))), 3)
+    assert got.nbytes == 1 << jaccard_join.SKETCH_BITS
+    assert (got == np.minimum(np.log2(counts + 1) * 6, 255).astype(np.int64)).all() and counts.max() > 20
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 60)] + [(3, 4), (4, 3), (70, 70)]

@@ -5,8 +5,10 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +196,26 @@ def test_folded_weights_equal_the_landmark_expansion(insult_model):
     assert scorer.framed(words) == pytest.approx([dense[w] for w in words], abs=1e-4)
 
 
+def test_scorer_table_holds_the_blocks_with_weights_only(insult_model):
+    scorer = toxicity.Scorer(insult_model)
+    assert scorer.table.nbytes < 16 << 20  # one cell for every key there could be takes 64 MB
+    keys = np.concatenate([insult_model.keys, np.random.default_rng(3).integers(0, 1 << 24, 10_000)])
+    weight = dict(zip(insult_model.keys.tolist(), insult_model.weights.tolist()))
+    assert scorer.table[scorer.places(keys)].tolist() == [weight.get(k, 0.0) for k in keys.tolist()]
+
+
+def test_fit_takes_few_bytes_a_word():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(40_000)]
+    texts = [". ".join(" ".join(rng.choices(words, k=8)) for _ in range(25)) + (" blockhead" if i % 2 else "") for i in range(1000)]
+    tracemalloc.start()
+    model = toxicity.fit(texts, [i % 2 for i in range(1000)], landmarks=16)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.curve is not None
+    assert most < 45e6  # 200,000 words, 40,000 of them different
+
+
 def test_toxicity_edges(odd_docs, spark):
     assert toxicity.fit(["a", "b"], [1, 1]).curve is None
     rows = toxicity.score_texts(odd_docs, toxicity.Model()).collect()
