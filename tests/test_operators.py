@@ -437,6 +437,50 @@ def test_failed_fold_leaves_the_rest(spark, monkeypatch):
     assert metrics["one_r", 1, "accuracy"] > 0 and metrics["zero_r", 0, "accuracy"] > 0
 
 
+def breaking(monkeypatch, lost):
+    """Fits of one_r that fail where ``lost`` says so of their training side."""
+    real = learners.fit_fold_steps
+
+    def fit(name, train, *args, **kw):
+        if name == "one_r" and lost(train):
+            raise RuntimeError("broken")
+        return real(name, train, *args, **kw)
+
+    monkeypatch.setattr(learners, "fit_fold_steps", fit)
+
+
+def test_failed_fold_ends_a_run_that_must_be_whole(spark, monkeypatch, tmp_path):
+    rows, store, bad = learners_table(spark), str(tmp_path / "oof"), [0]
+    breaking(monkeypatch, lambda train: train.where("fold = 0").isEmpty() and bad)
+    with pytest.warns(RuntimeWarning), pytest.raises(RuntimeError, match="1 of 6 fits failed: one_r on fold 0: broken"):
+        learners.run_cv(rows, ["one_r", "zero_r"], store=store, failed="raise")
+    with pytest.warns(RuntimeWarning):  # the failed fold left no result: it is tried again
+        assert learners.run_cv(rows, ["one_r", "zero_r"], store=store).where("y_pred is null").count() == 20
+    bad.clear()
+    oof = learners.run_cv(rows, ["one_r", "zero_r"], store=store, failed="raise")
+    assert oof.count() == 120 and oof.where("y_pred is null or y_prob is null").isEmpty()
+    with pytest.raises(RuntimeError, match="one class only"):
+        learners.run_cv(rows.withColumn("label", F.lit(1)), ["one_r"], failed="raise")
+    with pytest.raises(ValueError):
+        learners.run_cv(rows, ["one_r"], failed="maybe")
+
+
+def test_comparison_of_strategies_needs_every_fold(spark, monkeypatch):
+    breaking(monkeypatch, lambda train: train.where("fold = 1").isEmpty())
+    with pytest.warns(RuntimeWarning), pytest.raises(RuntimeError, match="one_r on fold 1"):
+        learners.imbalance_compare(learners_table(spark), "one_r")
+
+
+@pytest.mark.parametrize("key", ["imbalance_compare", "run_cv", "cross_validate", "run_cv_baseline", "cross_validate_baseline"])
+def test_queries_do_not_return_failed_fits(spark, data, monkeypatch, key):
+    def fails(*args, **kw):
+        raise RuntimeError("broken")
+
+    monkeypatch.setattr(learners, "fit_fold_steps", fails)
+    with pytest.warns(RuntimeWarning), pytest.raises(RuntimeError, match="fits failed"):
+        __import__("__spark_entry__").queries()[key](spark, data)
+
+
 def learners_table(spark):
     from pyspark.ml.feature import VectorAssembler
 
