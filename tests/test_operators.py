@@ -471,7 +471,7 @@ def test_comparison_of_strategies_needs_every_fold(spark, monkeypatch):
         learners.imbalance_compare(learners_table(spark), "one_r")
 
 
-@pytest.mark.parametrize("key", ["imbalance_compare", "run_cv", "cross_validate", "run_cv_baseline", "cross_validate_baseline"])
+@pytest.mark.parametrize("key", ["knn_out_of_fold", "imbalance_compare", "run_cv", "cross_validate", "run_cv_baseline", "cross_validate_baseline"])
 def test_queries_do_not_return_failed_fits(spark, data, monkeypatch, key):
     def fails(*args, **kw):
         raise RuntimeError("broken")
