@@ -15,7 +15,7 @@ def rows(spark):
 
 
 def probabilities(trees, rows):
-    got = grown.score_trees(trees, rows, "features", ["id"]).collect()
+    got = grown.score_trees(trees, rows, "features").select("id", "y_prob").collect()
     return {r["id"]: r["y_prob"] for r in got}
 
 
@@ -81,6 +81,25 @@ def test_nested_tables_are_the_same_too(spark, monkeypatch, model, grid):
     assert all(here[i][:-1] == there[i][:-1] and here[i][-1] == pytest.approx(there[i][-1], abs=1e-9) for i in here)
 
 
+@pytest.mark.parametrize("weight", [False, True])
+def test_out_of_fold_boosting_is_that_of_spark(spark, rows, monkeypatch, weight):
+    """Weights are such that their sums are exact in any order; else ties of two splits fall either way."""
+    params = {"gradient_boosting": {"maxIter": 6, "maxDepth": 4}}
+    monkeypatch.setattr(learners, "weight_column", lambda counts, label: F.when(F.col(label) == 1, 2.0).otherwise(0.5))
+    imbalance = "class_weight" if weight else "none"
+    here = {r["id"]: r for r in learners.run_cv(rows, ["gradient_boosting"], imbalance=imbalance, params=params, failed="raise").collect()}
+    monkeypatch.setattr(grown, "HELD_NUMBERS", 0)
+    there = {r["id"]: r for r in learners.run_cv(rows, ["gradient_boosting"], imbalance=imbalance, params=params, failed="raise").collect()}
+    assert len(here) == 400 and here.keys() == there.keys()
+    assert [here[i]["y_prob"] for i in there] == pytest.approx([r["y_prob"] for r in there.values()], abs=1e-9)
+    assert all(here[i]["y_pred"] == r["y_pred"] for i, r in there.items())
+
+
+def test_run_cv_does_not_fit_boosting_with_spark(spark, rows, monkeypatch):
+    monkeypatch.setattr(learners, "make_classifier", lambda *a, **kw: pytest.fail("fitted one after another"))
+    assert learners.run_cv(rows, ["gradient_boosting"], params={"gradient_boosting": {"maxIter": 2}}, failed="raise").count() == 400
+
+
 def test_unknown_settings_and_large_tables_are_left_to_spark():
     assert grown.fits_here("decision_tree", [{"maxDepth": 3}], 2_000_000, 4)
     assert not grown.fits_here("decision_tree", [{"maxDepth": 3}], 2_000_001, 4)
